@@ -35,7 +35,7 @@ def with_row_number(
     )
     groups = [*partition_by]
     per_task = placed.groupBy(*[quoted(g) for g in groups], "__task").agg(
-        F.min("__mid").alias("__first"), F.count(F.lit(1)).alias("__n")
+        F.min("__mid").alias("__task_first"), F.count(F.lit(1)).alias("__task_rows")
     )
     earlier = Window.partitionBy(*[quoted(g) for g in groups]).orderBy("__task").rowsBetween(
         Window.unboundedPreceding, -1
@@ -43,13 +43,13 @@ def with_row_number(
     offsets = per_task.select(
         *[F.col(quoted(g)).alias(f"__g{i}") for i, g in enumerate(groups)],
         F.col("__task").alias("__t"),
-        "__first",
-        F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"),
+        "__task_first",
+        F.coalesce(F.sum("__task_rows").over(earlier), F.lit(0)).alias("__before"),
     )
     match = F.col("__task") == F.col("__t")
     for i, g in enumerate(groups):
         match &= F.col(quoted(g)).eqNullSafe(F.col(f"__g{i}"))
-    number = F.col("__before") + F.col("__mid") - F.col("__first") + 1
+    number = F.col("__before") + F.col("__mid") - F.col("__task_first") + 1
     return placed.join(offsets, match).select(
         *[quoted(c) for c in df.columns], number.alias(name)
     )

@@ -14,7 +14,13 @@ from tablewright.operators.joins import union_by_name
 from tablewright.operators.ranking import with_row_number
 
 # Doubled quotes inside quoted cells, as the usual writers produce them.
-_CSV = {"header": "true", "quote": '"', "escape": '"'}
+_CSV = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def _paths(path: str | Sequence[str]) -> list[str]:

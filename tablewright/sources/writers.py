@@ -7,7 +7,14 @@ from pyspark.sql import DataFrame
 from tablewright.operators.ranking import pending_ids, plan_batches
 from tablewright.operators.schema_ops import column_mapping, short_names
 
-_CSV = {"header": "true", "quote": '"', "escape": '"'}
+# Doubled quotes inside quoted cells; edge spaces are part of the value.
+_CSV = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def write_tsv(df: DataFrame, path: str, mode: str = "error") -> None:
