@@ -63,7 +63,7 @@ def xml_repeats_in_long_form(t: Tables):
     " CASE event_id % 3 WHEN 1 THEN '1' WHEN 2 THEN '9' END AS \"tag@n\" FROM events"
 )
 def xml_flattened(t: Tables):
-    return flatten_xml_columns(EVENTS_XML.frame(t))
+    return flatten_xml_columns(EVENTS_XML.frame(t), partitions=t.spark.sparkContext.defaultParallelism)
 
 
 @query(

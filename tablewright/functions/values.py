@@ -6,7 +6,7 @@ equals the string that spells it.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,6 +62,64 @@ def canonical_text(name: str, dtype: T.DataType) -> Column:
     return value.cast("string")
 
 
+KEY = ("num", "dbl", "txt")
+
+
+def value_key(name: str, dtype: T.DataType) -> tuple[Column, Column, Column]:
+    """``(num, dbl, txt)``, of which the one that fits the type holds the value.
+
+    Values of one column are equal when the triples are; across columns
+    ``canonical_key`` is needed as well. No number or time is turned into text.
+    """
+    value = F.col(quoted(name))
+    none = {"num": "bigint", "dbl": "double", "txt": "string"}
+    family = family_of(dtype)
+    if isinstance(dtype, _INTEGERS) or family == BOOLEAN:
+        part = {"num": value.cast("bigint")}
+    elif isinstance(dtype, _FLOATS):
+        part = {"dbl": value.cast("double")}
+    elif family == TIME:
+        part = {"num": F.unix_micros(value.cast("timestamp"))}
+    else:
+        part = {"txt": canonical_text(name, dtype)}
+    return tuple(part.get(k, F.lit(None).cast(none[k])) for k in KEY)
+
+
+def canonical_key(df: DataFrame, decimals: bool = False) -> DataFrame:
+    """Bring stacked keys of different number types into one form.
+
+    Doubles without a fraction move to ``num``; so do texts of whole decimals,
+    in tables whose ``family`` says that they are numbers.
+    """
+    dbl, num, txt = F.col("dbl"), F.col("num"), F.col("txt")
+    whole = (F.abs(dbl) < _LONG_LIMIT) & (dbl == F.floor(dbl))
+    num = F.coalesce(num, F.when(whole, dbl.try_cast("bigint")))
+    if decimals:
+        short = (F.col("family") == NUMBER) & ~txt.contains(".")
+        num = F.coalesce(num, F.when(short, txt.try_cast("bigint")))
+        txt = F.when(~(short & num.isNotNull()), txt)
+    return df.withColumns({"num": num, "dbl": F.when(~whole, dbl), "txt": txt})
+
+
+def has_key() -> Column:
+    return F.col("num").isNotNull() | F.col("dbl").isNotNull() | F.col("txt").isNotNull()
+
+
+def sortable(name: str, dtype: T.DataType) -> Column:
+    """A fixed-width stand-in whose smallest and largest tell whether values differ.
+
+    Text and nested values are hashed, see ``is_exactly_sortable``.
+    """
+    value = clean_value(name, dtype)
+    if is_exactly_sortable(dtype):
+        return value
+    return own_hash(name, dtype)
+
+
+def is_exactly_sortable(dtype: T.DataType) -> bool:
+    return family_of(dtype) in (NUMBER, BOOLEAN, TIME) and not isinstance(dtype, T.DecimalType)
+
+
 def value_hash(name: str, dtype: T.DataType) -> Column:
     """64-bit hash, equal for equal values of a family; null stays null.
 

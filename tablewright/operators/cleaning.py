@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 
 from tablewright.functions.text import lower_strip
 from tablewright.functions.values import STRING, family_of, quoted
-from tablewright.operators.profile import column_counts, identical_classes, similar_pairs
+from tablewright.operators.profile import (
+    ColumnCounts,
+    column_counts,
+    identical_classes,
+    similar_pairs,
+)
 
 # The texts read as missing by the tabular reader whose results
 # are to be matched.
@@ -50,8 +55,32 @@ def _map_strings(df: DataFrame, change) -> DataFrame:
     return df.select(*cells)
 
 
+def sparse_columns(
+    counts: ColumnCounts,
+    threshold: float = 0.95,
+    mode: str = "floor",
+    threshold_percentage: float = 5,
+) -> list[str]:
+    """Names of the columns with too few values, see ``drop_sparse_columns``."""
+    rows = counts.rows
+    if mode == "fraction":
+        least = (1 - Decimal(str(threshold))) * rows
+    elif mode == "floor":
+        least = int((1 - threshold) * rows)
+    elif mode == "percent":
+        least = Decimal(str(threshold_percentage)) * rows / 100
+    else:
+        raise ValueError(f"unknown mode {mode!r}")
+    present = counts.filled if mode == "percent" else counts.non_null
+    return [name for name, n in present.items() if rows and n < least]
+
+
 def drop_sparse_columns(
-    df: DataFrame, threshold: float = 0.95, mode: str = "floor", threshold_percentage: float = 5
+    df: DataFrame,
+    threshold: float = 0.95,
+    mode: str = "floor",
+    threshold_percentage: float = 5,
+    counts: ColumnCounts | None = None,
 ) -> Slimmed:
     """Drop columns with too few values. An empty table is left as it is.
 
@@ -60,20 +89,8 @@ def drop_sparse_columns(
     ``percent``: empty strings become null; drop if the filled share is
     strictly below ``threshold_percentage``.
     """
-    if mode not in ("fraction", "floor", "percent"):
-        raise ValueError(f"unknown mode {mode!r}")
-    if mode == "percent":
-        df = empty_to_null(df)
-    counts = column_counts(df)
-    rows = counts.rows
-    if mode == "fraction":
-        least = (1 - Decimal(str(threshold))) * rows
-    elif mode == "floor":
-        least = int((1 - threshold) * rows)
-    else:
-        least = Decimal(str(threshold_percentage)) * rows / 100
-    sparse = [name for name in df.columns if rows and counts.non_null[name] < least]
-    return without_columns(df, sparse)
+    sparse = sparse_columns(counts or column_counts(df), threshold, mode, threshold_percentage)
+    return without_columns(empty_to_null(df) if mode == "percent" else df, sparse)
 
 
 def empty_to_null(df: DataFrame) -> DataFrame:
@@ -118,18 +135,23 @@ def drop_incomplete_and_duplicate_rows(df: DataFrame) -> DataFrame:
 
 
 def drop_identical_columns(
-    df: DataFrame, *others: DataFrame, null_safe: bool = False
+    df: DataFrame,
+    *others: DataFrame,
+    null_safe: bool = False,
+    counts: ColumnCounts | None = None,
 ) -> tuple[list[DataFrame], list[str]]:
     """Keep the first of each group of identical columns, in every given table."""
-    extra = {name for group in identical_classes(df, null_safe) for name in group[1:]}
+    extra = {name for group in identical_classes(df, null_safe, counts) for name in group[1:]}
     removed = [name for name in df.columns if name in extra]
     return [without_columns(table, removed).table for table in (df, *others)], removed
 
 
-def drop_similar_columns(df: DataFrame, threshold: float = 0.9) -> Slimmed:
+def drop_similar_columns(
+    df: DataFrame, threshold: float = 0.9, counts: ColumnCounts | None = None
+) -> Slimmed:
     """Drop the later column of every pair equal in more than ``threshold`` of the rows.
 
     Similarity is not transitive: a column similar only to one that is itself
     dropped still goes.
     """
-    return without_columns(df, [later for _, later, _ in similar_pairs(df, threshold)])
+    return without_columns(df, [later for _, later, _ in similar_pairs(df, threshold, counts)])

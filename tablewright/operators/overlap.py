@@ -13,9 +13,17 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
-from tablewright.functions.values import canonical_text, family_of, value_hash
-from tablewright.operators.profile import column_types, stack_rows
+from pyspark.sql import types as T
+
+from tablewright.functions.values import (
+    KEY,
+    canonical_key,
+    canonical_text,
+    family_of,
+    has_key,
+    value_hash,
+)
+from tablewright.operators.profile import column_types, stack_values
 
 _BITS = 62  # columns per mask word; the sign bit stays clear
 
@@ -27,24 +35,31 @@ def _mask_words(total: int) -> int:
 
 
 def value_masks(sources: Sequence[Source]) -> DataFrame:
-    """``(family, text, m0, m1, …)``: each distinct value and the columns holding it."""
+    """``(family, num, dbl, txt, m0, m1, …)``: each distinct value and the columns holding it."""
     words = _mask_words(sum(len(columns) for _, columns in sources))
-    names = [f"m{w}" for w in range(words)]
     parts, offset = [], 0
     for df, columns in sources:
         types = column_types(df)
-        cells = []
-        for i, name in enumerate(columns, offset):
-            bits = [F.lit(1 << (i % _BITS) if i // _BITS == w else 0).cast("bigint") for w in range(words)]
-            cells.append((F.lit(family_of(types[name])), canonical_text(name, types[name]), *bits))
-        offset += len(columns)
+        families = F.array(*[F.lit(family_of(types[name])) for name in columns])
+        stacked = stack_values(df, columns).withColumn(
+            "family", F.element_at(families, F.col("position") + 1)
+        )
+        decimal = any(isinstance(types[name], T.DecimalType) for name in columns)
         parts.append(
-            df.select(stack_rows(cells, ["family", "text", *names])).where(F.col("text").isNotNull())
+            canonical_key(stacked, decimal)
+            .where(has_key())
+            .withColumn("position", F.col("position") + offset)
         )
+        offset += len(columns)
+    bits = []
+    for w in range(words):
+        place = f"position - {w * _BITS}"
+        bits.append(f"CASE WHEN {place} BETWEEN 0 AND {_BITS - 1} THEN shiftleft(1L, {place}) ELSE 0L END AS m{w}")
     return (
         reduce(DataFrame.union, parts)
-        .groupBy("family", "text")
-        .agg(*[F.bit_or(name).alias(name) for name in names])
+        .selectExpr("family", *KEY, *bits)
+        .groupBy("family", *KEY)
+        .agg(*[F.bit_or(f"m{w}").alias(f"m{w}") for w in range(words)])
     )
 
 

@@ -13,13 +13,14 @@ from pyspark.sql import types as T
 
 from tablewright.functions.text import percentage
 from tablewright.functions.values import (
+    KEY,
     STRING,
-    canonical_text,
     clean_value,
     family_of,
-    own_hash,
+    has_key,
     same_value,
     value_hash,
+    value_key,
 )
 
 PAIRS_PER_PASS = 500
@@ -100,14 +101,35 @@ def names_frame(spark: SparkSession, names: Iterable[str]) -> DataFrame:
     return spark.createDataFrame(list(enumerate(names)), "position int, column string")
 
 
-def long_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(position, text)`` for every non-null cell of ``columns``.
+# Some questions ("does a value repeat", "does a value meet two others") can be
+# answered no or yes by one witness. Looking at all rows of one value in SLICES,
+# chosen by hash, finds a witness for nearly everything that has one at a
+# fraction of the shuffle. A witness settles the question; whatever has none in
+# the slice is then checked on all rows.
+SLICES = 64
 
-    Positions stand for (column, family): text is only ever compared within one.
+
+def stack_values(
+    df: DataFrame, columns: Sequence[str], payload: Sequence[Column] = (), slice_only: bool = False
+) -> DataFrame:
+    """``(*payload, position, num, dbl, txt)``, one row per cell of ``columns``.
+
+    The expressions that are stacked stay trivial, since all of them end up in
+    one generated method; whatever can be is computed on the stacked rows.
     """
     types = column_types(df)
-    cells = [(F.lit(i), canonical_text(name, types[name])) for i, name in enumerate(columns)]
-    return df.select(stack_rows(cells, ["position", "text"])).where(F.col("text").isNotNull())
+    cells = [(F.lit(i), *value_key(name, types[name])) for i, name in enumerate(columns)]
+    long = df.select(*payload, stack_rows(cells, ["position", *KEY]))
+    if any(isinstance(types[name], (T.FloatType, T.DoubleType)) for name in columns):
+        long = long.withColumn("dbl", F.when(~F.isnan("dbl"), F.col("dbl")))
+    if slice_only:
+        long = long.where(F.pmod(F.xxhash64(*KEY), F.lit(SLICES)) == 0)
+    return long
+
+
+def long_values(df: DataFrame, columns: Sequence[str], slice_only: bool = False) -> DataFrame:
+    """``(position, num, dbl, txt)`` for every non-null cell; comparable within one position."""
+    return stack_values(df, columns, slice_only=slice_only).where(has_key())
 
 
 def distinct_value_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -118,7 +140,7 @@ def distinct_value_counts(df: DataFrame, columns: Sequence[str] | None = None) -
     would instead copy every row once per column into the shuffle.
     """
     columns = list(columns or df.columns)
-    values = long_values(df, columns).groupBy("position", "text").count()
+    values = long_values(df, columns).groupBy("position", *KEY).count()
     counts = values.groupBy("position").agg(F.count(F.lit(1)).alias("ndv"))
     return (
         names_frame(df.sparkSession, columns)
@@ -133,15 +155,22 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
     return {r["column"]: r["ndv"] for r in distinct_value_counts(df, columns).collect()}
 
 
-def approximate_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:
-    """Distinct-count estimates (1.6 % standard error) from one scan without a wide shuffle."""
-    types = column_types(df)
-    sketches = [
-        F.hll_sketch_estimate(F.hll_sketch_agg(own_hash(name, types[name]), F.lit(12)))
-        for name in columns
-    ]
-    row = df.agg(*[s.alias(f"e{i}") for i, s in enumerate(sketches)]).first()
-    return {name: float(row[f"e{i}"] or 0) for i, name in enumerate(columns)}
+def _repeating(values: DataFrame, columns: Sequence[str]) -> set[str]:
+    """Columns with a value that occurs more than once."""
+    repeats = values.groupBy("position", *KEY).count().where("count > 1")
+    return {columns[r["position"]] for r in repeats.select("position").distinct().collect()}
+
+
+def unique_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """The columns without a repeated value, checked on all rows.
+
+    Columns with few values combine before the shuffle; only columns that are
+    unique or nearly so are shuffled whole.
+    """
+    if not columns:
+        return []
+    repeating = _repeating(long_values(df, columns), columns)
+    return [name for name in columns if name not in repeating]
 
 
 def primary_key_candidates(
@@ -149,21 +178,17 @@ def primary_key_candidates(
 ) -> list[str]:
     """Columns without nulls whose values are all distinct.
 
-    Columns with a null fall out by their counts. An estimate below half the
-    row count is more than 25 standard errors from uniqueness and rules a
-    column out as well; only the remaining columns go through the exact count,
-    whose shuffle is as large as the columns are.
+    Columns with a null fall out by their counts, most others by a repeat in
+    the slice, and the rest is checked exactly.
     """
     counts = counts or column_counts(df)
     rows = counts.rows
     per_column = counts.non_null if allow_empty else counts.filled
-    complete = [name for name in df.columns if per_column[name] == rows]
-    if rows == 0 or not complete:
-        return complete
-    estimates = approximate_counts(df, complete)
-    likely = [name for name in complete if estimates[name] >= rows / 2]
-    exact = distinct_counts(df, likely)
-    return [name for name in likely if exact[name] == rows]
+    likely = [name for name in df.columns if per_column[name] == rows]
+    if rows == 0 or not likely:
+        return likely
+    repeating = _repeating(long_values(df, likely, slice_only=True), likely)
+    return unique_columns(df, [name for name in likely if name not in repeating])
 
 
 def pairwise_equality(
@@ -208,7 +233,9 @@ def pairwise_equality(
     )
 
 
-def identical_classes(df: DataFrame, null_safe: bool = False) -> list[list[str]]:
+def identical_classes(
+    df: DataFrame, null_safe: bool = False, counts: ColumnCounts | None = None
+) -> list[list[str]]:
     """Groups of columns equal in every row, each in column order.
 
     One scan computes a row-sensitive fingerprint per column (the hash of its
@@ -217,7 +244,7 @@ def identical_classes(df: DataFrame, null_safe: bool = False) -> list[list[str]]
     their pairs.
     """
     types = column_types(df)
-    counts = column_counts(df)
+    counts = counts or column_counts(df)
     if counts.rows == 0:
         return []
     columns = [c for c in df.columns if null_safe or counts.non_null[c] == counts.rows]
@@ -297,9 +324,11 @@ def equality_bounds(df: DataFrame, columns: Sequence[str]) -> dict[tuple[str, st
     }
 
 
-def similar_pairs(df: DataFrame, threshold: float = 0.9) -> list[tuple[str, str, int]]:
+def similar_pairs(
+    df: DataFrame, threshold: float = 0.9, counts: ColumnCounts | None = None
+) -> list[tuple[str, str, int]]:
     """Column pairs equal in strictly more than ``threshold`` of the rows."""
-    counts = column_counts(df)
+    counts = counts or column_counts(df)
     if counts.rows == 0:
         return []
     columns = [c for c in df.columns if counts.non_null[c] / counts.rows > threshold]

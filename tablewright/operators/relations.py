@@ -3,29 +3,34 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
+from itertools import combinations, permutations
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.values import canonical_text, own_hash, quoted
+from tablewright.functions.values import (
+    KEY,
+    canonical_text,
+    has_key,
+    is_exactly_sortable,
+    quoted,
+    sortable,
+    value_key,
+)
 from tablewright.operators.cleaning import keep_columns, without_columns
 from tablewright.operators.profile import (
     ColumnCounts,
-    approximate_counts,
     column_counts,
     column_types,
-    distinct_counts,
-    identical_classes,
     merge_pairs,
-    primary_key_candidates,
+    pairwise_equality,
     stack_rows,
+    stack_values,
+    unique_columns,
 )
 from tablewright.operators.ranking import with_row_number
 
-_SKETCHES_PER_PASS = 200
-
 
 class Dependency(NamedTuple):
     """Column ``a`` fixes column ``b``.
@@ -44,6 +49,7 @@ class Relations(NamedTuple):
     keys: list[str]
     identical: list[list[str]]
     dependencies: dict[tuple[str, str], Dependency]
+    ndv: dict[str, int]  # of the determinants that are no keys
 
     def kind(self, a: str, b: str) -> str:
         if any(a in group and b in group for group in self.identical):
@@ -53,90 +59,111 @@ class Relations(NamedTuple):
         return "bijective" if (b, a) in self.dependencies else "surjective"
 
 
-def _likely_pairs(df: DataFrame, columns: Sequence[str], determinants: Sequence[str]):
-    """Ordered pairs (a, b) that estimates cannot rule out.
+class _Verdict(NamedTuple):
+    kept: list[Dependency]
+    repeating: set[str]
+    ndv: dict[str, int]
 
-    If a fixes b then (a, b) has no more distinct pairs than a has values. An
-    estimated pair count 1.5 times the estimate for a is over twenty standard
-    errors away from that. One scan per 200 pairs, no wide shuffle.
-    """
-    types = column_types(df)
-    single = approximate_counts(df, columns)
-    place = {name: i for i, name in enumerate(columns)}
-    wanted = {
-        tuple(sorted((a, b), key=place.__getitem__)) for a in determinants for b in columns if a != b
-    }
-    wanted = sorted(wanted, key=lambda p: (place[p[0]], place[p[1]]))
-    likely = []
-    hashed = df.select(*[own_hash(c, types[c]).alias(f"h{i}") for i, c in enumerate(columns)])
-    allowed = set(determinants)
-    for start in range(0, len(wanted), _SKETCHES_PER_PASS):
-        chunk = wanted[start : start + _SKETCHES_PER_PASS]
-        sketches = []
-        for i, (a, b) in enumerate(chunk):
-            left, right = F.col(f"h{place[a]}"), F.col(f"h{place[b]}")
-            both = F.when(left.isNotNull() & right.isNotNull(), F.xxhash64(left, right))
-            sketches.append(
-                F.hll_sketch_estimate(F.hll_sketch_agg(both, F.lit(12))).alias(f"e{i}")
-            )
-        row = hashed.agg(*sketches).first()
-        for i, (a, b) in enumerate(chunk):
-            together = float(row[f"e{i}"] or 0)
-            for x, y in ((a, b), (b, a)):
-                if x in allowed and together <= 1.5 * single[x]:
-                    likely.append((x, y))
-    return likely
-
-
-def _exact_dependencies(
-    df: DataFrame, pairs: Sequence[tuple[str, str]]
-) -> dict[tuple[str, str], Dependency]:
-    """Check each pair (a, b) on every row.
 
-    Rows are stacked once per pair and reduced to distinct (pair, a, b) before
-    the shuffle, so a hot value is one row per task and a value of a that meets
-    many of b is still spread by both.
+def _refute(df: DataFrame, pairs: Sequence[tuple[str, str]], slice_only: bool) -> _Verdict:
+    """Drop the pairs (a, b) for which some value of a meets two values of b.
+
+    All determinants share one shuffle keyed by (determinant, value). Each row
+    is stacked once per determinant and folds into its group's smallest and
+    largest b before the shuffle: a hot value is one row per task, and no list
+    of values is ever built. Also tells which determinants repeat a value.
     """
     if not pairs:
-        return {}
+        return _Verdict([], set(), {})
     types = column_types(df)
-    cells = [
-        (F.lit(i), canonical_text(a, types[a]), canonical_text(b, types[b]))
-        for i, (a, b) in enumerate(pairs)
+    determinants = list(dict.fromkeys(a for a, _ in pairs))
+    targets = list(dict.fromkeys(b for _, b in pairs))
+    payload = [sortable(b, types[b]).alias(f"b{j}") for j, b in enumerate(targets)]
+    long = stack_values(df, determinants, payload, slice_only)
+    folded = []
+    for j in range(len(targets)):
+        b = F.col(f"b{j}")
+        folded += [F.min(b).alias(f"lo{j}"), F.max(b).alias(f"hi{j}"), F.count(b).alias(f"c{j}")]
+    groups = long.groupBy("position", *KEY).agg(F.count(F.lit(1)).alias("n"), *folded)
+    groups = groups.withColumn("known", has_key())
+    checks = [
+        F.count_if("known").alias("ndv"),
+        F.bool_or(F.col("known") & (F.col("n") > 1)).alias("repeats"),
     ]
-    met = df.select(stack_rows(cells, ["pair", "a", "b"])).groupBy("pair", "a", "b").count()
-    per_value = met.groupBy("pair", "a").agg(
-        F.count("b").alias("kinds"), F.count_if(F.col("b").isNull()).alias("gaps")
-    )
-    known = F.col("a").isNotNull()
-    verdicts = per_value.groupBy("pair").agg(
-        F.count_if(known & (F.col("kinds") > 1)).alias("broken"),
-        F.count_if(known & (F.col("kinds") > 0)).alias("met"),
-        F.count_if((F.col("kinds") > 0) & (~known | (F.col("gaps") > 0))).alias("torn"),
+    for j in range(len(targets)):
+        some = F.col(f"c{j}") > 0
+        checks += [
+            F.count_if(F.col("known") & (F.col(f"lo{j}") != F.col(f"hi{j}"))).alias(f"broken{j}"),
+            F.count_if(F.col("known") & some).alias(f"met{j}"),
+            F.count_if(some & (~F.col("known") | (F.col(f"c{j}") < F.col("n")))).alias(f"torn{j}"),
+        ]
+    verdicts = {r["position"]: r for r in groups.groupBy("position").agg(*checks).collect()}
+    place = {name: j for j, name in enumerate(targets)}
+    order = {name: i for i, name in enumerate(determinants)}
+    kept = []
+    for a, b in pairs:
+        row, j = verdicts.get(order[a]), place[b]
+        if row is None:  # no value in the slice
+            kept.append(Dependency(a, b, True))
+        elif row[f"broken{j}"] == 0 and (slice_only or row[f"met{j}"] > 0):
+            kept.append(Dependency(a, b, row[f"torn{j}"] == 0))
+    return _Verdict(
+        kept,
+        {determinants[i] for i, r in verdicts.items() if r["repeats"]},
+        {determinants[i]: r["ndv"] for i, r in verdicts.items()},
     )
-    return {
-        pairs[r["pair"]]: Dependency(*pairs[r["pair"]], r["torn"] == 0)
-        for r in verdicts.collect()
-        if r["broken"] == 0 and r["met"] > 0
-    }
 
 
-def find_relations(df: DataFrame) -> Relations:
+def _confirm_text(df: DataFrame, found: Sequence[Dependency]) -> list[Dependency]:
+    """Recheck dependencies of text columns, which were compared by hash, on the text itself."""
+    types = column_types(df)
+    hashed = [d for d in found if not is_exactly_sortable(types[d.b])]
+    if not hashed:
+        return list(found)
+    cells = [
+        (F.lit(i), *value_key(d.a, types[d.a]), canonical_text(d.b, types[d.b]))
+        for i, d in enumerate(hashed)
+    ]
+    long = df.select(stack_rows(cells, ["pair", *KEY, "b"])).where(has_key() & F.col("b").isNotNull())
+    met = long.groupBy("pair", *KEY, "b").count()
+    broken = met.groupBy("pair", *KEY).agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    refuted = {hashed[r["pair"]] for r in broken.select("pair").distinct().collect()}
+    return [d for d in found if d not in refuted]
+
+
+def exact_dependencies(
+    df: DataFrame, pairs: Sequence[tuple[str, str]]
+) -> dict[tuple[str, str], Dependency]:
+    """Which of the pairs (a, b) hold on every row, see ``Dependency``."""
+    found = _confirm_text(df, _refute(df, pairs, slice_only=False).kept)
+    return {(d.a, d.b): d for d in found}
+
+
+def find_relations(df: DataFrame, counts: ColumnCounts | None = None) -> Relations:
     """Keys, identical columns and dependencies of a table.
 
-    A key fixes every column, which needs no counting. For the rest, estimates
-    rule out most pairs and only the remaining ones are checked exactly.
+    One pass over a slice of the values refutes most pairs and most keys. What
+    is left is checked on all rows. A key fixes every column, which needs no
+    counting, and only columns that fix each other can be identical.
     """
-    counts = column_counts(df)
+    counts = counts or column_counts(df)
     if counts.rows == 0:
-        return Relations(counts, [], [], {})
-    keys = primary_key_candidates(df, counts=counts)
+        return Relations(counts, [], [], {}, {})
     present = [name for name in df.columns if counts.non_null[name] > 0]
-    others = [name for name in present if name not in keys]
+    first = _refute(df, list(permutations(present, 2)), slice_only=True)
+    complete = [c for c in present if counts.non_null[c] == counts.rows]
+    keys = unique_columns(df, [c for c in complete if c not in first.repeating])
     found = {(a, b): Dependency(a, b, True) for a in keys for b in present if a != b}
-    if len(present) > 1 and others:
-        found.update(_exact_dependencies(df, _likely_pairs(df, present, others)))
-    return Relations(counts, keys, identical_classes(df), found)
+    rest = _refute(df, [(d.a, d.b) for d in first.kept if d.a not in keys], slice_only=False)
+    found.update({(d.a, d.b): d for d in _confirm_text(df, rest.kept)})
+    mutual = [
+        (a, b) for a, b in combinations(complete, 2) if (a, b) in found and (b, a) in found
+    ]
+    identical = []
+    if mutual:
+        equal = pairwise_equality(df, mutual).where("identical").collect()
+        identical = merge_pairs(df.columns, [(r["col1"], r["col2"]) for r in equal])
+    return Relations(counts, keys, identical, found, rest.ndv)
 
 
 def column_relationships(df: DataFrame, relations: Relations | None = None) -> DataFrame:
@@ -214,9 +241,7 @@ class Star(NamedTuple):
         return keep_columns(table, self.columns)
 
 
-def choose_keepers(
-    columns: Sequence[str], relations: Relations, ndv: dict[str, int]
-) -> dict[str, str]:
+def choose_keepers(columns: Sequence[str], relations: Relations) -> dict[str, str]:
     """For each column to split off, the column that stays and fixes it.
 
     Of one-to-one columns the first stays. A column fixed many-to-one goes to
@@ -234,7 +259,7 @@ def choose_keepers(
     for b in heads:
         options = [a for a in heads if (a, b) in sound and a not in relations.keys]
         if options:
-            keeper_of[b] = min(options, key=lambda a: (ndv[a], place[a]))
+            keeper_of[b] = min(options, key=lambda a: (relations.ndv[a], place[a]))
     return keeper_of
 
 
@@ -248,11 +273,9 @@ def star_schema(
     were found on a standardised copy of it.
     """
     relations = relations or find_relations(df)
-    heads = {a for a, _ in relations.dependencies}
-    ndv = distinct_counts(df, [c for c in df.columns if c in heads and c not in relations.keys])
-    keeper_of = choose_keepers(df.columns, relations, ndv)
+    keeper_of = choose_keepers(df.columns, relations)
     if confirm:
-        held = _exact_dependencies(df, [(a, b) for b, a in keeper_of.items()])
+        held = exact_dependencies(df, [(a, b) for b, a in keeper_of.items()])
         keeper_of = {b: a for b, a in keeper_of.items() if (a, b) in held and held[a, b].lossless}
     lookups = {}
     for keeper in dict.fromkeys(keeper_of[c] for c in df.columns if c in keeper_of):

@@ -6,7 +6,7 @@ the variant needs no schema, so rows may all have different elements.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import pandas as pd
@@ -26,21 +26,18 @@ _MARK = "\ue000"
 _OPTIONS = {"mode": "PERMISSIVE", "attributePrefix": "@", "valueTag": "#", "ignoreNamespace": "false"}
 _SCHEMA = "r VARIANT, _corrupt_record STRING"
 
-# JSON of one parsed element: a string, or a chain of objects each with one
-# child and any attributes, around a string.
+# JSON of one parsed element that has attributes or children: a chain of objects,
+# each with one child and any attributes, around a string.
 _JSON_TEXT = r'"(?:[^"\\]|\\.)*+"'
 _JSON_ATTRIBUTES = rf'(?:"@(?:[^"\\]|\\.)*+":{_JSON_TEXT},)*+'
 _CHAIN = (
     rf'^(?:\{{{_JSON_ATTRIBUTES}"(?![@#])(?:[^"\\]|\\.)*+":)*+'
-    rf'(?:({_JSON_TEXT})|\{{"#":({_JSON_TEXT})(?:,"@(?:[^"\\]|\\.)*+":{_JSON_TEXT})*+\}})'
-    rf'\}}*$'
+    rf'(?:\{{"#":)?({_JSON_TEXT})(?:,"@(?:[^"\\]|\\.)*+":{_JSON_TEXT})*+\}}*$'
 )
 
 
 def _marked(fragment: Column) -> Column:
-    text = F.regexp_replace(fragment, r">(?=[^<])", ">" + _MARK)
-    text = F.regexp_replace(text, r"""(=\s*["'])""", "$1" + _MARK)
-    text = F.regexp_replace(text, r"<!\[CDATA\[", "<![CDATA[" + _MARK)
+    text = F.regexp_replace(fragment, r"""(>(?=[^<])|=\s*["']|<!\[CDATA\[)""", "$1" + _MARK)
     return F.concat(F.lit("<q><r>"), text, F.lit("</r></q>"))
 
 
@@ -60,35 +57,48 @@ def _plain(text: Column) -> Column:
     return strip_whitespace(F.translate(text, _MARK, ""))
 
 
-def _json_string(text: Column) -> Column:
-    return F.get_json_object(F.concat(F.lit('{"v":'), text, F.lit("}")), "$.v")
-
-
 def _as_map(variant: Column) -> Column:
     return F.try_variant_get(variant, "$", "map<string,variant>")
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed a single time."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _chain_text(json: Column) -> Column:
+    """The one text of an element with attributes or children, else null."""
+
+    def unquoted(text: Column) -> Column:
+        bare = F.substring(text, F.lit(2), F.length(text) - 2)
+        escaped = F.get_json_object(F.concat(F.lit('{"v":'), text, F.lit("}")), "$.v")
+        return F.when(text == "", None).when(F.contains(text, F.lit("\\")), escaped).otherwise(bare)
+
+    return _once(F.regexp_extract(json, _CHAIN, 1), unquoted)
+
+
 def _element_pairs(tag: Column, element: Column) -> Column:
     """``[(key, value)]`` of one element: its text, then its attributes."""
-    json = F.to_json(element)
-    found = F.coalesce(
-        F.nullif(F.regexp_extract(json, _CHAIN, 1), F.lit("")),
-        F.nullif(F.regexp_extract(json, _CHAIN, 2), F.lit("")),
-    )
-    text = _plain(_json_string(found))
-    own = F.array(F.struct(tag.alias("key"), text.alias("value")))
-    attributes = F.transform(
-        F.filter(
-            F.coalesce(F.map_entries(_as_map(element)), F.array().cast("array<struct<key:string,value:variant>>")),
-            lambda e: e["key"].startswith("@"),
-        ),
-        lambda e: F.struct(
-            F.concat(tag, F.lower(e["key"])).alias("key"),
-            _plain(F.try_variant_get(e["value"], "$", "string")).alias("value"),
-        ),
+
+    def text_pair(text: Column) -> Column:
+        own = F.array(F.struct(tag.alias("key"), _plain(text).alias("value")))
+        return F.filter(own, lambda p: p["value"] != "")
+
+    def attribute(entry: Column) -> Column:
+        value = _plain(F.try_variant_get(entry["value"], "$", "string"))
+        return F.struct(F.concat(tag, F.lower(entry["key"])).alias("key"), value.alias("value"))
+
+    def of_object(json: Column) -> Column:
+        entries = F.filter(F.map_entries(_as_map(element)), lambda e: e["key"].startswith("@"))
+        return F.concat(text_pair(_chain_text(json)), F.transform(entries, attribute))
+
+    # plain text always starts with the mark, anything else reads as JSON
+    return _once(
+        F.try_variant_get(element, "$", "string"),
+        lambda read: F.when(read.startswith(_MARK), text_pair(read))
+        .when(read.startswith("{"), of_object(read))
+        .otherwise(F.array().cast("array<struct<key:string,value:string>>")),
     )
-    kept = F.filter(own, lambda p: p["value"] != "")
-    return F.concat(kept, attributes)
 
 
 def fragment_pairs(fragment: Column) -> Column:
@@ -147,7 +157,11 @@ def xml_fragment_to_long(df: DataFrame, id: str, column: str) -> DataFrame:
 
 
 def flatten_xml_columns(
-    df: DataFrame, suffix: str = "Xml", mode: str = "first", repair: bool = True
+    df: DataFrame,
+    suffix: str = "Xml",
+    mode: str = "first",
+    repair: bool = True,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Plain columns plus one column per XML key.
 
@@ -157,13 +171,17 @@ def flatten_xml_columns(
     Malformed fragments are repaired unless ``repair`` is off.
 
     One scan finds the keys (as many rows as there are keys) and the columns
-    with malformed cells; the table itself is then a plain projection.
+    with malformed cells; the table itself is then a plain projection. Give
+    ``partitions`` to spread rows first when they come from fewer files than
+    there are cores (files with line breaks in cells cannot be split).
     """
     if mode not in ("first", "all"):
         raise ValueError(f"unknown mode {mode!r}")
     plain, xml = split_xml_columns(df, suffix)
     if not xml:
         return df
+    if partitions is not None:
+        df = df.repartition(partitions)
     keys, broken = _discover(df, xml)
     if repair and broken:
         repaired = _repaired(df, broken)

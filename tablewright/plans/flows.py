@@ -14,6 +14,7 @@ from tablewright.operators.cleaning import (
     standardize_text,
 )
 from tablewright.operators.joins import merge_and_reclean, merge_many
+from tablewright.operators.profile import column_counts
 from tablewright.operators.ranking import preview
 from tablewright.operators.relations import Relations, Star, find_relations, star_schema
 from tablewright.operators.schema_ops import drop_columns
@@ -54,12 +55,14 @@ def clean_table(
     unless ``in_place``. With ``path`` the fact table, its column mapping and
     the lookups are written there.
     """
-    slim, sparse = drop_sparse_columns(df, threshold, "floor")
+    # standardising changes no value to or from null, so one count serves all steps
+    counts = column_counts(df)
+    slim, sparse = drop_sparse_columns(df, threshold, "floor", counts=counts)
     shadow = standardize_text(slim, in_place=True)
-    (shadow, slim), identical = drop_identical_columns(shadow, slim)
+    (shadow, slim), identical = drop_identical_columns(shadow, slim, counts=counts)
     # every later profile reads the comparison form: write it once, narrowed
     shadow = materialize(shadow, "shadow")
-    relations = find_relations(shadow)
+    relations = find_relations(shadow, counts)
     star = star_schema(shadow if in_place else slim, relations, confirm=not in_place)
     if path is not None:
         _write_star(star, path)
@@ -85,9 +88,11 @@ def flatten_folder(
     out: str | None = None,
     suffix: str = ".tsv",
     drop: Sequence[str] = ("Item",),
+    partitions: int | None = None,
 ) -> DataFrame:
     """Read a dump folder with differing headers, flatten its XML columns, write one table."""
-    table = drop_columns(flatten_xml_columns(read_folder_union(spark, folder, suffix)), drop)
+    dump = read_folder_union(spark, folder, suffix)
+    table = drop_columns(flatten_xml_columns(dump, partitions=partitions), drop)
     if out is not None:
         write_tsv(table, out)
     return table
@@ -112,8 +117,9 @@ def slim_table(
     df: DataFrame, path: str | None = None, threshold: float = 0.95, similarity: float = 0.9
 ) -> Slim:
     """Drop sparse columns, then columns nearly equal to an earlier one."""
-    dense, sparse = drop_sparse_columns(df, threshold, "floor")
-    table, similar = drop_similar_columns(dense, similarity)
+    counts = column_counts(df)
+    dense, sparse = drop_sparse_columns(df, threshold, "floor", counts=counts)
+    table, similar = drop_similar_columns(dense, similarity, counts)
     if path is not None:
         write_tsv(table, path)
     return Slim(table, sparse, similar, preview(table))
