@@ -35,6 +35,9 @@ _CHAIN = (
     rf'(?:\{{"#":)?({_JSON_TEXT})(?:,"@(?:[^"\\]|\\.)*+":{_JSON_TEXT})*+\}}*$'
 )
 
+# JSON of an element of a skeleton that has attributes but no children.
+_LEAF = r'^\{(?:"[@#][^"]*":(?:"[^"]*"|null),?)*\}$'
+
 
 def _marked(fragment: Column) -> Column:
     text = F.regexp_replace(fragment, r"""(>(?=[^<])|=\s*["']|<!\[CDATA\[)""", "$1" + _MARK)
@@ -170,10 +173,10 @@ def flatten_xml_columns(
     them as an array (plain columns it overrides then become arrays too).
     Malformed fragments are repaired unless ``repair`` is off.
 
-    One scan finds the keys (as many rows as there are keys) and the columns
-    with malformed cells; the table itself is then a plain projection. Give
-    ``partitions`` to spread rows first when they come from fewer files than
-    there are cores (files with line breaks in cells cannot be split).
+    One scan finds the shapes of the fragments; the table itself is then a
+    plain projection. Give ``partitions`` to spread rows first when they come
+    from fewer files than there are cores (files with line breaks in cells
+    cannot be split).
     """
     if mode not in ("first", "all"):
         raise ValueError(f"unknown mode {mode!r}")
@@ -182,26 +185,28 @@ def flatten_xml_columns(
         return df
     if partitions is not None:
         df = df.repartition(partitions)
-    keys, broken = _discover(df, xml)
+    shapes, broken = find_shapes(df, xml)
     if repair and broken:
-        repaired = _repaired(df, broken)
         damaged = [is_malformed(F.col(quoted(c))) for c in broken]
-        extra, _ = _discover(_repaired(df.where(reduce(Column.__or__, damaged)), broken), xml)
-        keys, df = sorted({*keys, *extra}), repaired
+        bad_rows = _repaired(df.where(reduce(Column.__or__, damaged)), broken)
+        for shape, more in zip(shapes, find_shapes(bad_rows, xml)[0], strict=True):
+            shape.add(more)
+        df = _repaired(df, broken)
     parsed = df.select(
         *[quoted(c) for c in plain],
-        *[fragment_pairs(F.col(quoted(c))).alias(f"__p{i}") for i, c in enumerate(xml)],
+        *[shape.parse(F.col(quoted(c))).alias(f"__p{i}") for i, (c, shape) in enumerate(zip(xml, shapes, strict=True))],
     )
 
     def value_of(i: int, key: str) -> Column:
-        pairs = F.filter(F.col(f"__p{i}"), lambda p: p["key"] == key)
+        values = shapes[i].values(F.col(f"__p{i}"), key)
         if mode == "all":
-            return F.when(F.size(pairs) > 0, F.transform(pairs, lambda p: p["value"]))
-        return F.get(pairs, 0)["value"]
+            return F.when(F.size(values) > 0, values)
+        return F.get(values, 0)
 
     found: dict[str, list[int]] = {}
-    for i, key in keys:
-        found.setdefault(key, []).append(i)
+    for i, shape in enumerate(shapes):
+        for key in sorted(shape.keys):
+            found.setdefault(key, []).append(i)
     cells = []
     for name in plain:
         value = F.col(quoted(name))
@@ -218,30 +223,225 @@ def flatten_xml_columns(
     return parsed.select(*[v.alias(n) for n, (_, v) in zip(names, cells, strict=True)])
 
 
-def _discover(df: DataFrame, xml: list[str]) -> tuple[list[tuple[int, str]], list[str]]:
-    """Distinct (XML column, key), sorted, and the columns with malformed cells.
+class Shape:
+    """What the top-level elements of one XML column look like, over all rows.
 
-    Both grow with the schema, not with the rows.
+    ``parse`` turns a fragment into a struct with exactly these elements,
+    which is much cheaper than a variant. Where the elements need more (text
+    cut up by comments, chains of more than one child, names that differ only
+    by case) it keeps to the general way, ``fragment_pairs``.
     """
-    parsed = df.select(*[_parsed(F.col(quoted(c))).alias(f"__x{i}") for i, c in enumerate(xml)])
-    none = F.array().cast("array<struct<key:string,value:string>>")
-
-    def keys_of(i: int) -> Column:
-        source = F.lit(i).alias("source")
-        return F.when(
-            _damaged(F.col(f"__x{i}")), F.array(F.struct(source, F.lit(None).cast("string").alias("key")))
-        ).otherwise(
-            F.transform(
-                F.coalesce(_pairs(F.col(f"__x{i}")), none),
-                lambda p: F.struct(source, p["key"].alias("key")),
-            )
+
+    def __init__(self) -> None:
+        self.keys: set[str] = set()
+        self.parts: dict[str, dict[str, set[str]]] = {}
+        self.general = False
+
+    def note(self, tag: str, kind: str, name: str | None) -> None:
+        if kind == "general":
+            self.general = True
+            return
+        part = self.parts.setdefault(tag, {"text": set(), "attr": set(), "child": set()})
+        part[kind].add(name or "")
+        if kind == "text":
+            self.keys.add(tag.lower())
+        elif kind == "attr":
+            self.keys.add(f"{tag}@{name}".lower())
+
+    def add(self, other: Shape) -> None:
+        self.keys |= other.keys
+        self.general |= other.general
+        for tag, part in other.parts.items():
+            mine = self.parts.setdefault(tag, {"text": set(), "attr": set(), "child": set()})
+            for kind, names in part.items():
+                mine[kind] |= names
+
+    def _is_simple(self) -> bool:
+        spellings = [list(self.parts)]
+        for part in self.parts.values():
+            spellings += [list(part["attr"]), list(part["child"])]
+        return not self.general and all(len({n.lower() for n in names}) == len(names) for names in spellings)
+
+    def _tags(self) -> list[str]:
+        return sorted(t for t, part in self.parts.items() if part["text"] or part["attr"])
+
+    def parse(self, fragment: Column) -> Column:
+        if not self._is_simple():
+            return fragment_pairs(fragment)
+        tags = []
+        for tag in self._tags():
+            part = self.parts[tag]
+            fields = [T.StructField("#", T.StringType())]
+            fields += [T.StructField(f"@{a}", T.StringType()) for a in sorted(part["attr"])]
+            if part["text"]:
+                fields += [T.StructField(c, T.ArrayType(T.StringType())) for c in sorted(part["child"])]
+            tags.append(T.StructField(tag, T.ArrayType(T.StructType(fields))))
+        if not tags:
+            return F.lit(None).cast("string")
+        schema = T.StructType([T.StructField("r", T.StructType(tags))])
+        return F.from_xml(_marked(fragment), schema, _OPTIONS)["r"]
+
+    def values(self, parsed: Column, key: str) -> Column:
+        """All values of a key, in document order."""
+        if not self._is_simple():
+            return F.transform(F.filter(parsed, lambda p: p["key"] == key), lambda p: p["value"])
+        base, mark, attribute = key.partition("@")
+        tag = next(
+            t
+            for t in self._tags()
+            if t.lower() == base
+            and (not mark or attribute in {a.lower() for a in self.parts[t]["attr"]})
+        )
+        part = self.parts[tag]
+        if mark:
+            name = next(a for a in part["attr"] if a.lower() == attribute)
+            found = F.transform(parsed[tag], lambda e: _plain(e[f"@{name}"]))
+            return F.filter(found, lambda v: v.isNotNull())
+        found = F.transform(parsed[tag], lambda e: _plain(self._text(e, sorted(part["child"]))))
+        return F.filter(found, lambda v: v.isNotNull() & (v != ""))
+
+    def _text(self, element: Column, children: list[str]) -> Column:
+        own = element["#"]
+        if not children:
+            return own
+        count = sum((F.coalesce(F.array_size(element[c]), F.lit(0)) for c in children), F.lit(0))
+        only = F.coalesce(*[F.get(element[c], 0) for c in children])
+        return F.when(count == 0, own).when((count == 1) & own.isNull(), only)
+
+
+def _skeleton(fragment: Column) -> Column:
+    """The fragment with every text and attribute value reduced to a letter.
+
+    Blank text becomes the mark instead. More than two equal elements in a row
+    become two. Fragments with comments or CDATA are left as they are.
+    """
+    tokens = F.regexp_extract_all(
+        fragment, F.lit(r"""(<(?:[^<>"']|"[^"]*"|'[^']*')*+>|[^<]+)"""), F.lit(1)
+    )
+    bare = F.transform(
+        tokens,
+        lambda t: F.when(t.startswith("<"), F.regexp_replace(t, r"""("[^"]*"|'[^']*')""", '""'))
+        .when(strip_whitespace(t) == "", F.lit(_MARK))
+        .otherwise(F.lit("x")),
+    )
+    short = F.regexp_replace(
+        F.array_join(bare, ""), r"((<([^\s<>/]+)[^<>]*(?:/>|>[^<>]*</\3>))\2)\2+", "$1"
+    )
+    return F.when(fragment.contains("<!"), _marked_only(fragment)).otherwise(short)
+
+
+def _marked_only(fragment: Column) -> Column:
+    # keeps numbers from being read as such; the letter stands for any text
+    return F.regexp_replace(fragment, r"""(>(?=[^<])|=\s*["']|<!\[CDATA\[)""", "$1x")
+
+
+def find_shapes(df: DataFrame, xml: list[str]) -> tuple[list[Shape], list[str]]:
+    """The shape of each XML column, and the columns with malformed cells.
+
+    Rows are reduced to distinct skeletons before anything is looked at in
+    detail; those combine before the shuffle. What reaches the driver grows
+    with the number of element names, not with the rows.
+    """
+    cells = [
+        F.struct(
+            F.lit(i).alias("source"),
+            F.coalesce(_checked(c)["_corrupt_record"].isNotNull(), F.lit(False)).alias("bad"),
+            F.col(quoted(c)).alias("fragment"),
+        )
+        for i, c in enumerate(xml)
+    ]
+    rows = df.select(F.explode(F.array(*cells)).alias("c")).select("c.*").where("fragment IS NOT NULL")
+    skeletons = rows.select("source", "bad", F.when(~F.col("bad"), _skeleton(F.col("fragment"))).alias("s"))
+    parsed = skeletons.distinct().select(
+        "source", "bad", F.from_xml(F.concat(F.lit("<q><r>"), "s", F.lit("</r></q>")), _SCHEMA, _OPTIONS).alias("p")
+    )
+    none = F.array().cast("array<struct<tag:string,kind:string,name:string>>")
+    notes = (
+        F.when(F.col("bad"), F.array(_note(None, "bad")))
+        .when(F.col("p._corrupt_record").isNotNull(), F.array(_note(None, "general")))
+        .otherwise(F.coalesce(_notes(_as_map(F.col("p.r"))), none))
+    )
+    distinct = parsed.select("source", F.explode(notes).alias("n")).select("source", "n.*").distinct()
+    shapes, broken = [Shape() for _ in xml], set()
+    for r in distinct.collect():
+        if r["kind"] == "bad":
+            broken.add(r["source"])
+        else:
+            shapes[r["source"]].note(r["tag"], r["kind"], r["name"])
+    for i, shape in enumerate(shapes):
+        if shape.general:
+            shape.keys = _keys_in_general(df, xml[i])
+    return shapes, [xml[i] for i in sorted(broken)]
+
+
+def _checked(column: str) -> Column:
+    wrapped = F.concat(F.lit("<q><r>"), F.col(quoted(column)), F.lit("</r></q>"))
+    return F.from_xml(wrapped, "_corrupt_record STRING", _OPTIONS)
+
+
+def _keys_in_general(df: DataFrame, column: str) -> set[str]:
+    pairs = df.select(F.explode(fragment_pairs(F.col(quoted(column)))).alias("p"))
+    return {r["key"] for r in pairs.select("p.key").distinct().collect()}
+
+
+def _note(tag: Column | None, kind: str, name: Column | None = None) -> Column:
+    none = F.lit(None).cast("string")
+    return F.struct(
+        (none if tag is None else tag).alias("tag"),
+        F.lit(kind).alias("kind"),
+        (none if name is None else name).alias("name"),
+    )
+
+
+def _notes(elements: Column) -> Column:
+    """Notes on every top-level element of a parsed skeleton."""
+    entries = F.filter(
+        F.map_entries(elements), lambda e: ~(e["key"].startswith("@") | e["key"].startswith("#"))
+    )
+
+    def of_entry(entry: Column) -> Column:
+        repeats = F.coalesce(
+            F.try_variant_get(entry["value"], "$", "array<variant>"), F.array(entry["value"])
         )
+        return F.flatten(F.transform(repeats, lambda e: _element_notes(entry["key"], e)))
+
+    return F.flatten(F.transform(entries, of_entry))
 
-    tagged = F.flatten(F.array(*[keys_of(i) for i in range(len(xml))]))
-    distinct = parsed.select(F.explode(F.array_distinct(tagged)).alias("k")).select("k.*").distinct()
-    rows = distinct.collect()
-    keys = sorted((r["source"], r["key"]) for r in rows if r["key"] is not None)
-    return keys, [xml[i] for i in sorted({r["source"] for r in rows if r["key"] is None})]
+
+def _element_notes(tag: Column, element: Column) -> Column:
+    none = F.array().cast("array<struct<tag:string,kind:string,name:string>>")
+    read = F.try_variant_get(element, "$", "string")
+
+    def of_object(entries: Column) -> Column:
+        attributes = F.filter(entries, lambda e: e["key"].startswith("@"))
+        children = F.filter(
+            entries, lambda e: ~(e["key"].startswith("@") | e["key"].startswith("#"))
+        )
+        own = F.get(F.filter(entries, lambda e: e["key"] == "#"), 0)["value"]
+        own_text = F.try_variant_get(own, "$", "string")
+        child = F.try_variant_get(F.get(children, 0)["value"], "$", "string")
+        single = (F.size(children) == 1) & own.isNull()
+        text = (
+            F.when((F.size(children) == 0) & own_text.contains("x"), F.array(_note(tag, "text")))
+            .when(single & child.rlike(_LEAF), F.when(child.contains('"#":"x"'), F.array(_note(tag, "text"))).otherwise(none))
+            .when(single & child.startswith("{"), F.array(_note(tag, "general")))
+            .when(single & child.startswith("["), none)
+            .when(single & child.contains("x"), F.array(_note(tag, "text")))
+            .otherwise(none)
+        )
+        cut = F.when((F.size(children) == 0) & own_text.startswith("["), F.array(_note(tag, "general"))).otherwise(none)
+        return F.concat(
+            text,
+            cut,
+            F.transform(attributes, lambda e: _note(tag, "attr", F.substring(e["key"], 2, 2**31 - 1))),
+            F.transform(children, lambda e: _note(tag, "child", e["key"])),
+        )
+
+    return (
+        F.when(read.startswith("{"), _once(F.map_entries(_as_map(element)), of_object))
+        .when(read.contains("x"), F.array(_note(tag, "text")))
+        .otherwise(none)
+    )
 
 
 @F.pandas_udf(T.StringType())

@@ -4,7 +4,7 @@ import pytest
 
 from tablewright.functions.fragments import balance_fragment
 from tablewright.operators.schema_ops import flatten_nested
-from tablewright.operators.xml_ops import flatten_xml_columns, repair_xml, xml_fragment_to_long
+from tablewright.operators.xml_ops import find_shapes, flatten_xml_columns, repair_xml, xml_fragment_to_long
 
 FRAGMENTS = [
     ('<Id type="x">012</Id><Name> bob </Name>', {"id": ["012"], "id@type": ["x"], "name": ["bob"]}),
@@ -39,6 +39,34 @@ def test_long_form(spark):
         assert got == want, fragment
 
 
+DEEP = {'<S><T a="1"><U b="2">0042</U></T></S>'}
+
+
+@pytest.mark.parametrize("deep", [False, True])
+def test_flat_form_agrees_with_long_form(spark, deep):
+    """The cheap way and the general way, over all fragments together."""
+    chosen = [f for f, _ in FRAGMENTS if deep or f not in DEEP]
+    df = spark.createDataFrame(list(enumerate(chosen)), "i int, aXml string")
+    shapes, broken = find_shapes(df, ["aXml"])
+    assert shapes[0].general == deep and broken == []
+    flat = flatten_xml_columns(df, mode="all")
+    wanted = dict(FRAGMENTS)
+    keys = {k for f in chosen for k in wanted[f]}
+    assert set(flat.columns) == {"i", *keys}
+    for r in flat.collect():
+        got = {k: r[k] for k in keys if r[k] is not None}
+        assert got == wanted[chosen[r.i]], chosen[r.i]
+
+
+@pytest.mark.parametrize("fragment", [f for f, _ in FRAGMENTS if f])
+def test_keys_of_one_fragment(spark, fragment):
+    df = spark.createDataFrame([(1, fragment)], "i int, aXml string")
+    flat = flatten_xml_columns(df, mode="all")
+    want = dict(FRAGMENTS)[fragment]
+    assert set(flat.columns) == {"i", *want}
+    assert {k: flat.first()[k] for k in want} == want
+
+
 def test_later_xml_overrides(spark, rows):
     df = spark.createDataFrame(
         [("z", "<Name>q</Name><K>1</K>", "<K>2</K>"), ("z", None, None)],
