@@ -14,10 +14,12 @@ from pyspark.sql import types as T
 from tablewright.functions.text import percentage
 from tablewright.functions.values import (
     KEY,
+    NESTED,
     STRING,
     clean_value,
     family_of,
     has_key,
+    quoted,
     same_value,
     value_hash,
     value_key,
@@ -101,11 +103,12 @@ def names_frame(spark: SparkSession, names: Iterable[str]) -> DataFrame:
     return spark.createDataFrame(list(enumerate(names)), "position int, column string")
 
 
-# Some questions ("does a value repeat", "does a value meet two others") can be
-# answered no or yes by one witness. Looking at all rows of one value in SLICES,
-# chosen by hash, finds a witness for nearly everything that has one at a
-# fraction of the shuffle. A witness settles the question; whatever has none in
-# the slice is then checked on all rows.
+# Some questions ("does a value repeat", "does a value meet two others") are
+# settled by one witness, whichever rows it is found in. A slice of the rows
+# finds one for nearly everything that has one, at a fraction of the shuffle:
+# all rows of one value in SLICES, for values that are rare, and one row in
+# SLICES, for values that are not. Both are chosen by hash. Whatever has no
+# witness in the slice is then checked on all rows.
 SLICES = 64
 
 
@@ -119,11 +122,18 @@ def stack_values(
     """
     types = column_types(df)
     cells = [(F.lit(i), *value_key(name, types[name])) for i, name in enumerate(columns)]
+    payload = list(payload)
+    if slice_only:
+        flat = [c for c in columns if family_of(types[c]) != NESTED]
+        row = F.xxhash64(*[quoted(c) for c in flat]) if flat else F.lit(1).cast("bigint")
+        payload.append(row.alias("__row"))
     long = df.select(*payload, stack_rows(cells, ["position", *KEY]))
     if any(isinstance(types[name], (T.FloatType, T.DoubleType)) for name in columns):
         long = long.withColumn("dbl", F.when(~F.isnan("dbl"), F.col("dbl")))
     if slice_only:
-        long = long.where(F.pmod(F.xxhash64(*KEY), F.lit(SLICES)) == 0)
+        by_value = F.pmod(F.xxhash64(*KEY), F.lit(SLICES)) == 0
+        by_row = F.pmod(F.col("__row"), F.lit(SLICES)) == 0
+        long = long.where(by_value | by_row).drop("__row")
     return long
 
 

@@ -47,21 +47,29 @@ def _write_star(star: Star, path: str) -> None:
 
 
 def clean_table(
-    df: DataFrame, path: str | None = None, threshold: float = 0.95, in_place: bool = False
+    df: DataFrame,
+    path: str | None = None,
+    threshold: float = 0.95,
+    in_place: bool = False,
+    stage: bool = False,
 ) -> Cleaned:
     """Drop sparse and identical columns, find keys and relations, split off lookups.
 
     Columns are compared in standardised form; the table itself keeps its text
     unless ``in_place``. With ``path`` the fact table, its column mapping and
     the lookups are written there.
+
+    The input is scanned a handful of times. ``stage`` writes it out once
+    first, which pays for text files and joins; scans of columnar files are
+    cheaper as they are.
     """
+    if stage:
+        df = materialize(df, "input")
     # standardising changes no value to or from null, so one count serves all steps
     counts = column_counts(df)
     slim, sparse = drop_sparse_columns(df, threshold, "floor", counts=counts)
     shadow = standardize_text(slim, in_place=True)
     (shadow, slim), identical = drop_identical_columns(shadow, slim, counts=counts)
-    # every later profile reads the comparison form: write it once, narrowed
-    shadow = materialize(shadow, "shadow")
     relations = find_relations(shadow, counts)
     star = star_schema(shadow if in_place else slim, relations, confirm=not in_place)
     if path is not None:
