@@ -61,20 +61,20 @@ def choice_sql(t1: str, keys1, t2: str, keys2) -> str:
     )
 
 
-_LATE_DOCS = derived("documents", "doc_id", "lang").sql.replace("FROM documents", "FROM documents WHERE doc_id >= 200")
+_LATER_IDS = derived("documents", "doc_id + 100 AS doc_id", "lang")
 _CHOICES = (
     ("nation", ("n_nationkey", "n_regionkey"), "region", ("r_regionkey",)),
     ("orders", ("o_orderkey", "o_custkey"), "customer", ("c_custkey",)),
     ("labels", ("doc_id", "quality"), "documents", ("doc_id",)),
     ("documents", ("doc_id",), "labels", ("doc_id",)),
-    ("pages", ("page_id",), _LATE_DOCS, ("doc_id",)),
+    ("pages", ("page_id",), _LATER_IDS.sql, ("doc_id",)),
 )
 
 
 @query(" UNION ALL ".join(f"(SELECT * FROM ({choice_sql(*pair)}))" for pair in _CHOICES))
 def chosen_joins(t: Tables):
     def frame(name: str):
-        return t("documents").where("doc_id >= 200") if name == _LATE_DOCS else t(name)
+        return _LATER_IDS.frame(t) if name == _LATER_IDS.sql else t(name)
 
     rows = []
     for a, keys1, b, keys2 in _CHOICES:

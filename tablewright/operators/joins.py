@@ -166,9 +166,10 @@ def merge_many(
         if keys is not None:
             keys1, keys2 = [keys[step][0]], [keys[step][1]]
         else:
-            types = column_types(merged)
-            keys1 = [c for c in merged.columns if family_of(types[c]) != NESTED]
-            keys2 = unique2
+            types, types2 = column_types(merged), column_types(df)
+            keys2 = [c for c in unique2 if family_of(types2[c]) != NESTED]
+            kinds = {family_of(types2[c]) for c in keys2}
+            keys1 = [c for c in merged.columns if family_of(types[c]) in kinds]
         choice = choose_join(merged, keys1, df, keys2, prefer)
         if choice is None:
             raise ValueError(f"table {step + 2} shares no key values with the tables before it")

@@ -221,6 +221,8 @@ def pairwise_equality(
 
     def equal(a: str, b: str) -> Column:
         left, right = clean_value(a, types[a]), clean_value(b, types[b])
+        if family_of(types[a]) == family_of(types[b]) == NESTED:
+            left, right = F.to_json(left), F.to_json(right)
         if family_of(types[a]) == family_of(types[b]):
             return same_value(left, right, null_safe)
         return left.isNull() & right.isNull() if null_safe else F.lit(False)

@@ -132,9 +132,9 @@ def _pairs(parsed: Column) -> Column:
     return F.flatten(F.transform(entries, of_entry))
 
 
-def xml_values(fragment: Column, key: str) -> Column:
-    """The first value of one key of a fragment."""
-    return F.get(F.filter(fragment_pairs(fragment), lambda p: p["key"] == key), 0)["value"]
+def first_value(pairs: Column, key: str) -> Column:
+    """The first value of one key among ``fragment_pairs``."""
+    return F.get(F.filter(pairs, lambda p: p["key"] == key), 0)["value"]
 
 
 def _with_pairs(df: DataFrame, column: str, name: str) -> DataFrame:

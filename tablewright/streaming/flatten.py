@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 from tablewright.functions.values import quoted
 from tablewright.operators.cleaning import standardize_text
 from tablewright.operators.schema_ops import split_xml_columns
-from tablewright.operators.xml_ops import xml_values
+from tablewright.operators.xml_ops import first_value, fragment_pairs
 
 
 def stream_flatten(
@@ -53,10 +53,15 @@ def stream_flatten(
 def flatten_known(df: DataFrame, keys: Sequence[str], suffix: str = "Xml") -> DataFrame:
     """Plain columns plus one column per given XML key, taken from any XML column."""
     plain, xml = split_xml_columns(df, suffix)
+    # parsed in a projection of their own, once for all keys
+    parsed = df.select(
+        *[quoted(name) for name in plain],
+        *[fragment_pairs(F.col(quoted(c))).alias(f"__p{i}") for i, c in enumerate(xml)],
+    )
     cells = [F.col(quoted(name)) for name in plain if name not in keys]
     for key in keys:
-        layers = [xml_values(F.col(quoted(c)), key) for c in reversed(xml)]
+        layers = [first_value(F.col(f"__p{i}"), key) for i in reversed(range(len(xml)))]
         if key in plain:
             layers.append(F.col(quoted(key)).cast("string"))
         cells.append(F.coalesce(*layers).alias(key))
-    return df.select(*cells)
+    return parsed.select(*cells)

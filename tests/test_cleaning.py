@@ -15,6 +15,7 @@ from tablewright.operators.cleaning import (
     normalize_na,
     standardize_text,
 )
+from tablewright.operators.relations import find_relations
 from tablewright.operators.profile import (
     completeness_profile,
     equality_bounds,
@@ -155,3 +156,11 @@ def test_many_columns(spark):
     df = spark.range(50).selectExpr(*[f"CASE WHEN id < {i} THEN NULL ELSE id + {i} END AS c{i}" for i in range(80)])
     assert primary_key_candidates(df) == ["c0"]
     assert pairwise_equality(df).count() == 80 * 79 // 2
+
+
+def test_nested_columns_take_part(spark):
+    df = spark.range(30).selectExpr("map('k', id % 3) AS m", "map('k', id % 3) AS m2", "array(id) AS a", "id % 3 AS n")
+    assert drop_identical_columns(df)[1] == ["m2"]
+    relations = find_relations(df)
+    assert ("m", "n") in relations.dependencies and ("n", "m") in relations.dependencies
+    assert relations.keys == ["a"]
