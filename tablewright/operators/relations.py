@@ -80,23 +80,24 @@ def _refute(df: DataFrame, pairs: Sequence[tuple[str, str]], slice_only: bool) -
     targets = list(dict.fromkeys(b for _, b in pairs))
     payload = [sortable(b, types[b]).alias(f"b{j}") for j, b in enumerate(targets)]
     long = stack_values(df, determinants, payload, slice_only)
-    folded = []
-    for j in range(len(targets)):
-        b = F.col(f"b{j}")
-        folded += [F.min(b).alias(f"lo{j}"), F.max(b).alias(f"hi{j}"), F.count(b).alias(f"c{j}")]
-    groups = long.groupBy("position", *KEY).agg(F.count(F.lit(1)).alias("n"), *folded)
+    columns = range(len(targets))
+    folded = [
+        F.expr(text)
+        for j in columns
+        for text in (f"min(b{j}) AS lo{j}", f"max(b{j}) AS hi{j}", f"count(b{j}) AS c{j}")
+    ]
+    groups = long.groupBy("position", *KEY).agg(F.expr("count(1) AS n"), *folded)
     groups = groups.withColumn("known", has_key())
-    checks = [
-        F.count_if("known").alias("ndv"),
-        F.bool_or(F.col("known") & (F.col("n") > 1)).alias("repeats"),
+    checks = [F.expr("count_if(known) AS ndv"), F.expr("bool_or(known AND n > 1) AS repeats")]
+    checks += [
+        F.expr(text)
+        for j in columns
+        for text in (
+            f"count_if(known AND lo{j} <> hi{j}) AS broken{j}",
+            f"count_if(known AND c{j} > 0) AS met{j}",
+            f"count_if(c{j} > 0 AND (NOT known OR c{j} < n)) AS torn{j}",
+        )
     ]
-    for j in range(len(targets)):
-        some = F.col(f"c{j}") > 0
-        checks += [
-            F.count_if(F.col("known") & (F.col(f"lo{j}") != F.col(f"hi{j}"))).alias(f"broken{j}"),
-            F.count_if(F.col("known") & some).alias(f"met{j}"),
-            F.count_if(some & (~F.col("known") | (F.col(f"c{j}") < F.col("n")))).alias(f"torn{j}"),
-        ]
     verdicts = {r["position"]: r for r in groups.groupBy("position").agg(*checks).collect()}
     place = {name: j for j, name in enumerate(targets)}
     order = {name: i for i, name in enumerate(determinants)}
