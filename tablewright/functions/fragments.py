@@ -14,29 +14,48 @@ _XML_NAME = re.compile(r"[A-Za-z_][\w.:-]*\Z")
 _CONTROL = re.compile("[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\ufffe\\uffff]")
 
 
+# Fixed value: how names of elements and attributes stand in a start tag.
+_TAG = re.compile(r"<\s*([^\s/>]+)")
+_ATTRIBUTE = re.compile(r"([A-Za-z_][\w.:-]*)\s*=")
+
+
 class _Balancer(HTMLParser):
-    """Writes what a lenient tokenizer reads back as balanced XML."""
+    """Writes what a lenient tokenizer reads back as balanced XML.
+
+    The tokenizer lower-cases names; they are taken from the text of the tag instead.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.out: list[str] = []
-        self.open: list[str] = []
+        self.open: list[tuple[str, str]] = []  # in lower case, as written
+
+    def set_cdata_mode(self, *args, **kwargs):
+        """No element of XML holds raw text only, also not those that do in HTML."""
 
     def handle_starttag(self, tag, attrs):
-        if not _XML_NAME.match(tag):
+        text = self.get_starttag_text() or ""
+        written = _TAG.match(text)
+        name = written[1] if written and written[1].lower() == tag else tag
+        if not _XML_NAME.match(name):
             return
-        named = {k: v or "" for k, v in attrs if _XML_NAME.match(k)}
-        self.out.append(f"<{tag}" + "".join(f" {k}={quoteattr(v)}" for k, v in named.items()) + ">")
-        self.open.append(tag)
+        spelt = {k.lower(): k for k in _ATTRIBUTE.findall(text)}
+        named = {spelt.get(k, k): v or "" for k, v in attrs if _XML_NAME.match(k)}
+        self.out.append(f"<{name}" + "".join(f" {k}={quoteattr(v)}" for k, v in named.items()) + ">")
+        self.open.append((tag, name))
 
     def handle_endtag(self, tag):
-        if tag in self.open:
+        if any(tag == low for low, _ in self.open):
             while True:
-                last = self.open.pop()
-                self.out.append(f"</{last}>")
-                if last == tag:
+                low, name = self.open.pop()
+                self.out.append(f"</{name}>")
+                if low == tag:
                     break
 
+    def unknown_decl(self, data):
+        if data.startswith("CDATA["):
+            self.out.append(escape(data[6:]))
+
     def handle_data(self, data):
         self.out.append(escape(data))
 
@@ -46,7 +65,7 @@ def balance_fragment(fragment: str) -> str:
     parser = _Balancer()
     parser.feed(_CONTROL.sub("", fragment))
     parser.close()
-    return "".join(parser.out) + "".join(f"</{tag}>" for tag in reversed(parser.open))
+    return "".join(parser.out) + "".join(f"</{name}>" for _, name in reversed(parser.open))
 
 
 # Executors get these few lines with the task and need no installed package.

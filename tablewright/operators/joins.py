@@ -10,7 +10,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.functions.values import NESTED, family_of, quoted
+from tablewright.functions.values import NESTED, clean_value, family_of, quoted
 from tablewright.operators.overlap import key_match_percentages
 from tablewright.operators.profile import column_types, primary_key_candidates
 from tablewright.operators.relations import Star, find_relations, star_schema
@@ -28,15 +28,21 @@ class JoinChoice(NamedTuple):
     common: int
 
 
-def join_type(ndv1: int, ndv2: int, common: int) -> str:
-    """Equal sets join inner; a subset keeps the larger side; otherwise full outer."""
-    if common == ndv1 == ndv2:
-        return "inner"
-    if common == ndv1:
-        return "right"
-    if common == ndv2:
-        return "left"
-    return "outer"
+def join_type(ndv1: int, ndv2: int, common: int, nulls1: bool = False, nulls2: bool = False) -> str:
+    """Equal sets join inner; a subset keeps the larger side; otherwise full outer.
+
+    A side with rows without a key (null or NaN) is kept as well: they match
+    nothing, so another join would lose them.
+    """
+    keep1 = common < ndv1 or nulls1
+    keep2 = common < ndv2 or nulls2
+    return {(False, False): "inner", (True, False): "left", (False, True): "right"}.get((keep1, keep2), "outer")
+
+
+def has_rows_without(df: DataFrame, key: str) -> bool:
+    """Whether some row has a null or NaN as ``key``; reads this column alone."""
+    missing = clean_value(key, column_types(df)[key]).isNull()
+    return not df.select(missing.alias("missing")).where("missing").isEmpty()
 
 
 def choose_join(
@@ -46,7 +52,7 @@ def choose_join(
     keys2: Sequence[str],
     prefer: str | None = None,
 ) -> JoinChoice | None:
-    """The best matching pair of columns and the join it calls for.
+    """The best matching pair of columns and the join it calls for, no row of either side lost.
 
     Pairs are ranked by how close their value sets are to identical: shared
     values over all values of both. Containment alone would favour a column of
@@ -65,7 +71,8 @@ def choose_join(
     keys1, keys2 = list(keys1), list(keys2)
     best = min(matches, key=rank)
     n1, n2, n = best["ndv1"], best["ndv2"], best["common"]
-    return JoinChoice(best["key1"], best["key2"], join_type(n1, n2, n), n1, n2, n)
+    how = join_type(n1, n2, n, has_rows_without(df1, best["key1"]), has_rows_without(df2, best["key2"]))
+    return JoinChoice(best["key1"], best["key2"], how, n1, n2, n)
 
 
 def merge_pair(
@@ -81,7 +88,7 @@ def merge_pair(
     unique1: bool = False,
     unique2: bool = False,
 ) -> DataFrame:
-    """Join on ``k1 = k2``; the key comes out once, under the name ``k1``.
+    """Join on ``k1 = k2``; the key comes out once, under the name ``k1``. NaN keys count as null.
 
     Other columns both sides have get the suffixes, or with ``coalesce`` come
     out once, filled from the second table where the first has none.
@@ -118,7 +125,10 @@ def merge_pair(
         cells.append((name + suffixes[1] if clash else name, F.col(at2[name])))
     names = distinct_names(name for name, _ in cells)
 
-    joined = _joined(left, right, lk, rk, how, null_safe, unique1, unique2)
+    # matching goes by the key with NaN as null, the output keeps the key as it was
+    left = left.select("*", clean_value(lk, types1[k1]).alias("lkey"))
+    right = right.select("*", clean_value(rk, types2[k2]).alias("rkey"))
+    joined = _joined(left, right, "lkey", "rkey", how, null_safe, unique1, unique2)
     return joined.select(*[v.alias(n) for n, (_, v) in zip(names, cells, strict=True)])
 
 
@@ -201,6 +211,23 @@ def merge_and_reclean(dfs: Sequence[DataFrame], **options) -> Star:
     return star_schema(slim, find_relations(slim))
 
 
+def map_column(df: DataFrame, column: str, mapping: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """``df`` with what ``mapping`` says for the value of ``column``, null where it says nothing.
+
+    The keys of ``mapping`` must be unique; null and NaN are no keys.
+    """
+    types = column_types(df)
+    wanted = clean_value(column, types[column])
+    known = mapping.select(
+        clean_value(key, column_types(mapping)[key]).alias("__key"), F.col(quoted(value)).alias("__value")
+    )
+    numbered = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    joined = df.select("*", wanted.alias("__wanted")).toDF(*numbered.columns, "__wanted").join(
+        known, F.col("__wanted") == F.col("__key"), "left"
+    )
+    return joined.select(*numbered.columns, "__value").toDF(*df.columns, name)
+
+
 def union_by_name(dfs: Sequence[DataFrame]) -> DataFrame:
     """All rows of all tables; columns a table lacks are null there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)

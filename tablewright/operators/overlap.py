@@ -133,7 +133,10 @@ def value_set_equal_pairs(df: DataFrame, columns: Sequence[str] | None = None) -
 def key_match_percentages(
     df1: DataFrame, keys1: Sequence[str], df2: DataFrame, keys2: Sequence[str]
 ) -> DataFrame:
-    """For every pair of columns: distinct values on each side, shared ones, percentages."""
+    """For every pair of columns: distinct values on each side, shared ones, percentages.
+
+    The percentage of a side without values is null.
+    """
     schema = (
         "key1 string, key2 string, ndv1 bigint, ndv2 bigint, common bigint,"
         " pct_of_1 double, pct_of_2 double"
@@ -149,7 +152,7 @@ def key_match_percentages(
         for j, key2 in enumerate(keys2, len(keys1)):
             n1, n2, n = shared.get((i, i), 0), shared.get((j, j), 0), shared.get((i, j), 0)
             rows.append(
-                (key1, key2, n1, n2, n, 100.0 * n / n1 if n1 else 0.0, 100.0 * n / n2 if n2 else 0.0)
+                (key1, key2, n1, n2, n, 100.0 * n / n1 if n1 else None, 100.0 * n / n2 if n2 else None)
             )
     return df1.sparkSession.createDataFrame(rows, schema)
 

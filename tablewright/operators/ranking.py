@@ -13,7 +13,6 @@ from tablewright.operators.profile import column_types
 from tablewright.session import materialize
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition number above, row number below
-_BROADCAST_ROWS = 200_000  # of the offset table; beyond that it is shuffled
 
 
 def with_row_number(
@@ -47,10 +46,8 @@ def with_row_number(
         "__task_first",
         F.coalesce(F.sum("__task_rows").over(earlier), F.lit(0)).alias("__before"),
     )
-    # one row per task and group: counted, and broadcast only while it is small,
+    # one row per task and group: adaptive execution broadcasts it while it measures small,
     # which spares the numbered table a second shuffle
-    if offsets.count() <= _BROADCAST_ROWS:
-        offsets = F.broadcast(offsets)
     match = F.col("__task") == F.col("__t")
     for i, g in enumerate(groups):
         match &= F.col(quoted(g)).eqNullSafe(F.col(f"__g{i}"))

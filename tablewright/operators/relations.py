@@ -264,17 +264,39 @@ def choose_keepers(columns: Sequence[str], relations: Relations) -> dict[str, st
     return keeper_of
 
 
+def _torn_by_nan(df: DataFrame, keeper_of: dict[str, str]) -> list[str]:
+    """Float columns that hold both NaN and other values, null included, for one value of their keeper.
+
+    Elsewhere NaN reads as null; a rebuilt table has to tell them apart.
+    """
+    types = column_types(df)
+    pairs = [(b, a) for b, a in keeper_of.items() if types[b].typeName() in ("float", "double")]
+    if not pairs:
+        return []
+    cells = [
+        (F.lit(i), *value_key(a, types[a]), F.coalesce(F.isnan(F.col(quoted(b))), F.lit(False)))
+        for i, (b, a) in enumerate(pairs)
+    ]
+    long = df.select(stack_rows(cells, ["pair", *KEY, "nan"]))
+    met = long.groupBy("pair", *KEY).agg(F.count(F.lit(1)).alias("n"), F.count_if("nan").alias("nans"))
+    torn = met.where((F.col("nans") > 0) & ((F.col("nans") < F.col("n")) | ~has_key() | F.isnan("dbl")))
+    return [pairs[r["pair"]][0] for r in torn.select("pair").distinct().collect()]
+
+
 def star_schema(
     df: DataFrame, relations: Relations | None = None, confirm: bool = False
 ) -> Star:
     """Split one-to-one and many-to-one columns off into lookup tables.
 
-    Every column is dropped at most once, and ``rebuild`` returns the input.
+    Every column is dropped at most once, and ``rebuild`` returns the input:
+    each lookup has one row for each value of its keeper.
     ``confirm`` checks the chosen pairs on ``df`` itself, for relations that
     were found on a standardised copy of it.
     """
     relations = relations or find_relations(df)
     keeper_of = choose_keepers(df.columns, relations)
+    for b in _torn_by_nan(df, keeper_of):
+        del keeper_of[b]
     if confirm:
         held = exact_dependencies(df, [(a, b) for b, a in keeper_of.items()])
         keeper_of = {b: a for b, a in keeper_of.items() if (a, b) in held and held[a, b].lossless}

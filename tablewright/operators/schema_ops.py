@@ -20,8 +20,9 @@ def split_xml_columns(df: DataFrame, suffix: str = "Xml") -> tuple[list[str], li
 
 
 def drop_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    """Drop columns; names that are not there are ignored."""
-    return df.drop(*names)
+    """Drop columns by their exact names, case included; names that are not there are ignored."""
+    names = set(names)
+    return keep_columns(df, [name for name in df.columns if name not in names])
 
 
 def select_pair(df: DataFrame, a: str, b: str) -> DataFrame:

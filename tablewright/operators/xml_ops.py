@@ -6,6 +6,7 @@ the variant needs no schema, so rows may all have different elements.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -17,7 +18,7 @@ from pyspark.sql import types as T
 from tablewright.functions.fragments import balance_fragment
 from tablewright.functions.text import strip_whitespace
 from tablewright.functions.values import quoted
-from tablewright.operators.schema_ops import distinct_names, split_xml_columns
+from tablewright.operators.schema_ops import distinct_names, flatten_nested, split_xml_columns
 
 # A private-use character put in front of every text and attribute value. The
 # parser would otherwise turn 012 into 12, and would drop the blank text nodes
@@ -137,24 +138,25 @@ def first_value(pairs: Column, key: str) -> Column:
     return F.get(F.filter(pairs, lambda p: p["key"] == key), 0)["value"]
 
 
-def _with_pairs(df: DataFrame, column: str, name: str) -> DataFrame:
-    return df.withColumn(name, fragment_pairs(F.col(quoted(column))))
+def xml_fragment_to_long(df: DataFrame, id: str, column: str, repair: bool = True) -> DataFrame:
+    """``(id, key, pos, value)``; ``pos`` counts the repeats of a key from 0.
 
+    Malformed fragments are repaired unless ``repair`` is off; then they give nothing.
+    """
+    rows = df.select(quoted(id), quoted(column))
+    if repair:
+        rows = _repaired(rows, [column])
+    rows = rows.withColumn("__pairs", fragment_pairs(F.col(quoted(column))))
+    keys = F.array_distinct(F.transform("__pairs", lambda p: p["key"]))
+
+    def of_key(key: Column) -> Column:
+        return F.transform(
+            F.filter("__pairs", lambda p: p["key"] == key),
+            lambda p, i: F.struct(key.alias("key"), i.alias("pos"), p["value"].alias("value")),
+        )
 
-def xml_fragment_to_long(df: DataFrame, id: str, column: str) -> DataFrame:
-    """``(id, key, pos, value)``; ``pos`` counts the repeats of a key from 0."""
-    pairs = F.col("__pairs")
-    numbered = F.transform(
-        pairs,
-        lambda p, i: F.struct(
-            p["key"].alias("key"),
-            F.size(F.filter(F.slice(pairs, F.lit(1), i), lambda q: q["key"] == p["key"])).alias("pos"),
-            p["value"].alias("value"),
-        ),
-    )
     return (
-        _with_pairs(df.select(quoted(id), quoted(column)), column, "__pairs")
-        .select(quoted(id), F.explode(numbered).alias("__p"))
+        rows.select(quoted(id), F.explode(F.flatten(F.transform(keys, of_key))).alias("__p"))
         .select(quoted(id), "__p.key", "__p.pos", "__p.value")
     )
 
@@ -450,14 +452,21 @@ def _balanced(fragments: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield series.map(balance_fragment, na_action="ignore")
 
 
+def repaired_value(fragment: Column) -> Column:
+    """The fragment, or its repaired form if it is malformed. Sends all rows through Python, most as nulls."""
+    bad = is_malformed(fragment)
+    return F.when(bad, _balanced(F.when(bad, fragment))).otherwise(fragment)
+
+
 def _repaired(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Only malformed fragments are handed to Python; the rest of the batch is null."""
-    for name in columns:
-        value = F.col(quoted(name))
-        df = df.withColumn("__bad", F.when(is_malformed(value), value))
-        fixed = F.when(F.col("__bad").isNotNull(), _balanced(F.col("__bad"))).otherwise(value)
-        df = df.withColumn(name, fixed).drop("__bad")
-    return df
+    """Rows with malformed fragments are split off, repaired and put back; only these reach Python."""
+    if not columns:
+        return df
+    damaged = reduce(Column.__or__, [is_malformed(F.col(quoted(c))) for c in columns])
+    bad = df.where(damaged)
+    fixed = {c: repaired_value(F.col(quoted(c))) for c in columns}
+    bad = bad.select(*[fixed[c].alias(c) if c in fixed else F.col(quoted(c)) for c in df.columns])
+    return df.where(~damaged).unionAll(bad)
 
 
 def repair_xml(df: DataFrame, *columns: str) -> DataFrame:
@@ -471,6 +480,45 @@ def repair_xml(df: DataFrame, *columns: str) -> DataFrame:
     return _repaired(df, [c for i, c in enumerate(columns) if row[f"b{i}"]])
 
 
+def nested_xml_columns(
+    df: DataFrame, column: str, sep: str = "_", arrays: str = "first", repair: bool = True
+) -> DataFrame:
+    """Nested elements of one XML column as plain columns, level by level.
+
+    ``<S><T>x</T><U>y</U></S>`` gives ``s_t`` and ``s_u``, attributes come as ``s@name``, and the
+    text of an element that has attributes or children as ``s``. Names are lower-case.
+    ``arrays`` says what becomes of repeated elements, as in ``flatten_nested``.
+    The column itself is dropped; other columns stay, and keep their names if they clash.
+    One scan over the fragments infers their schema, in which every leaf is text.
+    """
+    if repair:
+        df = _repaired(df, [column])
+    wrapped = F.concat(F.lit("<r>"), F.col(quoted(column)), F.lit("</r>"))
+    options = {"attributePrefix": "@", "valueTag": "#", "ignoreNamespace": "false", "rowTag": "r", "inferSchema": "false"}
+    texts = df.where(F.col(quoted(column)).isNotNull()).select(wrapped.alias("value"))
+    spark = df.sparkSession
+    strings = getattr(texts._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    inferred = spark._jsparkSession.read().options(options).xml(strings).schema().json()
+    schema = T.StructType.fromJson(json.loads(inferred))
+    schema = T.StructType([f for f in schema if f.name not in ("_corrupt_record", "#")])
+    others = [c for c in df.columns if c != column]
+    if not schema.fields:
+        return df.select(*[quoted(c) for c in others])
+    parsed = F.from_xml(wrapped, schema, options)
+    names = distinct_names([*others, *[f.name for f in schema]])[len(others) :]
+    flat = flatten_nested(
+        df.select(*[F.col(quoted(c)) for c in others], parsed.alias("__x")).select(
+            *[F.col(quoted(c)) for c in others],
+            *[F.col("__x").getField(f.name).alias(n) for f, n in zip(schema, names)],
+        ),
+        sep,
+        arrays,
+    )
+    found = flat.columns[len(others) :]
+    short = [n.replace(f"{sep}@", "@").replace(f"{sep}#", "").lower() for n in found]
+    return flat.toDF(*distinct_names([*others, *short]))
+
+
 def malformed_fragments(df: DataFrame, id: str, column: str) -> DataFrame:
     """The malformed fragments with their repaired form."""
     bad = df.where(is_malformed(F.col(quoted(column)))).select(quoted(id), quoted(column))

@@ -40,8 +40,9 @@ class Merged(NamedTuple):
     star: Star
 
 
-def _write_star(star: Star, path: str) -> None:
-    write_with_column_mapping(star.fact, f"{path}/fact")
+def _write_star(star: Star, path: str, removed: Sequence[str] = ()) -> None:
+    removed = [*removed, *[c for c in star.columns if c not in star.fact.columns]]
+    write_with_column_mapping(star.fact, f"{path}/fact", removed=removed)
     for keeper, lookup in star.lookups.items():
         lookup.write.parquet(f"{path}/lookup_{star.columns.index(keeper)}")
 
@@ -73,15 +74,20 @@ def clean_table(
     relations = find_relations(shadow, counts)
     star = star_schema(shadow if in_place else slim, relations, confirm=not in_place)
     if path is not None:
-        _write_star(star, path)
+        _write_star(star, path, [c for c in df.columns if c not in star.columns])
     return Cleaned(star, relations, sparse, identical)
 
 
 def merge_tables(
     spark: SparkSession, paths: Sequence[str], out: str | None = None, sep: str = "\t", **options
 ) -> Merged:
-    """Read delimited tables, join them on the keys found, and clean the result again."""
-    merged = merge_many([read_typed_csv(spark, path, sep) for path in paths], **options)
+    """Read delimited tables, join them on the keys found, and clean the result again.
+
+    Each text is parsed once and staged as a columnar table, which the search
+    for keys then reads column by column.
+    """
+    tables = [materialize(read_typed_csv(spark, path, sep), "parsed") for path in paths]
+    merged = merge_many(tables, **options)
     merged = materialize(merged, "merged")
     star = merge_and_reclean([merged])
     if out is not None:
@@ -98,9 +104,12 @@ def flatten_folder(
     drop: Sequence[str] = ("Item",),
     partitions: int | None = None,
 ) -> DataFrame:
-    """Read a dump folder with differing headers, flatten its XML columns, write one table."""
-    dump = read_folder_union(spark, folder, suffix)
-    table = drop_columns(flatten_xml_columns(dump, partitions=partitions), drop)
+    """Read a dump folder with differing headers, flatten its XML columns, write one table.
+
+    ``drop`` names plain columns of the dump; what the XML holds is never dropped.
+    """
+    dump = drop_columns(read_folder_union(spark, folder, suffix), drop)
+    table = flatten_xml_columns(dump, partitions=partitions)
     if out is not None:
         write_tsv(table, out)
     return table

@@ -3,18 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tablewright.functions.values import quoted
 from tablewright.operators.cleaning import NA_TOKENS, normalize_na
 from tablewright.operators.joins import union_by_name
 from tablewright.operators.ranking import with_row_number
 
 # Doubled quotes inside quoted cells, as the usual writers produce them.
-_CSV = {
+CSV_OPTIONS = {
     "header": "true",
     "quote": '"',
     "escape": '"',
@@ -49,35 +49,92 @@ def read_text_table(
     sep: str = "\t",
     encodings: Sequence[str] = ("utf-8", "ISO-8859-1"),
     na_tokens: Sequence[str] = NA_TOKENS,
-    multiline: bool = False,
+    multiline: bool = True,
 ) -> DataFrame:
     """Delimited text with a header, every column a string.
 
-    Files that are not valid in the first encoding are read in the second.
-    That check reads the files once more; give a single encoding to skip it.
-    ``multiline`` allows line breaks in quoted cells, but then a file is read
-    by one task.
+    Files that are not valid in the first encoding are read in the second: the
+    first of ``encodings`` is UTF-8 then, and the second one that accepts any
+    byte, so later ones are never reached. That check reads the files once
+    more; give a single encoding to skip it. Files whose headers differ are
+    each read under their own, columns a file lacks are null. Line breaks in
+    quoted cells keep a file in one task; switch ``multiline`` off for large
+    files known to have none.
     """
 
     def load(files: Sequence[str], encoding: str) -> DataFrame:
-        reader = spark.read.options(**_CSV).option("sep", sep).option("encoding", encoding)
-        return reader.option("multiLine", multiline).csv(list(files))
+        reader = spark.read.options(**CSV_OPTIONS).option("sep", sep).option("encoding", encoding)
+        reader = reader.option("multiLine", multiline)
+        groups = _by_header(spark, files, encoding)
+        return union_by_name([reader.csv(members) for members in groups] or [reader.csv(list(files))])
 
     paths = _paths(path)
     if len(encodings) == 1:
         return normalize_na(load(paths, encodings[0]), na_tokens)
     good, bad = _badly_encoded_files(spark, paths)
-    parts = [load(files, code) for files, code in zip((good, bad), encodings, strict=True) if files]
+    parts = [load(files, code) for files, code in zip((good, bad), encodings[:2], strict=True) if files]
     return normalize_na(union_by_name(parts) if parts else load(paths, encodings[0]), na_tokens)
 
 
 def read_typed_csv(
-    spark: SparkSession, path: str, sep: str = ",", schema: StructType | str | None = None
+    spark: SparkSession,
+    path: str,
+    sep: str = ",",
+    schema: StructType | str | None = None,
+    na_tokens: Sequence[str] = NA_TOKENS,
+    multiline: bool = True,
 ) -> DataFrame:
-    """Delimited text with inferred types; a given ``schema`` saves the inferring scan."""
-    reader = spark.read.options(**_CSV).option("sep", sep)
-    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
-    return reader.csv(path)
+    """Delimited text with inferred types; a given ``schema`` saves the inferring scan.
+
+    Texts that read as missing are null before types are inferred, so one
+    ``NA`` doesn't turn a column of numbers into text. Line breaks in quoted
+    cells keep a file in one task; switch ``multiline`` off for large files
+    known to have none.
+    """
+    reader = spark.read.options(**CSV_OPTIONS).option("sep", sep).option("multiLine", multiline)
+    text = normalize_na(reader.csv(path), na_tokens)
+    if schema is None:
+        schema = inferred_types(text)
+    types = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    if len(types) != len(text.columns):
+        raise ValueError(f"{path} has {len(text.columns)} columns, the schema {len(types)}")
+    named = text.toDF(*[f.name for f in types])
+    return named.select(
+        *[F.col(quoted(f.name)).try_cast(f.dataType).alias(f.name) for f in types]
+    )
+
+
+_WHOLE = r"^[+-]?\d+$"
+#: Types a column of text may turn out to have, narrowest first, and what their texts look like.
+_TYPES = (
+    ("int", _WHOLE),
+    ("bigint", _WHOLE),
+    ("decimal(38,0)", _WHOLE),
+    ("double", r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?(NaN|Infinity|Inf)$"),
+    ("boolean", r"^(?i)(true|false)$"),
+    ("date", r"^\d{4}-\d{1,2}-\d{1,2}$"),
+    ("timestamp", r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$"),
+)
+
+
+def inferred_types(text: DataFrame) -> StructType:
+    """The narrowest type that reads every value of each column; text if none does or there is no value.
+
+    One aggregate counts, for each column and type, the values that don't read.
+    """
+    checks = []
+    for i, name in enumerate(text.columns):
+        value = F.col(quoted(name))
+        checks.append(F.count(value).alias(f"n{i}"))
+        for k, (kind, look) in enumerate(_TYPES):
+            reads = value.rlike(look) & value.try_cast(kind).isNotNull()
+            checks.append(F.count_if(value.isNotNull() & ~reads).alias(f"bad{i}_{k}"))
+    row = text.agg(*checks).first() if checks else {}
+    fields = []
+    for i, name in enumerate(text.columns):
+        fitting = [kind for k, (kind, _) in enumerate(_TYPES) if row[f"n{i}"] and not row[f"bad{i}_{k}"]]
+        fields.append(f"{quoted(name)} {fitting[0] if fitting else 'string'}")
+    return StructType.fromDDL(", ".join(fields)) if fields else StructType()
 
 
 def read_csv_with_xml(
@@ -88,18 +145,7 @@ def read_csv_with_xml(
     Line breaks inside cells keep a file in one task; switch ``multiline`` off
     for large files known to have none.
     """
-    return spark.read.options(**_CSV).option("multiLine", multiline).csv(_paths(path))
-
-
-def list_files(spark: SparkSession, folder: str, suffix: str) -> list[str]:
-    """Paths only; contents are not read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", f"*{suffix}")
-        .load(folder)
-        .select("path")
-    )
-    return sorted(r["path"] for r in files.collect())
+    return spark.read.options(**CSV_OPTIONS).option("multiLine", multiline).csv(_paths(path))
 
 
 def read_folder_union(
@@ -108,34 +154,67 @@ def read_folder_union(
     """All matching files of a folder; columns a file lacks are null.
 
     One scan with a mixed header would put values under the wrong names, so
-    files are grouped by header and each group is one scan. Finding the headers
-    reads the first line of each file.
+    files are grouped by header and each group is one scan. One job finds the
+    headers of all files.
     """
-    files = list_files(spark, folder, suffix)
-    if not files:
-        raise FileNotFoundError(f"no *{suffix} file in {folder}")
-    with ThreadPoolExecutor(8) as pool:
-        headers = list(
-            pool.map(lambda f: tuple(spark.read.options(**_CSV).csv(f).columns), files)
+    groups = _by_header(spark, [folder], suffix=suffix)
+    if not groups:
+        raise FileNotFoundError(f"no *{suffix} file with a header in {folder}")
+    return union_by_name([read_csv_with_xml(spark, members, multiline) for members in groups])
+
+
+def _by_header(
+    spark: SparkSession, files: Sequence[str], encoding: str = "utf-8", suffix: str = ""
+) -> list[list[str]]:
+    """Files with equal header lines, together. One job, however many files there are.
+
+    Files without a line are left out. Headers are compared as text, so two that differ
+    in quoting alone only cost one scan more. A file whose header has a line break in quotes stays alone.
+    """
+    lines = (
+        spark.read.option("encoding", encoding)
+        .option("pathGlobFilter", f"*{suffix}")
+        .text(list(files))
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_block_start").alias("block"),
+            F.monotonically_increasing_id().alias("place"),
+            "value",
         )
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for header, file in zip(headers, files, strict=True):
-        groups.setdefault(header, []).append(file)
-    return union_by_name(
-        [read_csv_with_xml(spark, members, multiline) for members in groups.values()]
+        .where("trim(value) <> ''")
     )
+    first = lines.groupBy("file").agg(F.min(F.struct("block", "place", "value")).alias("first"))
+    groups: dict[str, list[str]] = {}
+    for row in sorted(first.select("file", "first.value").collect(), key=lambda r: r["file"]):
+        whole = row["value"].count('"') % 2 == 0
+        groups.setdefault(row["value"] if whole else row["file"], []).append(row["file"])
+    return list(groups.values())
 
 
 def read_id_list(spark: SparkSession, path: str | Sequence[str], db: str | None = None) -> DataFrame:
     """``(db, id)`` from JSON arrays of IDs.
 
-    Reading comma by comma lets an array in one long line be split over tasks.
-    Without ``db`` the name of the file's folder is taken.
+    A file is split where one ID ends and the next begins (quote, comma, quote),
+    so that an array in one long line is read by many tasks; each piece is then
+    decoded as JSON. Lists with blanks around their commas, or of numbers, are
+    read line by line instead. Without ``db`` the name of the file's folder is taken.
     """
-    pieces = spark.read.option("lineSep", ",").text(_paths(path))
+    paths = _paths(path)
     source = F.lit(db) if db is not None else F.element_at(F.split("_metadata.file_path", "/"), -2)
-    parts = F.explode(F.split("value", r'[\s\[\]"]+'))
-    return pieces.select(source.alias("db"), parts.alias("id")).where("id <> ''")
+    whole = F.octet_length("value") == F.col("_metadata.file_size")
+    pieces = spark.read.option("lineSep", '","').text(paths).select(source.alias("db"), "value", whole.alias("whole"))
+    # an ID that ends in a quote and a comma was torn, too: such files are read as one piece each
+    if not pieces.where(F.col("value").rlike(r"(?<!\\)(\\\\)*\\$")).isEmpty():
+        pieces = spark.read.option("wholetext", True).text(paths).select(source.alias("db"), "value", F.lit(True).alias("whole"))
+    value = F.col("value")
+    # a piece lacks the quotes it was split at, unless a list begins or ends there
+    begins = F.col("whole") | value.rlike(r'^\s*\[(\s*"|\s*\]\s*\n)')
+    ends = F.col("whole") | value.rlike(r'((?<!\\)(\\\\)*"\s*\]|\n\s*\[\s*\])\s*$')
+    text = F.concat(F.when(begins, "").otherwise('["'), value, F.when(ends, "").otherwise('"]'))
+    # strings hold no raw line break, so one between brackets stands between lists
+    lists = pieces.select("db", F.explode(F.split(text, r"(?<=\])\s*\n\s*(?=\[)")).alias("list"))
+    ids = lists.select("db", F.explode(F.from_json("list", "array<string>")).alias("id"))
+    return ids.where("id <> ''")
 
 
 def records_to_table(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from tablewright.operators.ranking import pending_ids, plan_batches
@@ -26,14 +28,21 @@ def write_csv(df: DataFrame, path: str, mode: str = "error") -> None:
 
 
 def write_with_column_mapping(
-    df: DataFrame, path: str, threshold: float = 0.20, format: str = "parquet"
+    df: DataFrame,
+    path: str,
+    threshold: float = 0.20,
+    format: str = "parquet",
+    removed: Sequence[str] = (),
 ) -> DataFrame:
-    """Write the table under shortened names and, beside it, old and new names."""
+    """Write the table under shortened names and, beside it, old and new names.
+
+    Columns that are gone stand in the mapping without a new name.
+    """
     if format not in ("parquet", "tsv"):
         raise ValueError(f"unknown format {format!r}")
     names = short_names(df.columns, threshold)
     renamed = df.toDF(*names)
-    mapping = column_mapping(df.sparkSession, df.columns, names).select("original", "renamed")
+    mapping = column_mapping(df.sparkSession, df.columns, names, removed).select("original", "renamed")
     for table, name in ((renamed, "MetaData"), (mapping, "ColumnMapping")):
         if format == "parquet":
             table.write.parquet(f"{path}/{name}")

@@ -12,7 +12,8 @@ from pyspark.sql.types import StructType
 from tablewright.functions.values import quoted
 from tablewright.operators.cleaning import standardize_text
 from tablewright.operators.schema_ops import split_xml_columns
-from tablewright.operators.xml_ops import first_value, fragment_pairs
+from tablewright.operators.xml_ops import first_value, fragment_pairs, repaired_value
+from tablewright.sources.readers import CSV_OPTIONS
 
 
 def stream_flatten(
@@ -27,14 +28,15 @@ def stream_flatten(
 ) -> StreamingQuery:
     """Append each new record of the folder to ``out`` once, flattened and standardised.
 
-    A stream cannot look ahead for the XML keys, so they are given. State is
-    one entry per ``id``; a record seen before is skipped, also after a restart.
+    A stream cannot look ahead for the XML keys, so they are given. A record
+    seen before is skipped, also after a restart; for that the state holds one
+    entry per ``id`` for as long as the stream lives. Files are read as
+    ``read_csv_with_xml`` reads them, and malformed fragments are repaired.
     """
     stream = (
         spark.readStream.schema(schema)
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
+        .options(**CSV_OPTIONS)
+        .option("multiLine", True)
         .option("pathGlobFilter", f"*{suffix}")
         .csv(folder)
     )
@@ -56,7 +58,7 @@ def flatten_known(df: DataFrame, keys: Sequence[str], suffix: str = "Xml") -> Da
     # parsed in a projection of their own, once for all keys
     parsed = df.select(
         *[quoted(name) for name in plain],
-        *[fragment_pairs(F.col(quoted(c))).alias(f"__p{i}") for i, c in enumerate(xml)],
+        *[fragment_pairs(repaired_value(F.col(quoted(c)))).alias(f"__p{i}") for i, c in enumerate(xml)],
     )
     cells = [F.col(quoted(name)) for name in plain if name not in keys]
     for key in keys:
