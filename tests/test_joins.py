@@ -99,7 +99,7 @@ def test_empty_side_has_no_match(spark):
     b = spark.createDataFrame([(1,)], "k int")
     assert choose_join(a, ["k"], b, ["k"]) is None
     row = key_match_percentages(a, ["k"], b, ["k"]).first()
-    assert (row.pct_of_1, row.pct_of_2) == (0.0, 0.0)
+    assert (row.pct_of_1, row.pct_of_2) == (None, 0.0)
     with pytest.raises(ValueError):
         merge_many([a, b])
 

@@ -104,7 +104,10 @@ def test_names_that_differ_by_case(spark):
 @pytest.mark.parametrize(
     ("broken", "whole"),
     [
-        ("<Id>7", "<id>7</id>"),
+        ("<Id>7", "<Id>7</Id>"),
+        ("<Script>a<Id>7</Id>", "<Script>a<Id>7</Id></Script>"),
+        ("<Title>x<b Q=1>y", '<Title>x<b Q="1">y</b></Title>'),
+        ("<a><![CDATA[1 < 2]]><b>", "<a>1 &lt; 2<b></b></a>"),
         ("<a><b>1</a>", "<a><b>1</b></a>"),
         ("</x><a q=3>5 < 6</a>", '<a q="3">5 &lt; 6</a>'),
         ("<a>\x01&amp;", "<a>&amp;</a>"),
