@@ -20,7 +20,6 @@ from tablewright.functions.values import (
     family_of,
     has_key,
     quoted,
-    same_value,
     value_hash,
     value_key,
 )
@@ -210,38 +209,51 @@ def pairwise_equality(
 
     Sums of comparisons need no shuffle beyond one row per task. Pairs are
     split into aggregates of bounded width, each reading only its own columns.
+    Columns are cleaned once in a projection, so that a comparison is two
+    column names: with thousands of pairs, planning would otherwise take
+    longer than counting.
     """
-    types = column_types(df)
+    spark, types = df.sparkSession, column_types(df)
     if pairs is None:
         pairs = list(combinations(df.columns, 2))
+    pairs = list(pairs)
     if not pairs:
-        return df.sparkSession.createDataFrame(
+        return spark.createDataFrame(
             [], "col1 string, col2 string, n bigint, n_equal bigint, ratio double, identical boolean"
         )
+    place = {name: i for i, name in enumerate(df.columns)}
+
+    def value(name: str) -> Column:
+        cleaned = clean_value(name, types[name])
+        return F.to_json(cleaned) if family_of(types[name]) == NESTED else cleaned
 
-    def equal(a: str, b: str) -> Column:
-        left, right = clean_value(a, types[a]), clean_value(b, types[b])
-        if family_of(types[a]) == family_of(types[b]) == NESTED:
-            left, right = F.to_json(left), F.to_json(right)
+    def equal(a: str, b: str) -> str:
+        left, right = f"v{place[a]}", f"v{place[b]}"
         if family_of(types[a]) == family_of(types[b]):
-            return same_value(left, right, null_safe)
-        return left.isNull() & right.isNull() if null_safe else F.lit(False)
+            return f"{left} {'<=>' if null_safe else '='} {right}"
+        return f"{left} IS NULL AND {right} IS NULL" if null_safe else "false"
 
     parts = []
     for start in range(0, len(pairs), PAIRS_PER_PASS):
         chunk = pairs[start : start + PAIRS_PER_PASS]
-        row = df.agg(
-            F.count(F.lit(1)).alias("n"),
-            *[F.count_if(equal(a, b)).alias(f"e{i}") for i, (a, b) in enumerate(chunk)],
+        used = sorted({place[name] for pair in chunk for name in pair})
+        cleaned = df.select(*[value(df.columns[i]).alias(f"v{i}") for i in used])
+        counts = cleaned.selectExpr(
+            "count(1) AS n", f"array({', '.join(f'count_if({equal(a, b)})' for a, b in chunk)}) AS equals"
+        )
+        parts.append(counts.selectExpr("n", "posexplode(equals) AS (at, n_equal)").selectExpr(f"at + {start} AS pair", "n", "n_equal"))
+    names = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "pair int, col1 string, col2 string")
+    return (
+        reduce(DataFrame.unionAll, parts)
+        .join(names, "pair")
+        .select(
+            "col1",
+            "col2",
+            "n",
+            "n_equal",
+            F.try_divide(F.col("n_equal").cast("double"), F.col("n")).alias("ratio"),
+            ((F.col("n") > 0) & (F.col("n_equal") == F.col("n"))).alias("identical"),
         )
-        cells = [
-            (F.lit(a), F.lit(b), F.col("n"), F.col(f"e{i}")) for i, (a, b) in enumerate(chunk)
-        ]
-        parts.append(row.select(stack_rows(cells, ["col1", "col2", "n", "n_equal"])))
-    return reduce(DataFrame.union, parts).select(
-        "*",
-        F.try_divide(F.col("n_equal").cast("double"), F.col("n")).alias("ratio"),
-        ((F.col("n") > 0) & (F.col("n_equal") == F.col("n"))).alias("identical"),
     )
 
 

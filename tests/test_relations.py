@@ -159,3 +159,15 @@ def test_positional_mapping_by_first_appearance(spark, rows):
     assert rows(rel.positional_mapping(df, "a", "b", "n")) == [
         (1, "p", "x"), (2, "q", "z"), (3, "r", "y"),
     ]
+
+
+def test_equality_of_eighty_columns(spark):
+    from tablewright.operators.profile import pairwise_equality
+
+    wide = spark.range(50).select(*[(F.col("id") % (i % 7 + 1)).alias(f"w{i}") for i in range(80)])
+    found = {(r.col1, r.col2): r for r in pairwise_equality(wide).collect()}
+    assert len(found) == 80 * 79 // 2
+    for i, j in ((0, 7), (3, 79), (1, 2)):
+        same = sum(n % (i % 7 + 1) == n % (j % 7 + 1) for n in range(50))
+        assert found[f"w{i}", f"w{j}"].n_equal == same
+        assert found[f"w{i}", f"w{j}"].identical == (same == 50)
