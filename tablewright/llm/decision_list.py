@@ -167,7 +167,7 @@ def _holds(tests: Sequence[Test], data: dict[str, np.ndarray], n: int) -> np.nda
     return out
 
 
-def _best_test(data, label, weight_of, alive) -> tuple[float, Test] | None:
+def _best_test(data, label, alive) -> tuple[float, Test] | None:
     """The threshold with the largest information gain, times the hits kept."""
     y = label[alive]
     p0, n0 = y.sum(), len(y) - y.sum()
@@ -191,14 +191,19 @@ def _best_test(data, label, weight_of, alive) -> tuple[float, Test] | None:
 
 
 def learn_decision_list(
-    data: dict[str, np.ndarray], label: np.ndarray, target: int = 0, max_tests: int = 4, max_rules: int = 12
+    data: dict[str, np.ndarray],
+    label: np.ndarray,
+    target: int = 0,
+    max_tests: int = 4,
+    max_rules: int = 12,
+    least_precision: float = 0.95,
 ) -> list[Rule]:
     """Rules for ``target``, by sequential covering; what no rule covers has the other label.
 
     Each round splits the rows not yet covered two to one by position. On the larger
     part a rule grows test by test, each with the largest gain; on the smaller part it is pruned from
     its end as long as that doesn't worsen (hits - misses) / (hits + misses). A rule that is right
-    for less than three quarters of what it covers ends the list. No rows, or rows of one label,
+    for less than ``least_precision`` of what it covers ends the list: what is clean must stay. No rows, or rows of one label,
     give an empty list.
     """
     is_target = (label == target).astype(np.int64)
@@ -211,7 +216,7 @@ def learn_decision_list(
         grow = {k: v[to_grow] for k, v in data.items()}
         tests: list[Test] = []
         while len(tests) < max_tests:
-            found = _best_test(grow, is_target[to_grow], None, _holds(tests, grow, len(to_grow)))
+            found = _best_test(grow, is_target[to_grow], _holds(tests, grow, len(to_grow)))
             if found is None or found[0] <= 1e-9:
                 break
             tests.append(found[1])
@@ -227,7 +232,7 @@ def learn_decision_list(
         tests = tests[:keep]
         covered = left & _holds(tests, data, len(label))
         hits = int(is_target[covered].sum())
-        if covered.sum() == 0 or hits < 0.75 * covered.sum():
+        if covered.sum() == 0 or hits < least_precision * covered.sum():
             break
         rules.append(Rule(tuple(tests), target, int(covered.sum()), hits))
         left &= ~covered
