@@ -10,13 +10,14 @@ from itertools import chain, islice
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import regex
 from pyspark.sql import DataFrame
 
 from tablewright.llm.common import slices, take
 
 #: Distinct pieces whose ids a task remembers, and pairs of neighbours.
-REMEMBERED = 250_000
+REMEMBERED = 200_000
 #: Longer texts are split into pieces as they are read, not at once.
 LONG_TEXT = 1 << 20
 
@@ -183,6 +184,18 @@ def _encoder(vocabulary: Vocabulary, pattern: str) -> Encoder:
     return _ENCODERS[key]
 
 
+def _encoded(encoder: Encoder, batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, pa.ListArray]]:
+    """Runs of rows, and the ids of their texts."""
+    for at, to, _, _ in slices(batch.column("text")):
+        part = batch.slice(at, to - at)
+        flat, ends = [], [0]
+        for text in part.column("text").to_pylist():
+            ids = encoder.encode(text) if text else []
+            flat.append(np.array(ids, dtype=np.int32))
+            ends.append(ends[-1] + len(ids))
+        yield part, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(flat)))
+
+
 def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """doc_id and ids (array of int) of every row.
 
@@ -198,17 +211,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value, pattern)
         for batch in batches:
-            for at, to, _, _ in slices(batch.column("text")):
-                part = batch.slice(at, to - at)
-                flat, ends = [], [0]
-                for text in part.column("text").to_pylist():
-                    if text:
-                        flat.append(np.array(encoder.encode(text), dtype=np.int32))
-                        ends.append(ends[-1] + len(flat[-1]))
-                    else:
-                        ends.append(ends[-1])
-                values = np.concatenate(flat) if flat else np.zeros(0, np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+            for part, ids in _encoded(encoder, batch):
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids], ["doc_id", "ids"])
 
     rows = take(docs, "doc_id", "text")
@@ -218,9 +221,9 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
 
 def decode_column(tokens: pa.BinaryArray, ids: pa.ListArray) -> pa.BinaryArray:
     """The bytes of each list of ids. A null list gives null, an empty one no bytes."""
-    values = ids.values.slice(ids.offset and ids.offsets[0].as_py() or 0) if ids.offset else ids.values
     offsets = ids.offsets.to_numpy().astype(np.int64)
-    offsets = offsets - offsets[0] if ids.offset else offsets
+    values = ids.values.slice(offsets[0], offsets[-1] - offsets[0])  # the list may be part of a longer one
+    offsets = offsets - offsets[0]
     _, ends, data = tokens.take(values).cast(pa.large_binary()).buffers()
     ends = np.frombuffer(ends, np.int64) if ends is not None else np.zeros(1, np.int64)
     where = pa.py_buffer(np.ascontiguousarray(ends[offsets]))
@@ -249,27 +252,31 @@ def decode_documents(encoded: DataFrame, path: str) -> DataFrame:
     return rows.mapInArrow(decode, f"doc_id {kind}, ids array<int>, data binary")
 
 
-def digest_documents(decoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 (of the decimal ids, joined by commas) and decoded_sha256."""
+def digest_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 (of the decimal ids, joined by commas) and decoded_sha256 of every row.
+
+    Encodes as ``encode_documents`` does and decodes what came out, in one pass, so that
+    neither ids nor texts leave the task. Null and empty texts have the digests of nothing.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(read_ranks(path)))
 
     def digest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _encoder(shared.value, pattern)
+        tokens = pa.array(shared.value.tokens, pa.binary())
         for batch in batches:
-            lists, data = batch.column("ids"), batch.column("data")
-            n, of_ids, of_data = [], [], []
-            for i in range(batch.num_rows):
-                ids = lists[i].values
-                n.append(len(ids))
+            for part, ids in _encoded(encoder, batch):
+                data = decode_column(tokens, ids)
                 joined = pa.compute.binary_join(
-                    pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids.cast(pa.string())), ","
-                )[0].as_buffer()
-                of_ids.append(hashlib.sha256(joined or b"").hexdigest())
-                of_data.append(hashlib.sha256(data[i].as_buffer() or b"").hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(of_ids), pa.array(of_data)],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+                    pa.ListArray.from_arrays(ids.offsets, ids.values.cast(pa.string())), ","
+                )
+                columns = [part.column("doc_id"), pa.compute.list_value_length(ids).cast(pa.int64())]
+                columns += [pa.array([_sha256(x) for x in column]) for column in (joined, data)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    rows = take(docs, "doc_id", "text")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(digest, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
 
-    kind = decoded.schema["doc_id"].dataType.simpleString()
-    return decoded.select("doc_id", "ids", "data").mapInArrow(
-        digest, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    )
+def _sha256(value: pa.Scalar) -> str:
+    return hashlib.sha256(value.as_buffer() or b"").hexdigest()

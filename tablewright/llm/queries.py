@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm.byte_bpe import decode_documents, digest_documents, encode_documents
+from tablewright.llm.byte_bpe import digest_documents
 from tablewright.llm.common import table
 from tablewright.llm.decision_list import judge_quality
 from tablewright.llm.embedding_dedup import near_duplicates
@@ -86,8 +86,7 @@ def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op9_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    encoded = encode_documents(table(spark, folder, "documents"), RANKS, public_tokenizers.PATTERN)
-    return digest_documents(decode_documents(encoded, RANKS))
+    return digest_documents(table(spark, folder, "documents"), RANKS, public_tokenizers.PATTERN)
 
 
 @query
