@@ -121,19 +121,27 @@ def stack_values(
     """
     types = column_types(df)
     cells = [(F.lit(i), *value_key(name, types[name])) for i, name in enumerate(columns)]
-    payload = list(payload)
-    if slice_only:
-        flat = [c for c in columns if family_of(types[c]) != NESTED]
-        row = F.xxhash64(*[quoted(c) for c in flat]) if flat else F.lit(1).cast("bigint")
-        payload.append(row.alias("__row"))
-    long = df.select(*payload, stack_rows(cells, ["position", *KEY]))
-    if any(isinstance(types[name], (T.FloatType, T.DoubleType)) for name in columns):
-        long = long.withColumn("dbl", F.when(~F.isnan("dbl"), F.col("dbl")))
-    if slice_only:
-        by_value = F.pmod(F.xxhash64(*KEY), F.lit(SLICES)) == 0
-        by_row = F.pmod(F.col("__row"), F.lit(SLICES)) == 0
-        long = long.where(by_value | by_row).drop("__row")
-    return long
+    floats = any(isinstance(types[name], (T.FloatType, T.DoubleType)) for name in columns)
+    known = lambda dbl: F.when(~F.isnan(dbl), dbl) if floats else dbl
+    if not slice_only:
+        long = df.select(*payload, stack_rows(cells, ["position", *KEY]))
+        return long.withColumn("dbl", known(F.col("dbl"))) if floats else long
+    # what isn't in the slice is dropped before it gets a row of its own with all the payload
+    flat = [c for c in columns if family_of(types[c]) != NESTED]
+    row = F.xxhash64(*[quoted(c) for c in flat]) if flat else F.lit(1).cast("bigint")
+    every = F.array(*[F.struct(*[c.alias(n) for c, n in zip(cell, ["position", *KEY])]) for cell in cells])
+    staged = df.select(
+        *[c.alias(f"__p{i}") for i, c in enumerate(payload)],
+        (F.pmod(row, F.lit(SLICES)) == 0).alias("__by_row"),
+        every.alias("__cells"),
+    )
+    in_slice = F.filter(
+        "__cells",
+        lambda c: F.col("__by_row") | (F.pmod(F.xxhash64(c["num"], known(c["dbl"]), c["txt"]), F.lit(SLICES)) == 0),
+    )
+    long = staged.select(*[f"__p{i}" for i in range(len(payload))], F.inline(in_slice))
+    names = df.select(*payload).columns if payload else []
+    return long.toDF(*names, "position", *KEY).withColumn("dbl", known(F.col("dbl")))
 
 
 def long_values(df: DataFrame, columns: Sequence[str], slice_only: bool = False) -> DataFrame:
