@@ -301,35 +301,36 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE)
 
     rows = take(docs, "doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    head = materialize(
-        rows.mapInArrow(sets, f"doc_id {kind}, n_shingles long, fp long, keys array<long>"), "shingle-sets"
-    )
-    distinct_sets = head.filter("fp is not null").groupBy("fp").agg(
-        F.min("doc_id").alias("first_doc"), F.max("n_shingles").alias("n")
-    )
-
-    keys = head.filter("fp is not null").select("fp", F.explode("keys").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("fp").alias("low"), F.max("fp").alias("high"), F.count("*").alias("n"))
-    shared = materialize(shared.filter("low < high"), "shared-segments")
-    more = shared.filter("n > 2").select(F.col("key").alias("k"), "low")
-    pairs = shared.filter("n = 2").select(F.col("low").alias("a"), F.col("high").alias("b")).unionByName(
-        keys.join(more, F.col("key") == F.col("k")).select(F.col("low").alias("a"), F.col("fp").alias("b"))
-    )
+    made = rows.mapInArrow(sets, f"doc_id {kind}, n_shingles long, fp long, keys array<long>")
+    # rows get a number that is written down with them; numbers of neighbours are alike, which
+    # keeps the large shuffle by key at little more than the keys
+    head = materialize(made.withColumn("row", F.monotonically_increasing_id()), "shingle-sets")
+    distinct_sets = head.filter("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("first_doc"))
+
+    # one shuffle by key serves both the first row of each key and the link of all its rows to it
+    keys = head.select("row", F.explode("keys").alias("key")).repartition("key")
+    lowest = keys.groupBy("key").agg(F.min("row").alias("low"), F.max("row").alias("high")).filter("low < high")
+    # (no filter here: both sides must read the same, or each is shuffled for itself)
+    pairs = keys.join(lowest.hint("merge"), "key").select(F.col("low").alias("a"), F.col("row").alias("b"))
     group_of = materialize(components(pairs), "candidate-groups")
 
-    # the texts of the candidates, one for each distinct set
-    wanted = group_of.join(distinct_sets, F.col("node") == F.col("fp")).select(
-        "fp", F.col("component").alias("group"), "n", "first_doc"
+    # the texts of the candidates, one for each distinct set; copies share all keys and so a group
+    known = (
+        head.select("row", "fp", "n_shingles", "doc_id")
+        .join(group_of, F.col("row") == F.col("node"))
+        .groupBy("fp")
+        .agg(F.min("component").alias("group"), F.max("n_shingles").alias("n"), F.min("doc_id").alias("first_doc"))
     )
-    known = materialize(wanted, "candidates")
+    known = materialize(known, "candidates")
     sizes = known.groupBy("group").agg(
         F.count("*").alias("sets"),
         F.greatest(
             F.ceil(F.count("*") / CHUNK_SETS), F.ceil(F.sum("n") / CHUNK_SHINGLES), F.lit(1)
         ).cast("int").alias("parts"),
-    )
+    ).filter("sets > 1")
+    known = known.join(sizes, "group")
     candidates = materialize(
-        _sets_of(rows, known, size).join(known.select("fp", F.col("group"), "n"), "fp").join(sizes, "group"),
+        _sets_of(rows, known, size).join(known.select("fp", "group", "sets", "parts"), "fp"),
         "candidate-sets",
     )
     part = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
@@ -376,7 +377,8 @@ def _sets_of(rows: DataFrame, known: DataFrame, size: int) -> DataFrame:
 
     # null-safe: a set may belong to nameless documents alone
     named = known.select(F.col("first_doc").alias("d")).distinct()
-    texts = rows.join(named, F.col("doc_id").eqNullSafe(F.col("d")), "left_semi").select("text")
+    # candidates grow with the corpus: a merge join is the plan at every size
+    texts = rows.join(named.hint("merge"), F.col("doc_id").eqNullSafe(F.col("d")), "left_semi").select("text")
     # documents that share a doc_id may bring a set twice, or one that isn't wanted
     return texts.mapInArrow(sets, "fp long, shingles array<long>").dropDuplicates(["fp"])
 
