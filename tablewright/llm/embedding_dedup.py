@@ -104,18 +104,21 @@ class MultiIndex:
         return [[i * words + j for i, j in multi_sequence(a, b, self.depth)] for a, b in zip(first, second)]
 
 
-def _usable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
-    """id and unit vector of the vectors that can link."""
-    v = take(vectors, id_column, vector_column).toDF("id", "raw")
-    whole = F.transform("raw", lambda x: x.cast("double"))
-    finite = F.forall(whole, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    largest = F.array_max(F.transform(whole, F.abs))
-    v = v.filter(F.coalesce(F.col("raw").isNotNull() & (F.size("raw") > 0) & finite, F.lit(False)))
-    v = v.select("id", "raw", whole.alias("v"), largest.alias("largest")).filter("largest > 0")
-    # scaled first, so that no square overflows or vanishes
-    v = v.select("id", F.transform("v", lambda x: x / F.col("largest")).alias("v"))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
-    return v.select("id", F.transform("v", lambda x: x / norm).alias("v"))
+def unit_vectors(column: pa.Array, width: int) -> np.ndarray:
+    """Rows of a column of lists, in double precision, scaled to length one."""
+    v = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), width)
+    v = v / np.abs(v).max(axis=1, keepdims=True)  # so that no square overflows or vanishes
+    return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+
+def _split(vectors: DataFrame, id_column: str, vector_column: str) -> tuple[DataFrame, DataFrame]:
+    """id and v of the vectors that can link, and id of the others."""
+    v = take(vectors, id_column, vector_column).toDF("id", "v")
+    if v.schema["v"].dataType.simpleString() != "array<float>":
+        v = v.withColumn("v", F.col("v").cast("array<double>"))
+    finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    usable = F.coalesce(finite & F.exists("v", lambda x: x != 0), F.lit(False))
+    return v.filter(usable), v.filter(~usable).select("id")
 
 
 def near_duplicates(
@@ -143,11 +146,11 @@ def near_duplicates(
     Rows that repeat a vec_id and vector are rows of their own. A null vec_id is
     counted as a link but never names a component; its kept is false if it is alone. No rows give no rows.
     """
-    usable = _usable(vectors, id_column, vector_column)
+    usable, others = _split(vectors, id_column, vector_column)
     kind = usable.schema["id"].dataType.simpleString()
     keyed = materialize(
         usable.select("id", "v", F.xxhash64("v").alias("k1"), F.xxhash64(F.lit("second"), "v").alias("k2")),
-        "unit-vectors",
+        "vectors",
     )
     # the vector of a class is that of any of its rows: they are equal
     classes = materialize(
@@ -187,8 +190,7 @@ def near_duplicates(
     linked = keyed.join(named, (F.col("k1") == F.col("c1")) & (F.col("k2") == F.col("c2"))).select(
         "id", "n_links", "component_id"
     )
-    # what can't link is what _usable left out
-    rest = _unusable(vectors, id_column, vector_column).select(
+    rest = others.select(
         "id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id")
     )
     return linked.unionByName(rest).select(
@@ -199,18 +201,10 @@ def near_duplicates(
     )
 
 
-def _unusable(vectors: DataFrame, id_column: str, vector_column: str) -> DataFrame:
-    v = take(vectors, id_column, vector_column).toDF("id", "raw")
-    whole = F.transform("raw", lambda x: x.cast("double"))
-    finite = F.forall(whole, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    usable = F.col("raw").isNotNull() & (F.size("raw") > 0) & finite & F.exists(whole, lambda x: x != 0)
-    return v.filter(~F.coalesce(usable, F.lit(False))).select("id")
-
-
 def _links_of_width(classes: DataFrame, n: int, width: int, cosine: float, recall: float, fit_rows: int) -> DataFrame:
     """node, links (rows it links with, copies counted) and root (a node it is connected with)."""
-    sample = classes.orderBy("node").limit(fit_rows).select("v").toPandas()["v"]  # nodes are hashes
-    sample = np.stack([np.asarray(v, dtype=np.float64) for v in sample])
+    sample = classes.orderBy("node").limit(fit_rows).select("v").toArrow()  # nodes are hashes
+    sample = unit_vectors(sample.column("v").combine_chunks(), width)
     words = max(1, min(MOST_WORDS, math.ceil(math.sqrt(n / PER_CELL)), len(sample)))
     index = classes.sparkSession.sparkContext.broadcast(MultiIndex(sample, words, cosine, recall))
 
@@ -218,13 +212,14 @@ def _links_of_width(classes: DataFrame, n: int, width: int, cosine: float, recal
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                v = part.column("v").flatten().to_numpy().reshape(part.num_rows, width)
-                cells = pa.array(index.value.visits(v), pa.list_(pa.int32()))
+                cells = index.value.visits(unit_vectors(part.column("v"), width))
+                cells = pa.array(cells, pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("node"), part.column("rows"), part.column("v"), cells], ["node", "rows", "v", "cells"]
                 )
 
-    schema = "node long, rows long, v array<double>, cells array<int>"
+    kind = classes.schema["v"].dataType.simpleString()
+    schema = f"node long, rows long, v {kind}, cells array<int>"
     visits = materialize(classes.select("node", "rows", "v").mapInArrow(visit, schema), "visits")
     cell_of = visits.select(F.posexplode("cells").alias("place", "cell"))
     sizes = cell_of.groupBy("cell").agg(
@@ -250,7 +245,7 @@ def _links_of_width(classes: DataFrame, n: int, width: int, cosine: float, recal
     def verify(table: pa.Table) -> pa.Table:
         member = table.column("member").to_numpy()
         node, rows = table.column("node").to_numpy(), table.column("rows").to_numpy()
-        v = table.column("v").combine_chunks().flatten().to_numpy().reshape(len(node), width)
+        v = unit_vectors(table.column("v").combine_chunks(), width)
         cells = table.column("cells").to_pylist()
         m, s = np.flatnonzero(member), np.flatnonzero(~member)
         links = np.zeros(len(node), dtype=np.int64)
