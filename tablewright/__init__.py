@@ -6,6 +6,6 @@ a key, how two columns relate) comes from an aggregate whose result has one row
 per column or per pair of columns; data rows never reach the driver.
 """
 
-from tablewright.session import build_session, materialize
+from tablewright.session import build_session, clear_stages, materialize
 
-__all__ = ["build_session", "materialize"]
+__all__ = ["build_session", "clear_stages", "materialize"]

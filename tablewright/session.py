@@ -37,16 +37,35 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder all executors share")
     root = tempfile.mkdtemp(prefix="tablewright-")
     spark.sparkContext.setCheckpointDir(root)
     return spark.sparkContext.getCheckpointDir() or root
 
 
+_WRITTEN: list[str] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder; never used twice."""
-    return f"{scratch_root(spark)}/tablewright/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/tablewright/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+def clear_stages(spark: SparkSession) -> int:
+    """Delete what this process has written under the shared folder; returns how many stages that were.
+
+    For callers that have written their results elsewhere: frames that read a
+    stage can't be used any more.
+    """
+    n = 0
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
 
 
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:

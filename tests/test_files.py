@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewright.plans import clean_table, flatten_folder, merge_tables, slim_table
-from tablewright.session import materialize, scratch_root
+from tablewright import session as sessions
+from tablewright.session import clear_stages, materialize, scratch_root
 from tablewright.sources import (
     read_folder_union,
     read_id_list,
@@ -26,6 +27,15 @@ def test_scratch_folder_is_the_one_the_session_names(spark):
     assert materialize(df).where("`tag@attr` = 'x'").count() == 3
 
 
+def test_stages_can_be_deleted(spark, monkeypatch):
+    monkeypatch.setattr(sessions, "_WRITTEN", [])
+    before = materialize(spark.range(3))
+    (file,) = {f.rpartition("/")[0] for f in before.inputFiles()}
+    assert clear_stages(spark) == 1 and clear_stages(spark) == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(file)
+
+
 def test_folder_with_mixed_headers(spark, tmp_path, rows):
     (tmp_path / "a.tsv").write_text('x,y\n1,"p ""q"", r"\n')
     (tmp_path / "b.tsv").write_text('y,z\n2,"line\nbreak"\n')
