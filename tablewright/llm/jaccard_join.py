@@ -7,7 +7,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import materialize, mix, slices, take, words_of
@@ -25,6 +25,8 @@ CHUNK_SETS = 192
 CHUNK_SHINGLES = 1 << 17
 #: Sets of a dealt group that go to all of its tasks, about.
 PIVOTS = 32
+#: Segments of which sets that link agree in, at least. All but one of these may be passed over.
+AGREE = 6
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -64,7 +66,7 @@ def _schemes(percent: int, largest: int) -> tuple[np.ndarray, np.ndarray]:
 
     Let a pair link whose smaller set is below the next band's lower size, L.
     Then they differ in d = (L - 1) * (100 - percent) / percent shingles at
-    most, so of d + 3 segments of the hash range at least three are alike.
+    most, so of d + AGREE segments of the hash range at least AGREE are alike.
     Smaller sets than the first band's link only if they are equal.
     """
     first = -(-percent // (100 - percent)) if percent < 100 else 1 << 62
@@ -73,21 +75,25 @@ def _schemes(percent: int, largest: int) -> tuple[np.ndarray, np.ndarray]:
         lows.append(max(lows[-1] + 1, lows[-1] * 3 // 2))
     lows.append(max(lows[-1] + 1, lows[-1] * 3 // 2))
     lows = np.array(lows, dtype=np.int64)
-    return lows[:-1], (lows[1:] - 1) * (100 - percent) // percent + 3
+    return lows[:-1], (lows[1:] - 1) * (100 - percent) // percent + AGREE
 
 
-def segment_keys(doc: np.ndarray, key: np.ndarray, n_docs: int, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """Text number and key of every segment that texts must share to link, by text.
+def segment_keys(
+    doc: np.ndarray, key: np.ndarray, n_docs: int, percent: int = PERCENT
+) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Keys of the segments that texts must share to link: by the scheme of their own band, and of the one below.
 
-    Pigeonhole instead of chance: two sets that link agree in at least three
-    segments of the scheme of the smaller one's band, which both are dealt
-    by. Empty segments only count for sets that have three or more of them.
+    Pigeonhole instead of chance: two sets that link agree in at least AGREE
+    segments of the scheme of the smaller one's band, which both are dealt by.
+    Empty segments only count for sets that have AGREE of them or more. For
+    each scheme: text numbers and keys, by text, and for each text how many of
+    its keys may be passed over so that it still shares one with each partner.
     """
     sizes = np.bincount(doc, minlength=n_docs)
     lows, segments = _schemes(percent, int(sizes.max(initial=1)))
     band = np.searchsorted(lows, sizes, side="right") - 1
-    out_doc, out_key = [], []
-    for step in (0, 1):  # the scheme of the own band, and of the band below if that may hold a partner
+    out = []
+    for step in (0, 1):
         scheme = band - step
         used = scheme >= 0
         if step:
@@ -95,7 +101,9 @@ def segment_keys(doc: np.ndarray, key: np.ndarray, n_docs: int, percent: int = P
             used &= sizes * percent <= (lows[np.maximum(band, 0)] - 1) * 100
         here = used[doc]
         d, k = doc[here], key[here]
+        spare = np.zeros(n_docs, dtype=np.int64)
         if len(d) == 0:
+            out.append((d, k, spare))
             continue
         count = segments[scheme[d]].astype(np.uint64)
         segment = ((k >> np.uint64(32)) * count) >> np.uint64(32)
@@ -105,18 +113,18 @@ def segment_keys(doc: np.ndarray, key: np.ndarray, n_docs: int, percent: int = P
         total = np.add.reduceat(mix(k + _ODD[1]), begin)
         d, segment = d[begin], segment[begin]
         name = mix(scheme[d].astype(np.uint64) * _ODD[2] + segment)
-        out_doc.append(d)
-        out_key.append(mix(total * _ODD[0] + name))
-        full = np.bincount(d, minlength=n_docs)
-        for x in np.flatnonzero(used & (segments[np.maximum(scheme, 0)] - full >= 3)):
+        docs, keys = [d], [mix(total * _ODD[0] + name)]
+        empties = segments[np.maximum(scheme, 0)] - np.bincount(d, minlength=n_docs)
+        # a partner may agree in all the empty segments, which have no key here
+        spare = np.where(used & (empties < AGREE), np.maximum(AGREE - 1 - empties, 0), 0)
+        for x in np.flatnonzero(used & (empties >= AGREE)):
             empty = np.setdiff1d(np.arange(segments[scheme[x]], dtype=np.uint64), segment[d == x])
-            out_doc.append(np.full(len(empty), x))
-            out_key.append(mix(mix(scheme[x : x + 1].astype(np.uint64) * _ODD[2] + empty)))
-    if not out_doc:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    d, k = np.concatenate(out_doc), np.concatenate(out_key)
-    order = np.argsort(d, kind="stable")
-    return d[order], k[order]
+            docs.append(np.full(len(empty), x))
+            keys.append(mix(mix(scheme[x : x + 1].astype(np.uint64) * _ODD[2] + empty)))
+        d, k = np.concatenate(docs), np.concatenate(keys)
+        order = np.argsort(d, kind="stable")
+        out.append((d[order], k[order], spare))
+    return out
 
 
 def _lists(doc: np.ndarray, values: np.ndarray, n_docs: int) -> pa.ListArray:
@@ -261,9 +269,10 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE)
 
     1. A set's fingerprint stands for all its copies; what follows sees each
        distinct set once.
-    2. Sets that link share a segment of their hash range (``segment_keys``).
-       Sets that share a segment, directly or over others, are one group of
-       candidates; most sets share none and are done.
+    2. Sets that link share segments of their hash range (``segment_keys``),
+       also after each passed over its few most frequent ones. Sets that share
+       a segment, directly or over others, are one group of candidates; most
+       sets share none and are done.
     3. The sets of a group meet in a signature tree, whose dual traversal
        finds links that connect them. A group too large for one task is dealt
        to several by fingerprint, with some pivot sets in all of them; if that
@@ -289,29 +298,47 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE)
                     begin = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
                     total[doc[begin]] = np.add.reduceat(mix(key + _ODD[2]), begin)
                 fp = mix(total + counts.astype(np.uint64)).view(np.int64)
+                (d0, k0, spare0), (d1, k1, spare1) = segment_keys(doc, key, n, percent)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(at, n),
                         pa.array(counts.astype(np.int64)),
                         pa.array(fp, mask=counts == 0),
-                        _lists(*segment_keys(doc, key, n, percent), n),
+                        _lists(d0, k0, n),
+                        _lists(d1, k1, n),
+                        pa.array(spare0.astype(np.int64)),
+                        pa.array(spare1.astype(np.int64)),
                     ],
-                    ["doc_id", "n_shingles", "fp", "keys"],
+                    ["doc_id", "n_shingles", "fp", "keys0", "keys1", "spare0", "spare1"],
                 )
 
     rows = take(docs, "doc_id", "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    made = rows.mapInArrow(sets, f"doc_id {kind}, n_shingles long, fp long, keys array<long>")
+    made = rows.mapInArrow(
+        sets,
+        f"doc_id {kind}, n_shingles long, fp long, keys0 array<long>, keys1 array<long>, spare0 long, spare1 long",
+    )
     # rows get a number that is written down with them; numbers of neighbours are alike, which
     # keeps the large shuffle by key at little more than the keys
     head = materialize(made.withColumn("row", F.monotonically_increasing_id()), "shingle-sets")
     distinct_sets = head.filter("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("first_doc"))
 
-    # one shuffle by key serves both the first row of each key and the link of all its rows to it
-    keys = head.select("row", F.explode("keys").alias("key")).repartition("key")
-    lowest = keys.groupBy("key").agg(F.min("row").alias("low"), F.max("row").alias("high")).filter("low < high")
-    # (no filter here: both sides must read the same, or each is shuffled for itself)
-    pairs = keys.join(lowest.hint("merge"), "key").select(F.col("low").alias("a"), F.col("row").alias("b"))
+    # a slot is a row under one of its schemes, together with its spare keys (fewer than 8)
+    keys = head.select(F.expr("row * 16 + spare0").alias("slot"), F.explode("keys0").alias("key")).unionAll(
+        head.select(F.expr("row * 16 + 8 + spare1").alias("slot"), F.explode("keys1").alias("key"))
+    )
+    # one shuffle by key serves both the count and the rows (no filter here: both sides must
+    # read the same, or each is shuffled for itself)
+    keys = keys.repartition("key")
+    counted = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    met = keys.join(counted.hint("merge"), "key")
+    # The most frequent keys come from passages that many texts share. Each row passes over its
+    # spare ones: of all the keys two partners share, the rarest stays with both.
+    by_frequency = Window.partitionBy("slot").orderBy(F.desc("n"), F.desc("key"))
+    met = met.withColumn("rank", F.row_number().over(by_frequency)).filter("rank > slot % 8")
+    met = materialize(met.select(F.expr("slot div 16").alias("row"), "key"), "shared-segments")
+    lowest = met.groupBy("key").agg(F.min("row").alias("low"), F.max("row").alias("high")).filter("low < high")
+    pairs = met.join(lowest, "key").select(F.col("low").alias("a"), F.col("row").alias("b"))
     group_of = materialize(components(pairs), "candidate-groups")
 
     # the texts of the candidates, one for each distinct set; copies share all keys and so a group
