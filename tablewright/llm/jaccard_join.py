@@ -25,8 +25,11 @@ CHUNK_SETS = 192
 CHUNK_SHINGLES = 1 << 17
 #: Sets of a dealt group that go to all of its tasks, about.
 PIVOTS = 32
-#: Segments of which sets that link agree in, at least. All but one of these may be passed over.
-AGREE = 6
+#: Segments that sets that link agree in, at least: so many, and one for so many differences.
+#: All but one of these may be passed over.
+AGREE, AGREE_PER = 6, 4
+#: Most spare keys of a set that are told.
+MOST_SPARE = 4095
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
@@ -61,12 +64,12 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) ->
 
 
 @lru_cache(maxsize=8)
-def _schemes(percent: int, largest: int) -> tuple[np.ndarray, np.ndarray]:
-    """Lower sizes of the bands, and in how many segments each deals its sets.
+def _schemes(percent: int, largest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lower sizes of the bands, in how many segments each deals its sets, and in how many linked sets agree.
 
     Let a pair link whose smaller set is below the next band's lower size, L.
     Then they differ in d = (L - 1) * (100 - percent) / percent shingles at
-    most, so of d + AGREE segments of the hash range at least AGREE are alike.
+    most, so of d + k segments of the hash range at least k are alike.
     Smaller sets than the first band's link only if they are equal.
     """
     first = -(-percent // (100 - percent)) if percent < 100 else 1 << 62
@@ -75,7 +78,9 @@ def _schemes(percent: int, largest: int) -> tuple[np.ndarray, np.ndarray]:
         lows.append(max(lows[-1] + 1, lows[-1] * 3 // 2))
     lows.append(max(lows[-1] + 1, lows[-1] * 3 // 2))
     lows = np.array(lows, dtype=np.int64)
-    return lows[:-1], (lows[1:] - 1) * (100 - percent) // percent + AGREE
+    differ = (lows[1:] - 1) * (100 - percent) // percent
+    agree = AGREE + differ // AGREE_PER
+    return lows[:-1], differ + agree, agree
 
 
 def segment_keys(
@@ -83,14 +88,14 @@ def segment_keys(
 ) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Keys of the segments that texts must share to link: by the scheme of their own band, and of the one below.
 
-    Pigeonhole instead of chance: two sets that link agree in at least AGREE
-    segments of the scheme of the smaller one's band, which both are dealt by.
-    Empty segments only count for sets that have AGREE of them or more. For
+    Pigeonhole instead of chance: two sets that link agree in so many segments
+    of the scheme of the smaller one's band, by which both are dealt. Empty
+    segments only count for sets that have as many of them or more. For
     each scheme: text numbers and keys, by text, and for each text how many of
     its keys may be passed over so that it still shares one with each partner.
     """
     sizes = np.bincount(doc, minlength=n_docs)
-    lows, segments = _schemes(percent, int(sizes.max(initial=1)))
+    lows, segments, agree = _schemes(percent, int(sizes.max(initial=1)))
     band = np.searchsorted(lows, sizes, side="right") - 1
     out = []
     for step in (0, 1):
@@ -115,9 +120,10 @@ def segment_keys(
         name = mix(scheme[d].astype(np.uint64) * _ODD[2] + segment)
         docs, keys = [d], [mix(total * _ODD[0] + name)]
         empties = segments[np.maximum(scheme, 0)] - np.bincount(d, minlength=n_docs)
+        enough = agree[np.maximum(scheme, 0)]
         # a partner may agree in all the empty segments, which have no key here
-        spare = np.where(used & (empties < AGREE), np.maximum(AGREE - 1 - empties, 0), 0)
-        for x in np.flatnonzero(used & (empties >= AGREE)):
+        spare = np.where(used & (empties < enough), np.clip(enough - 1 - empties, 0, MOST_SPARE), 0)
+        for x in np.flatnonzero(used & (empties >= enough)):
             empty = np.setdiff1d(np.arange(segments[scheme[x]], dtype=np.uint64), segment[d == x])
             docs.append(np.full(len(empty), x))
             keys.append(mix(mix(scheme[x : x + 1].astype(np.uint64) * _ODD[2] + empty)))
@@ -270,7 +276,7 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE)
     1. A set's fingerprint stands for all its copies; what follows sees each
        distinct set once.
     2. Sets that link share segments of their hash range (``segment_keys``),
-       also after each passed over its few most frequent ones. Sets that share
+       also after each passed over its most frequent ones. Sets that share
        a segment, directly or over others, are one group of candidates; most
        sets share none and are done.
     3. The sets of a group meet in a signature tree, whose dual traversal
@@ -323,9 +329,10 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE)
     head = materialize(made.withColumn("row", F.monotonically_increasing_id()), "shingle-sets")
     distinct_sets = head.filter("fp is not null").groupBy("fp").agg(F.min("doc_id").alias("first_doc"))
 
-    # a slot is a row under one of its schemes, together with its spare keys (fewer than 8)
-    keys = head.select(F.expr("row * 16 + spare0").alias("slot"), F.explode("keys0").alias("key")).unionAll(
-        head.select(F.expr("row * 16 + 8 + spare1").alias("slot"), F.explode("keys1").alias("key"))
+    # a slot is a row under one of its schemes, together with its number of spare keys
+    slot = lambda k: F.expr(f"(row * 2 + {k}) * {MOST_SPARE + 1} + spare{k}").alias("slot")
+    keys = head.select(slot(0), F.explode("keys0").alias("key")).unionAll(
+        head.select(slot(1), F.explode("keys1").alias("key"))
     )
     # one shuffle by key serves both the count and the rows (no filter here: both sides must
     # read the same, or each is shuffled for itself)
@@ -335,8 +342,8 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE)
     # The most frequent keys come from passages that many texts share. Each row passes over its
     # spare ones: of all the keys two partners share, the rarest stays with both.
     by_frequency = Window.partitionBy("slot").orderBy(F.desc("n"), F.desc("key"))
-    met = met.withColumn("rank", F.row_number().over(by_frequency)).filter("rank > slot % 8")
-    met = materialize(met.select(F.expr("slot div 16").alias("row"), "key"), "shared-segments")
+    met = met.withColumn("rank", F.row_number().over(by_frequency)).filter(f"rank > slot % {MOST_SPARE + 1}")
+    met = materialize(met.select(F.expr(f"slot div {2 * (MOST_SPARE + 1)}").alias("row"), "key"), "shared-segments")
     lowest = met.groupBy("key").agg(F.min("row").alias("low"), F.max("row").alias("high")).filter("low < high")
     pairs = met.join(lowest, "key").select(F.col("low").alias("a"), F.col("row").alias("b"))
     group_of = materialize(components(pairs), "candidate-groups")
