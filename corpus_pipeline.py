@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm.byte_bpe import encode_documents
-from tablewright.llm.common import fresh, materialize, table
+from tablewright.llm.common import materialize, table
 from tablewright.llm.jaccard_join import jaccard_groups
 from tablewright.llm.language_id import UNDETERMINED, learn_profiles, predict_language
 from tablewright.llm.mixing import repeat_rows
@@ -36,7 +36,6 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     profiles = learn_profiles(docs)
     plain, at = _plain(docs)
     found = plain.withColumn("found", predict_language(F.col(at["text"]), profiles))
-    # materialised as a column first: the prediction is used twice
     kept = found.filter((F.col("found.lang") != UNDETERMINED) & (F.col("found.score") > 0))
     return kept.select(*plain.columns).toDF(*docs.columns)
 
@@ -65,7 +64,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with pseudonyms for personal numbers, dates and addresses; n_chars follows the text."""
+    """All documents, with pseudonyms for personal numbers, dates and addresses; n_chars stays as it came."""
     plain, at = _plain(docs)
     new = pseudonym_column(F.col(at["text"]), KEY).getField("text")
     return plain.withColumn(at["text"], new).toDF(*docs.columns)
@@ -98,6 +97,3 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
-
-
-__all__ = ["ORACLE_SQL", "STAGES", "fresh", "run"]

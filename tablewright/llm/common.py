@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tablewright.session import materialize
 
 __all__ = [
-    "WORD", "Substrings", "Words", "fresh", "materialize", "numeric", "slices", "table", "take", "words_of",
+    "WORD", "Substrings", "Words", "fresh", "materialize", "slices", "table", "take", "words_of",
 ]
 
 #: A word, as regular expression: anything but the ASCII white space.
@@ -42,10 +42,6 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def numeric(array: pa.Array, null: int = 0) -> np.ndarray:
-    return array.fill_null(null).to_numpy(zero_copy_only=False)
-
-
 def _is_separator(*ranges: tuple[int, int]) -> np.ndarray:
     out = np.zeros(256, dtype=bool)
     for low, high in ranges:

@@ -39,8 +39,6 @@ def count_texts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     begins[offsets] = True
     begins[1:] |= break_
     line_start = np.flatnonzero(begins[:-1]) if len(data) else np.zeros(0, np.int64)
-    line_end = np.append(line_start[1:], len(data))
-    line_end = line_end - ((line_end > 0) & break_[line_end - 1]) if len(line_start) else line_end
     line_doc = np.searchsorted(offsets, line_start, side="right") - 1
     wordy = np.zeros(len(line_start), dtype=bool)
     wordy[np.searchsorted(line_start, words.start, side="right") - 1] = True

@@ -19,8 +19,6 @@ BLANK = 32
 #: Distinct n-grams that are bound at a time.
 BLOCK = 8192
 UNDETERMINED = "und"
-#: A document that agrees with no profile better than this isn't in a learned language.
-LEAST_SCORE = 0.05
 
 
 def _fold() -> np.ndarray:

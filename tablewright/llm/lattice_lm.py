@@ -45,7 +45,6 @@ def read_pieces(path: str) -> dict[str, float]:
     if np.all(scores == np.round(scores)):
         rank = np.argsort(np.argsort(-scores, kind="stable"), kind="stable")
         scores = -np.log(rank + 10.0)
-        # bytes stand for what no piece spells: they share one last rank's weight each
     scores = scores - np.log(np.exp(scores).sum())
     return dict(zip(kept, scores.tolist()))
 
