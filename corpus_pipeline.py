@@ -44,8 +44,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest doc_id.
 
     Five-word shingles, Jaccard similarity of 0.8 or more. Of rows that repeat
-    a doc_id one stays. Rows with a null doc_id stay if they link with no
-    document that has one.
+    a doc_id one stays. Rows with a null doc_id can't be told apart here: if
+    one of them links with no document that has an id, all of them stay.
     """
     groups = materialize(jaccard_groups(docs, percent=80, size=5), "near-copies")
     stay = groups.filter(F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id")))
