@@ -334,15 +334,15 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE)
     keys = head.select(slot(0), F.explode("keys0").alias("key")).unionAll(
         head.select(slot(1), F.explode("keys1").alias("key"))
     )
-    # one shuffle by key serves both the count and the rows (no filter here: both sides must
-    # read the same, or each is shuffled for itself)
+    # one shuffle by key serves both the count and the rows: both sides must read the same columns
+    # under the same filters, or each is shuffled for itself
     keys = keys.repartition("key")
-    counted = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    counted = keys.groupBy("key").agg(F.count("slot").alias("n")).filter("n > 1")
     met = keys.join(counted.hint("merge"), "key")
     # The most frequent keys come from passages that many texts share. Each row passes over its
     # spare ones: of all the keys two partners share, the rarest stays with both.
     by_frequency = Window.partitionBy("slot").orderBy(F.desc("n"), F.desc("key"))
-    met = met.withColumn("rank", F.row_number().over(by_frequency)).filter(f"rank > slot % {MOST_SPARE + 1}")
+    met = met.withColumn("rank", F.row_number().over(by_frequency)).filter(f"rank > coalesce(slot % {MOST_SPARE + 1}, 0)")
     met = materialize(met.select(F.expr(f"slot div {2 * (MOST_SPARE + 1)}").alias("row"), "key"), "shared-segments")
     lowest = met.groupBy("key").agg(F.min("row").alias("low"), F.max("row").alias("high")).filter("low < high")
     pairs = met.join(lowest, "key").select(F.col("low").alias("a"), F.col("row").alias("b"))
