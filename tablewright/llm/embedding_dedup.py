@@ -246,19 +246,17 @@ def _links_of_width(classes: DataFrame, n: int, width: int, cosine: float, recal
         member = table.column("member").to_numpy()
         node, rows = table.column("node").to_numpy(), table.column("rows").to_numpy()
         v = unit_vectors(table.column("v").combine_chunks(), width)
-        cells = table.column("cells").to_pylist()
+        # every row visits as many cells; the first is its home
+        cells = table.column("cells").combine_chunks().flatten().to_numpy().reshape(len(node), -1)
         m, s = np.flatnonzero(member), np.flatnonzero(~member)
         links = np.zeros(len(node), dtype=np.int64)
         root = np.arange(len(node))
         if len(m) and len(s):
             hit = v[s] @ v[m].T >= cosine
             # a pair that also meets in the visitor's home counts there or here, not twice
-            home = np.array([cells[i][0] for i in s.tolist()])
-            for c in np.unique(home):
-                both = np.array([c in cells[i] for i in m.tolist()])
-                here = np.flatnonzero(home == c)
-                smaller = node[s[here]][:, None] < node[m][None, :]
-                hit[here] &= smaller | ~both[None, :]
+            i, j = np.nonzero(hit)
+            both = (cells[m[j]] == cells[s[i], 0][:, None]).any(axis=1)
+            hit[i, j] = (node[s[i]] < node[m[j]]) | ~both
             links[s] += hit @ rows[m]
             links[m] += hit.T @ rows[s]
             # connect what meets here: labels sink to the smallest node until they rest
