@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tablewright.llm.byte_bpe import encode_documents
 from tablewright.llm.common import materialize, table
 from tablewright.llm.jaccard_join import jaccard_groups
-from tablewright.llm.language_id import UNDETERMINED, learn_profiles, predict_language
+from tablewright.llm.language_id import in_a_language, learn_levels, learn_whole_profiles
 from tablewright.llm.mixing import repeat_rows
 from tablewright.llm.pseudonyms import pseudonym_column
 from tablewright.llm.queries import KEY, RANKS
@@ -30,14 +30,14 @@ def _plain(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages that the labelled ones teach.
 
-    Those without a text or a letter are rejected, and so are those that agree
-    with no profile (a cosine of 0 or less with all).
+    Those without a text or a letter are rejected, and so are those in no
+    language that is taught: their n-grams are less than half as frequent in
+    the nearest one as those of 99 % of its labelled texts of that length.
     """
-    profiles = learn_profiles(docs)
+    profiles = learn_whole_profiles(docs)
+    levels = learn_levels(docs, profiles)
     plain, at = _plain(docs)
-    found = plain.withColumn("found", predict_language(F.col(at["text"]), profiles))
-    kept = found.filter((F.col("found.lang") != UNDETERMINED) & (F.col("found.score") > 0))
-    return kept.select(*plain.columns).toDF(*docs.columns)
+    return plain.filter(in_a_language(F.col(at["text"]), profiles, levels)).toDF(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

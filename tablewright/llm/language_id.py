@@ -19,6 +19,14 @@ BLANK = 32
 #: Distinct n-grams that are bound at a time.
 BLOCK = 8192
 UNDETERMINED = "und"
+#: A text is in a language if it agrees with it half as well as 99 % of the labelled texts of its length do.
+LOWEST = 0.01
+SHARE = 0.5
+#: Labelled texts of a length that tell its level, and n-grams that a text needs not to scatter.
+ENOUGH = 100
+SCATTER = 64
+#: Agreement is counted in such steps.
+STEPS = 8192
 
 
 def _fold() -> np.ndarray:
@@ -98,11 +106,16 @@ def ngram_vectors(grams: np.ndarray, dimensions: int = DIMENSIONS) -> np.ndarray
 
 def bundle(texts: list[str | None], dimensions: int = DIMENSIONS) -> np.ndarray:
     """One vector for each text: the sum of the vectors of its n-grams. Zero without letters."""
+    return counted_bundle(texts, dimensions)[0]
+
+
+def counted_bundle(texts: list[str | None], dimensions: int = DIMENSIONS) -> tuple[np.ndarray, np.ndarray]:
+    """``bundle``, and how many n-grams each text has."""
     letters, begin = letter_runs(texts)
     grams, which, at = trigrams(letters)
     out = np.zeros((len(texts), dimensions), dtype=np.float32)
     if len(at) == 0:
-        return out
+        return out, np.zeros(len(texts), dtype=np.int64)
     doc = np.searchsorted(begin, at, side="right") - 1
     for low in range(0, len(grams), BLOCK):  # bounds the memory
         high = min(low + BLOCK, len(grams))
@@ -112,7 +125,7 @@ def bundle(texts: list[str | None], dimensions: int = DIMENSIONS) -> np.ndarray:
         ).reshape(len(texts), high - low)
         vectors = ngram_vectors(grams[low:high], dimensions)
         out += counts.astype(np.float32) @ vectors.astype(np.float32)
-    return out
+    return out, np.bincount(doc, minlength=len(texts))
 
 
 def _texts(batch_column: pa.Array) -> Iterator[list[str | None]]:
@@ -121,13 +134,26 @@ def _texts(batch_column: pa.Array) -> Iterator[list[str | None]]:
 
 
 def learn_profiles(labelled: DataFrame, dimensions: int = DIMENSIONS) -> dict[str, np.ndarray]:
+    """``learn_whole_profiles`` without what all of them share."""
+    return set_apart(learn_whole_profiles(labelled, dimensions))
+
+
+def set_apart(profiles: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """``profiles`` less what all of them share, so that only differences between languages count."""
+    if len(profiles) > 1:
+        shared = sum(profiles.values()) / len(profiles)
+        profiles = {k: v - shared for k, v in profiles.items()}
+        profiles = {k: v / max(np.linalg.norm(v), 1e-12) for k, v in profiles.items()}
+    return profiles
+
+
+def learn_whole_profiles(labelled: DataFrame, dimensions: int = DIMENSIONS) -> dict[str, np.ndarray]:
     """One unit vector for each language of ``labelled`` (text, lang): all its n-grams bundled.
 
     Every document weighs the same. Tasks bundle what they read, so one vector
     for each task and language is all that is shuffled, and one for each
-    language reaches the driver. What all profiles share is taken off them, so
-    that only differences between languages count. Null langs and texts
-    without letters teach nothing.
+    language reaches the driver. Null langs and texts without letters teach
+    nothing.
     """
 
     def sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,12 +188,7 @@ def learn_profiles(labelled: DataFrame, dimensions: int = DIMENSIONS) -> dict[st
     profiles: dict[str, np.ndarray] = {}
     for lang, place, value in found:
         profiles.setdefault(lang, np.zeros(dimensions))[place] = value
-    profiles = {k: v / np.linalg.norm(v) for k, v in sorted(profiles.items()) if np.any(v)}
-    if len(profiles) > 1:
-        shared = sum(profiles.values()) / len(profiles)
-        profiles = {k: v - shared for k, v in profiles.items()}
-        profiles = {k: v / max(np.linalg.norm(v), 1e-12) for k, v in profiles.items()}
-    return profiles
+    return {k: v / np.linalg.norm(v) for k, v in sorted(profiles.items()) if np.any(v)}
 
 
 def predict_language(text: Column, profiles: dict[str, np.ndarray], dimensions: int = DIMENSIONS) -> Column:
@@ -201,6 +222,94 @@ def predict_language(text: Column, profiles: dict[str, np.ndarray], dimensions:
     return predict(text)
 
 
+class Agreement:
+    """How well texts agree with the language they look most like."""
+
+    def __init__(self, whole: dict[str, np.ndarray]) -> None:
+        self.names = list(whole)
+        self.dimensions = len(whole[self.names[0]]) if whole else DIMENSIONS
+        self.whole = np.array([whole[n] for n in self.names], dtype=np.float32).reshape(-1, self.dimensions)
+        self.apart = np.array(list(set_apart(whole).values()), dtype=np.float32).reshape(-1, self.dimensions)
+
+    def of(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, class of length (number of n-grams, by powers of two) and agreement of each text.
+
+        ``und`` as in ``predict_language``. Agreement is the mean product of an
+        n-gram of the text with the whole profile: how frequent its n-grams
+        are in the language. It is about 0 for n-grams that the language
+        doesn't have, and can fail, as nothing is taken off the profile.
+        """
+        vectors, sizes = counted_bundle(texts, self.dimensions)
+        known = (sizes > 0) & bool(self.names)
+        if not known.any():
+            return [UNDETERMINED] * len(texts), np.zeros(len(texts), np.int64), np.zeros(len(texts))
+        best = (vectors @ self.apart.T).argmax(axis=1)
+        products = np.einsum("ij,ij->i", vectors, self.whole[best])
+        agreement = products / np.maximum(sizes, 1) / np.sqrt(self.dimensions)
+        steps = np.floor(np.clip(agreement, 0, 1) * STEPS) / STEPS
+        length = np.log2(np.maximum(sizes, 1)).astype(np.int64)
+        return [self.names[b] if k else UNDETERMINED for b, k in zip(best, known)], length, steps * known
+
+
+def learn_levels(labelled: DataFrame, whole: dict[str, np.ndarray]) -> dict[str, dict[int | None, float]]:
+    """For each language and class of length (null for all), the agreement that a text must reach.
+
+    Learned from all labelled texts that are found in their own language; one
+    number for each language and length reaches the driver.
+    """
+    measure = Agreement(whole)
+
+    @arrow_udf("struct<name: string, length: int, agreement: double>")
+    def agree(column: pa.Array) -> pa.Array:
+        parts = [measure.of(texts) for texts in _texts(column)]
+        return pa.StructArray.from_arrays(
+            [
+                pa.array([x for names, _, _ in parts for x in names], pa.string()),
+                pa.array([x for _, lengths, _ in parts for x in lengths.tolist()], pa.int32()),
+                pa.array([x for _, _, steps in parts for x in steps.tolist()], pa.float64()),
+            ],
+            ["name", "length", "agreement"],
+        )
+
+    rows = take(labelled, "text", "lang").filter("lang is not null and text is not null")
+    found = rows.select("lang", agree(F.col("text")).alias("found")).filter("found.name = lang")
+    found = found.select("lang", F.col("found.length").alias("length"), F.col("found.agreement").alias("agreement"))
+    level = F.percentile(F.col("agreement"), F.lit(LOWEST)) * SHARE
+    learned = found.rollup("lang", "length").agg(level.alias("level"), F.count("*").alias("n")).collect()
+    levels: dict[str, dict[int | None, float]] = {r.lang: {None: r.level} for r in learned if r.lang is not None}
+    for r in learned:
+        if r.length is not None:
+            least = _of_few(levels[r.lang][None], r.length)
+            levels[r.lang][r.length] = r.level if r.n >= ENOUGH else min(r.level, least)
+    return levels
+
+
+def _of_few(level: float, length: int) -> float:
+    """The level of a length that few labelled texts have: that of all, less if the text is short."""
+    return level * min(1.0, (2**length / SCATTER) ** 0.5)
+
+
+def in_a_language(text: Column, whole: dict[str, np.ndarray], levels: dict[str, dict[int | None, float]]) -> Column:
+    """Whether a text agrees with one of the languages; false for null and for texts without a letter."""
+    measure = Agreement(whole)
+
+    def reached(name: str, length: int, agreement: float) -> bool:
+        known = levels.get(name)
+        if not known:
+            return False
+        return agreement > 0 and agreement >= known.get(length, _of_few(known[None], length))
+
+    @arrow_udf("boolean")
+    def within(column: pa.Array) -> pa.Array:
+        out: list[bool] = []
+        for texts in _texts(column):
+            names, lengths, steps = measure.of(texts)
+            out += [reached(*x) for x in zip(names, lengths.tolist(), steps.tolist())]
+        return pa.array(out, pa.bool_())
+
+    return within(text)
+
+
 def identify_languages(docs: DataFrame, held_out: Column) -> DataFrame:
     """doc_id, held_out, lang_pred and score of all rows of ``docs``.
 

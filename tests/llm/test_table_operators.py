@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -342,6 +343,35 @@ def test_stages_of_awkward_rows(spark, make_docs):
     assert corpus_pipeline.tokens(spark, docs, "").count() == len(rows)
 
 
+def test_language_rejects_what_is_not_taught(spark, make_docs):
+    en = "the of and to in is that was he for it with as his on be at by had not are but from or have an they which one you"
+    de = "der die und in den von zu das mit sich des auf ist im dem nicht ein eine als auch es an werden aus er hat dass sie nach"
+    rng = random.Random(3)
+    mix = lambda words, n: " ".join(rng.choice(words.split()) for _ in range(n))
+    taught = [(i, mix((en, de)[i % 2], (3, 8, 30, 120)[i // 2 % 4]), ("en", "de")[i % 2], "a", 1) for i in range(240)]
+    clean = [(1000 + i, mix((en, de)[i % 2], (8, 30, 120)[i // 2 % 3]), None, "a", 1) for i in range(60)]
+    foreign = [
+        "vaka vanha väinämöinen itse tuon sanoiksi virkkoi mieleni minun tekevi aivoni ajattelevi lähteäni laulamahan",
+        "litwo ojczyzno moja ty jesteś jak zdrowie ile cię trzeba cenić ten tylko się dowie kto cię stracił",
+        "мой дядя самых честных правил когда не в шутку занемог он уважать себя заставил",
+        "吾輩は猫である 名前はまだ無い どこで生れたかとんと見当がつかぬ",
+        " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(25)),
+        "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/") for _ in range(300)),
+    ]
+    junk = [(2000 + i, text, None, "a", 1) for i, text in enumerate(foreign)]
+    kept = corpus_pipeline.language(spark, make_docs(taught + clean + junk), "").collect()
+    assert sorted(r.doc_id for r in kept) == [r[0] for r in taught + clean]
+
+
+@has_tables
+def test_language_keeps_the_labelled_tables(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    more = docs.selectExpr("doc_id + 1000000 AS doc_id", "translate(lower(text), 'aeionrst', 'qxzjwkvy') AS text")
+    more = more.selectExpr("*", "CAST(NULL AS STRING) AS lang", "'a' AS source", "1L AS n_chars").filter("length(text) > 300")
+    kept = corpus_pipeline.language(spark, docs.unionByName(more.select(docs.columns), allowMissingColumns=True), "")
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in docs.collect()}
+
+
 def test_stages_of_no_rows(spark):
     docs = spark.createDataFrame([], SCHEMA)
     for _, stage in corpus_pipeline.STAGES:
