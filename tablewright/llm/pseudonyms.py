@@ -30,6 +30,27 @@ PATTERNS = {
     "card": r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?P<c1>[ -])[0-9]{4}(?P=c1)[0-9]{4}(?P=c1)[0-9]{4}|[0-9]{4}(?P<c2>[ -])[0-9]{6}(?P=c2)[0-9]{5})(?![0-9A-Za-z])",
 }
 _ANY = re.compile("|".join(f"(?P<{k}>{p})" for k, p in PATTERNS.items()))
+_KIND = {k: re.compile(p) for k, p in PATTERNS.items()}
+#: Kinds that take in groups of what follows, and what may not stand behind a shorter end.
+_OPEN = {"iban": re.compile(r"(?![A-Za-z0-9])"), "phone": re.compile(r"(?![0-9]|[.-][0-9])")}
+#: Characters of an IBAN by country.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "PT LY ST", 26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA",
+        30: "JO KW MU", 31: "MT SC", 32: "LC",
+    }.items()
+    for country in countries.split()
+}
+#: Digits behind a country code, at most.
+PHONE_DIGITS = {
+    "1": 10, "7": 10, "20": 10, "27": 9, "30": 10, "31": 10, "32": 10, "33": 10, "34": 9, "36": 9, "39": 11, "41": 10, "44": 10,
+    "45": 8, "46": 10, "47": 8, "48": 9, "49": 12, "52": 10, "55": 11, "61": 10, "64": 10, "81": 11, "86": 11, "91": 10,
+}
+_CODE = re.compile(r"\+([0-9]{1,3})(?=[ .(-])")
+_FIXED_PHONE = re.compile(PATTERNS["phone"].split("|(?<!")[0])
 _MAY_HOLD = re.compile(r"[0-9@]")
 _EPOCH = datetime.date(1900, 1, 1).toordinal()
 _DAYS = datetime.date(2100, 1, 1).toordinal() - _EPOCH
@@ -149,7 +170,7 @@ def _phone(text: str, move: Move) -> str | None:
     if not 7 <= len(d) <= 15:
         return None
     # the country code stays, so that the pseudonym is a number of the same place
-    m = re.match(r"\+([0-9]{1,3})(?=[ .(-])", text)
+    m = _CODE.match(text)
     code = m[1] if m else ""
     rest = d[len(code) :]
     return _put(text, code + str(move(int(rest), 10 ** len(rest), f"phone{code}")).zfill(len(rest)))
@@ -208,19 +229,74 @@ def _email(text: str, move: Move) -> str | None:
 _HANDLERS = {"card": _card, "iban": _iban, "ssn": _ssn, "phone": _phone, "ip": _ip, "date": _date, "email": _email}
 
 
-def pseudonymize_text(text: str, key: bytes, counts: dict[str, int] | None = None) -> str:
-    """``text`` with every valid value replaced; ``counts`` gets how many of each kind."""
-    move: Move = lambda value, size, tweak: permute(value, size, key, tweak)
+def _whole_phone(text: str, start: int, end: int) -> bool:
+    """Whether a number in groups ends at ``end``, by its country and what its groups look like.
+
+    It doesn't if it has more digits than its country allows, or if the
+    groups in front of a blank are a number already and what follows is a
+    value of another kind, or their last one is a number written in one.
+    """
+    m = _CODE.match(text, start, end)
+    code = m[1] if m else ""
+    if code in PHONE_DIGITS and len(_digits(text[start:end])) - len(code) > PHONE_DIGITS[code]:
+        return False
+    for m in re.finditer(" ", text[start:end]):
+        front, at = text[start : start + m.start()], start + m.end()
+        n = len(_digits(front))
+        if n - len(code) >= 7 and re.search(r"[0-9]{5}$", front):
+            return False
+        if n >= 7 and any(_value(text, at, k, lambda value, size, tweak: value) for k in _HANDLERS if k != "phone"):
+            return False
+    return True
+
+
+def _ends(text: str, start: int, end: int, kind: str) -> Iterator[int]:
+    """Where a value may end that may as well end at ``end``: likely ends first, then long ones."""
+    if kind not in _OPEN or kind == "phone" and _FIXED_PHONE.fullmatch(text, start, end):
+        yield end
+        return
+    ends = [
+        e for e in range(end, start, -1)
+        if e == end or _OPEN[kind].match(text, e) and text[e - 1] != " " and _KIND[kind].fullmatch(text, start, e)
+    ]
+    if kind == "iban":
+        length = IBAN_LENGTHS.get(text[start : start + 2])
+        likely = [e for e in ends if e - start - text.count(" ", start, e) == length]
+    else:
+        likely = [e for e in ends if _OPEN[kind].match(text, e) and 7 <= len(_digits(text[start:e])) <= 15 and _whole_phone(text, start, e)]
+    yield from likely
+    yield from (e for e in ends if e not in likely)
+
+
+def _value(text: str, start: int, kind: str, move: Move) -> tuple[int, str] | None:
+    """End and pseudonym of the valid value of a kind that begins at ``start``, if there is one."""
+    if m := _KIND[kind].match(text, start):
+        for end in _ends(text, start, m.end(), kind):
+            if (new := _HANDLERS[kind](text[start:end], move)) is not None:
+                return end, new
+    return None
 
-    def put(m: re.Match) -> str:
-        new = _HANDLERS[m.lastgroup](m[0], move)
-        if new is None:
-            return m[0]
-        if counts is not None:
-            counts[m.lastgroup] = counts.get(m.lastgroup, 0) + 1
-        return new
 
-    return _ANY.sub(put, text) if _MAY_HOLD.search(text) else text
+def pseudonymize_text(text: str, key: bytes, counts: dict[str, int] | None = None) -> str:
+    """``text`` with every valid value replaced; ``counts`` gets how many of each kind.
+
+    Where something looks like a value, all its ends and then the other kinds
+    are tried; if none is valid, the scan goes on behind its first character.
+    """
+    if not _MAY_HOLD.search(text):
+        return text
+    move: Move = lambda value, size, tweak: permute(value, size, key, tweak)
+    out, done, at = [], 0, 0
+    while m := _ANY.search(text, at):
+        start, at = m.start(), m.start() + 1
+        for kind in PATTERNS:
+            if found := _value(text, start, kind, move):
+                out += [text[done:start], found[1]]
+                done = at = found[0]
+                if counts is not None:
+                    counts[kind] = counts.get(kind, 0) + 1
+                break
+    return "".join([*out, text[done:]])
 
 
 def pseudonym_column(text: Column, key: str) -> Column:
@@ -251,7 +327,8 @@ def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
     validated and then permuted within their own format under ``key``: same
     length, marks and check digits, and equal values get equal pseudonyms in
     all documents. The map is one-to-one, so different values stay different.
-    What fails validation stays, as does all other text. Null texts stay null,
+    What fails validation stays, as does all other text; values inside or
+    right behind it are found all the same. Null texts stay null,
     empty ones empty; repeated rows are treated each.
     """
     rows = take(docs, "doc_id", "text").select("doc_id", pseudonym_column(F.col("text"), key).alias("found"))

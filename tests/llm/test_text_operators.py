@@ -230,6 +230,47 @@ def test_permutation_is_one_to_one():
         assert sorted(pseudonyms.permute(x, size, b"k", "t") for x in range(size)) == list(range(size))
 
 
+#: Valid values of each kind.
+VALUES = {
+    "card": ["4111 1111 1111 1111", "4111111111111111", "3782 822463 10005"],
+    "iban": ["BE68 5390 0754 7034", "AT61 1904 3002 3457 3201", "ES91 2100 0418 4502 0005 1332", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"],
+    "ssn": ["123-45-6789"],
+    "phone": ["+49 30 1234567", "+1 (545) 555-9193", "555-123-4567", "+44 20 7946 0958", "+1 555 123 4567", "+91 98765 43210"],
+    "ip": ["192.168.0.1", "10.0.0.1"],
+    "date": ["2024-01-05", "5.1.2024", "01/05/2024"],
+    "email": ["jo.doe7@mail3.example.com", "JOHN@x.org"],
+}
+PSEUDONYM = lambda text: pseudonyms.pseudonymize_text(text, b"k")
+
+
+@pytest.mark.parametrize("mark", [" ", ", ", "\n"])
+def test_values_next_to_any_other(mark):
+    values = [(k, v) for k, vs in VALUES.items() for v in vs]
+    words = ["BIC", "ID12", "1999", "42", "12345", "A", "XYZ1", "SWIFT", "and"]
+    for kind, value in values:
+        assert PSEUDONYM(value) != value
+        for word in words:
+            assert PSEUDONYM(value + mark + word) == PSEUDONYM(value) + mark + word
+            counts = {}
+            text = pseudonyms.pseudonymize_text(word + mark + value, b"k", counts)
+            assert text == word + mark + PSEUDONYM(value) and counts == {kind: 1}
+        for other, more in values:
+            counts = {}
+            text = pseudonyms.pseudonymize_text(value + mark + more, b"k", counts)
+            assert text == PSEUDONYM(value) + mark + PSEUDONYM(more), (value, more)
+            assert counts == Counter([kind, other])
+
+
+def test_values_inside_what_is_not_valid():
+    card = PSEUDONYM("4111 1111 1111 1111")
+    assert PSEUDONYM("ID12 4111 1111 1111 1111") == f"ID12 {card}"
+    assert PSEUDONYM("1234 4111 1111 1111 1111") == f"1234 {card}"
+    assert PSEUDONYM("BE68 5390 0754 7035 BIC") == "BE68 5390 0754 7035 BIC"
+    assert PSEUDONYM("+49 30 1234567 2024-01-05 1999") == f"{PSEUDONYM('+49 30 1234567')} {PSEUDONYM('2024-01-05')} 1999"
+    whole = PSEUDONYM("+49 30 123-45-67-89")
+    assert len(re.sub(r"[^0-9]", "", whole)) == 13 and whole[-3] == "-" and whole[-2:] != "89"
+
+
 def test_pseudonyms_keep_format_and_links(awkward, no_rows, make_docs):
     out = {r.doc_id: r for r in pseudonyms.pseudonymize(awkward, KEY).collect()}
     assert out[1].text is None and out[2].text == "" and out[1].n_replaced == 0
