@@ -37,7 +37,7 @@ TEMPLATES = (
     ("bsd", "under the <<beginOptional>>terms of the<<endOptional>> bsd <<beginOptional>><<var;1>> clause<<endOptional>> license"),
     ("isc", "permission to use copy modify and <<beginOptional>>or<<endOptional>> distribute this software for any purpose with or without fee is hereby granted"),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
-    ("proprietary", "copyright <<beginOptional>>c<<endOptional>> <<var;6>> all rights reserved"),
+    ("proprietary", "<<beginOptional>>copyright <<beginOptional>>c<<endOptional>> <<var;6>><<endOptional>> all rights reserved"),
 )
 
 _SEPARATOR = bytes.maketrans(

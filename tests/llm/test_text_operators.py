@@ -174,6 +174,23 @@ def test_licences_match_brute_force(awkward, no_rows):
     assert licenses.scan_licenses(no_rows).count() == 0
 
 
+@has_tables
+def test_every_notice_line_gets_a_label():
+    scanner = licenses.Scanner(licenses.PHRASES, licenses.TEMPLATES)
+    lines = {line for d in table("documents") for line in (d["text"] or "").split("\n")}
+    notices = {x for x in lines if re.search(r"licen[sc]e|copyright|rights reserved|permission", x, re.I)}
+    notices |= {"All rights reserved.", "This work is licensed under the GNU General Public License, version 3."}
+    for line in notices:
+        _, base, more = scanner.scan(line.encode())
+        assert base or more, line
+    wordings = ["All rights reserved.", "Copyright (c) 2020 Some Body. All rights reserved.", "Copyright 2020 Some Body, all rights reserved"]
+    for line in wordings:
+        _, _, more = scanner.scan(line.encode())
+        assert {m.label for m in more} == {"proprietary"}
+        assert min(m.start for m in more) == 0 and any(m.end - m.start == m.exact for m in more)
+    assert scanner.scan(b"all rights are reserved")[2] == []
+
+
 def as_regex(template):
     out = ""
     for part in re.findall(r"<<[^>]*>>|[^<\s]+", template):
