@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm.byte_bpe import encode_documents
-from tablewright.llm.common import materialize, table
+from tablewright.llm.common import materialize, table, take
 from tablewright.llm.jaccard_join import jaccard_groups
 from tablewright.llm.language_id import in_a_language, learn_levels, learn_whole_profiles
 from tablewright.llm.mixing import repeat_rows
@@ -43,24 +43,28 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest doc_id.
 
-    Five-word shingles, Jaccard similarity of 0.8 or more. Of rows that repeat
-    a doc_id one stays. Rows with a null doc_id can't be told apart here: if
-    one of them links with no document that has an id, all of them stay.
+    Five-word shingles, Jaccard similarity of 0.8 or more. Rows that repeat a
+    doc_id or have none are told apart by number: of those with the smallest
+    doc_id the first row stays, and nameless rows come last.
     """
-    groups = materialize(jaccard_groups(docs, percent=80, size=5), "near-copies")
-    stay = groups.filter(F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id")))
-    nameless = stay.filter("doc_id is null")
-    plain, at = _plain(docs)
-    kept = plain.join(
-        stay.filter("doc_id is not null").select(F.col("doc_id").alias("stays")), F.col(at["doc_id"]) == F.col("stays"),
-        "left_semi",
-    )
-    twice = stay.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
-    if not twice.isEmpty():
-        kept = kept.dropDuplicates([at["doc_id"]])
-    if not nameless.isEmpty():
-        kept = kept.unionByName(plain.filter(F.col(at["doc_id"]).isNull()))
-    return kept.toDF(*docs.columns)
+    ids = take(docs, "doc_id").groupBy("doc_id").agg(F.count("*").alias("n"))
+    if ids.filter("n > 1 OR doc_id IS NULL").isEmpty():
+        groups = materialize(jaccard_groups(docs, percent=80, size=5), "near-copies")
+        plain, at = _plain(docs)
+        own = F.col(at["doc_id"])
+    else:
+        plain, at = _plain(docs)
+        # the numbers are written down with their rows, so that every later read finds the same ones
+        plain = materialize(plain.withColumn("number", F.monotonically_increasing_id()), "numbered")
+        name = F.col(at["doc_id"])
+        own = F.struct(name.isNull().alias("nameless"), name.alias("name"), F.col("number"))
+        rows = plain.select(own.alias("doc_id"), F.col(at["text"]).alias("text"))
+        groups = materialize(jaccard_groups(rows, percent=80, size=5), "near-copies")
+        groups = groups.select(F.col("doc_id.number").alias("doc_id"), F.col("component_id.number").alias("component_id"))
+        own = F.col("number")
+    stay = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("stays"))
+    kept = plain.join(stay, own == F.col("stays"), "left_semi")
+    return kept.select(*[f"c{i}" for i in range(len(docs.columns))]).toDF(*docs.columns)
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -372,6 +372,24 @@ def test_language_keeps_the_labelled_tables(spark):
     assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in docs.collect()}
 
 
+def test_near_copies_tell_rows_apart(spark, make_docs):
+    text = lambda k, n=40: " ".join(f"w{k}x{i}" for i in range(n))
+    rows = [
+        (1, text(1), "en", "a", 1), (1, text(2), "en", "a", 2),  # two texts of one doc_id
+        (2, text(3), "en", "a", 3), (3, text(3), "en", "a", 4), (3, text(4), "en", "a", 5),  # one of two copies a smaller id
+        (None, text(5), "en", "a", 6), (None, text(5), "en", "a", 6), (None, text(1), "en", "a", 7), (None, text(6), "en", "a", 8),
+        (4, text(7), "en", "a", 9), (4, text(7), "en", "a", 9), (5, None, "en", "a", 10), (None, None, "en", "a", 11),
+    ]
+    kept = corpus_pipeline.near_copies(spark, make_docs(rows), "")
+    got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    want = [
+        (1, text(1)), (1, text(2)), (2, text(3)), (3, text(4)), (None, text(5)), (None, text(6)), (4, text(7)), (5, None), (None, None),
+    ]
+    assert got == sorted(want, key=repr)
+    alone = corpus_pipeline.near_copies(spark, make_docs([(8, text(1), "en", "a", 1), (9, text(1), "en", "a", 1)], False), "")
+    assert [r.doc_id for r in alone.collect()] == [8]
+
+
 def test_stages_of_no_rows(spark):
     docs = spark.createDataFrame([], SCHEMA)
     for _, stage in corpus_pipeline.STAGES:
