@@ -32,7 +32,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Those without a text or a letter are rejected, and so are those in no
     language that is taught: their n-grams are less than half as frequent in
-    the nearest one as those of 99 % of its labelled texts of that length.
+    each one as those of 99 % of its labelled texts of that length.
     """
     profiles = learn_whole_profiles(docs)
     levels = learn_levels(docs, profiles)

@@ -231,8 +231,8 @@ class Agreement:
         self.whole = np.array([whole[n] for n in self.names], dtype=np.float32).reshape(-1, self.dimensions)
         self.apart = np.array(list(set_apart(whole).values()), dtype=np.float32).reshape(-1, self.dimensions)
 
-    def of(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """Language, class of length (number of n-grams, by powers of two) and agreement of each text.
+    def of(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Language, class of length (number of n-grams, by powers of two) and agreement of each text, with it and with all.
 
         ``und`` as in ``predict_language``. Agreement is the mean product of an
         n-gram of the text with the whole profile: how frequent its n-grams
@@ -242,13 +242,14 @@ class Agreement:
         vectors, sizes = counted_bundle(texts, self.dimensions)
         known = (sizes > 0) & bool(self.names)
         if not known.any():
-            return [UNDETERMINED] * len(texts), np.zeros(len(texts), np.int64), np.zeros(len(texts))
+            none = np.zeros((len(texts), len(self.names)))
+            return [UNDETERMINED] * len(texts), np.zeros(len(texts), np.int64), np.zeros(len(texts)), none
         best = (vectors @ self.apart.T).argmax(axis=1)
-        products = np.einsum("ij,ij->i", vectors, self.whole[best])
-        agreement = products / np.maximum(sizes, 1) / np.sqrt(self.dimensions)
-        steps = np.floor(np.clip(agreement, 0, 1) * STEPS) / STEPS
+        agreement = (vectors @ self.whole.T) / (np.maximum(sizes, 1) * np.sqrt(self.dimensions))[:, None]
+        steps = np.floor(np.clip(agreement, 0, 1) * STEPS) / STEPS * known[:, None]
         length = np.log2(np.maximum(sizes, 1)).astype(np.int64)
-        return [self.names[b] if k else UNDETERMINED for b, k in zip(best, known)], length, steps * known
+        names = [self.names[b] if k else UNDETERMINED for b, k in zip(best, known)]
+        return names, length, steps[np.arange(len(texts)), best], steps
 
 
 def learn_levels(labelled: DataFrame, whole: dict[str, np.ndarray]) -> dict[str, dict[int | None, float]]:
@@ -264,9 +265,9 @@ def learn_levels(labelled: DataFrame, whole: dict[str, np.ndarray]) -> dict[str,
         parts = [measure.of(texts) for texts in _texts(column)]
         return pa.StructArray.from_arrays(
             [
-                pa.array([x for names, _, _ in parts for x in names], pa.string()),
-                pa.array([x for _, lengths, _ in parts for x in lengths.tolist()], pa.int32()),
-                pa.array([x for _, _, steps in parts for x in steps.tolist()], pa.float64()),
+                pa.array([x for names, *_ in parts for x in names], pa.string()),
+                pa.array([x for _, lengths, *_ in parts for x in lengths.tolist()], pa.int32()),
+                pa.array([x for _, _, steps, _ in parts for x in steps.tolist()], pa.float64()),
             ],
             ["name", "length", "agreement"],
         )
@@ -303,8 +304,9 @@ def in_a_language(text: Column, whole: dict[str, np.ndarray], levels: dict[str,
     def within(column: pa.Array) -> pa.Array:
         out: list[bool] = []
         for texts in _texts(column):
-            names, lengths, steps = measure.of(texts)
-            out += [reached(*x) for x in zip(names, lengths.tolist(), steps.tolist())]
+            _, lengths, _, steps = measure.of(texts)
+            # a short text may look most like another language than its own
+            out += [any(reached(n, k, x) for n, x in zip(measure.names, row)) for k, row in zip(lengths.tolist(), steps.tolist())]
         return pa.array(out, pa.bool_())
 
     return within(text)
