@@ -31,6 +31,9 @@ AGREE, AGREE_PER = 6, 4
 #: Most spare keys of a set that are told.
 MOST_SPARE = 4095
 
+#: Distinct sets that a task remembers to have told.
+MOST_TOLD = 1 << 18
+
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -245,6 +248,19 @@ def connect(one: SignatureTree, two: SignatureTree, known: Labels, numbers: tupl
     return found
 
 
+def _first_of_each(fp: np.ndarray, told: set[int]) -> np.ndarray:
+    """Which of these sets a task sees first; ``told`` remembers up to MOST_TOLD, so later copies may be told again."""
+    out = np.zeros(len(fp), dtype=bool)
+    out[np.unique(fp, return_index=True)[1]] = True
+    for i in np.flatnonzero(out).tolist():
+        x = int(fp[i])
+        if x in told:
+            out[i] = False
+        elif len(told) < MOST_TOLD:
+            told.add(x)
+    return out
+
+
 def _connect_groups(table: pa.Table, percent: int) -> pa.Table:
     """One group of candidates: (fp, set, label, side) to links (a, b)."""
     fp = table.column("fp").to_numpy()
@@ -273,8 +289,8 @@ def _connect_groups(table: pa.Table, percent: int) -> pa.Table:
 def jaccard_groups(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """doc_id, n_shingles and component_id of every row: connected components of the exact Jaccard join.
 
-    1. A set's fingerprint stands for all its copies; what follows sees each
-       distinct set once.
+    1. A set's fingerprint stands for all its copies; each task tells the keys
+       of a distinct set once, so copies aren't shuffled however many there are.
     2. Sets that link share segments of their hash range (``segment_keys``),
        also after each passed over its most frequent ones. Sets that share
        a segment, directly or over others, are one group of candidates; most
@@ -294,6 +310,7 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE)
     """
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told: set[int] = set()
         for batch in batches:
             for at, to, data, offsets in slices(batch.column("text")):
                 n = to - at
@@ -304,7 +321,8 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE)
                     begin = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
                     total[doc[begin]] = np.add.reduceat(mix(key + _ODD[2]), begin)
                 fp = mix(total + counts.astype(np.uint64)).view(np.int64)
-                (d0, k0, spare0), (d1, k1, spare1) = segment_keys(doc, key, n, percent)
+                first = _first_of_each(fp, told)[doc]
+                (d0, k0, spare0), (d1, k1, spare1) = segment_keys(doc[first], key[first], n, percent)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(at, n),

@@ -16,8 +16,9 @@ from tablewright.llm.common import mix, slices, take
 DIMENSIONS = 1024
 LETTERS = 3
 BLANK = 32
-#: Distinct n-grams that are bound at a time.
-BLOCK = 8192
+#: Distinct n-grams that are bound at a time, and bytes of text that are read at a time.
+BLOCK = 2048
+READ_BYTES = 1 << 19
 UNDETERMINED = "und"
 #: A text is in a language if it agrees with it half as well as 99 % of the labelled texts of its length do.
 LOWEST = 0.01
@@ -129,7 +130,7 @@ def counted_bundle(texts: list[str | None], dimensions: int = DIMENSIONS) -> tup
 
 
 def _texts(batch_column: pa.Array) -> Iterator[list[str | None]]:
-    for at, to, _, _ in slices(batch_column, rows=256):
+    for at, to, _, _ in slices(batch_column, READ_BYTES, rows=256):
         yield batch_column.slice(at, to - at).to_pylist()
 
 
@@ -260,21 +261,25 @@ def learn_levels(labelled: DataFrame, whole: dict[str, np.ndarray]) -> dict[str,
     """
     measure = Agreement(whole)
 
-    @arrow_udf("struct<name: string, length: int, agreement: double>")
-    def agree(column: pa.Array) -> pa.Array:
-        parts = [measure.of(texts) for texts in _texts(column)]
-        return pa.StructArray.from_arrays(
-            [
-                pa.array([x for names, *_ in parts for x in names], pa.string()),
-                pa.array([x for _, lengths, *_ in parts for x in lengths.tolist()], pa.int32()),
-                pa.array([x for _, _, steps, _ in parts for x in steps.tolist()], pa.float64()),
-            ],
-            ["name", "length", "agreement"],
-        )
+    def agree(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, done = batch.column("lang").to_pylist(), 0
+            for texts in _texts(batch.column("text")):
+                names, lengths, steps, _ = measure.of(texts)
+                own = np.array([n == x for n, x in zip(names, langs[done:])], dtype=bool)
+                done += len(texts)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([n for n, x in zip(names, own) if x], pa.string()),
+                        pa.array(lengths[own], pa.int32()),
+                        pa.array(steps[own], pa.float64()),
+                    ],
+                    ["lang", "length", "agreement"],
+                )
 
     rows = take(labelled, "text", "lang").filter("lang is not null and text is not null")
-    found = rows.select("lang", agree(F.col("text")).alias("found")).filter("found.name = lang")
-    found = found.select("lang", F.col("found.length").alias("length"), F.col("found.agreement").alias("agreement"))
+    # a filter on what a function found would have it called twice
+    found = rows.mapInArrow(agree, "lang string, length int, agreement double")
     level = F.percentile(F.col("agreement"), F.lit(LOWEST)) * SHARE
     learned = found.rollup("lang", "length").agg(level.alias("level"), F.count("*").alias("n")).collect()
     levels: dict[str, dict[int | None, float]] = {r.lang: {None: r.level} for r in learned if r.lang is not None}

@@ -117,7 +117,6 @@ def compile_template(label: str, template: str) -> Automaton:
             after = entry
             for k in range(int(m[1])):
                 entry = add(None, after if k == 0 else after | entry)
-            mandatory += not depth
         elif part.startswith("<<"):
             raise ValueError(f"unknown mark-up {part}")
         else:
