@@ -10,6 +10,7 @@ from tablewright.plans.flows import flatten_folder
 from tablewright.session import scratch_path
 from tablewright.sources import (
     read_csv_with_xml,
+    read_delimited,
     read_folder_union,
     read_id_list,
     read_id_response_log,
@@ -58,6 +59,25 @@ def csv_with_xml(t: Tables):
     return read_csv_with_xml(t.spark, path)
 
 
+@query(
+    "SELECT '' || doc_id AS doc_id, text, source, CASE WHEN contains(text, chr(10)) THEN [lang, '' || n_chars]"
+    " WHEN lang = 'en' THEN ['' || n_chars] END AS rest FROM documents"
+)
+def csv_with_surplus_cells(t: Tables):
+    """Texts with line breaks, some followed by one or two cells that the header doesn't name."""
+    path = scratch_path(t.spark, "surplus")
+    cell = lambda name: F.concat(F.lit('"'), F.replace(F.col(name), F.lit('"'), F.lit('""')), F.lit('"'))
+    more = F.when(F.contains("text", F.lit("\n")), F.concat(F.lit(","), "lang", F.lit(","), "n_chars"))
+    more = more.when(F.col("lang") == "en", F.concat(F.lit(","), "n_chars")).otherwise("")
+    lines = t("documents").select(F.concat("doc_id", F.lit(","), cell("text"), F.lit(","), "source", more).alias("value"))
+    lines = lines.select(F.lit(1).alias("place"), "value", (F.crc32(F.col("value").cast("binary")) % 16).alias("file"))
+    # a header in front of the lines of each file
+    head = lines.select(F.lit(0).alias("place"), F.lit("doc_id,text,source").alias("value"), "file").distinct()
+    rows = lines.unionByName(head).repartition("file").sortWithinPartitions("file", "place")
+    rows.select("file", "value").write.partitionBy("file").text(path)
+    return read_delimited(t.spark, [path], ",", surplus="rest")
+
+
 _UNION = (
     "SELECT '' || c_custkey AS key, c_name AS name, NULL AS balance FROM customer"
     " UNION ALL SELECT '' || s_suppkey, NULL, '' || CAST(s_acctbal * 100 AS BIGINT) FROM supplier"

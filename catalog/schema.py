@@ -81,15 +81,14 @@ def malformed_xml_flattened(t: Tables):
 
 
 @query(
-    "SELECT event_id, CASE WHEN event_id % 10 = 0 THEN '<item type=\"' || event_type || '\">v' || user_id || '</item>'"
-    " ELSE '<Item type=\"' || event_type || '\">v' || user_id || '</Item>' END AS InfoXml FROM events"
+    "SELECT event_id, '<Item type=\"' || event_type || '\">v' || user_id || '</Item>' AS InfoXml FROM events"
 )
 def xml_repaired(t: Tables):
     return repair_xml(EVENTS_BROKEN.frame(t), "InfoXml")
 
 
 @query(
-    f"SELECT event_id, InfoXml, '<item type=\"' || event_type || '\">v' || user_id || '</item>' AS repaired FROM"
+    f"SELECT event_id, InfoXml, '<Item type=\"' || event_type || '\">v' || user_id || '</Item>' AS repaired FROM"
     f" (SELECT b.*, e.event_type, e.user_id FROM {EVENTS_BROKEN.sql} b JOIN events e USING (event_id))"
     " WHERE event_id % 10 = 0"
 )

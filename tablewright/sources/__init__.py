@@ -1,3 +1,4 @@
+from tablewright.sources.delimited import read_delimited
 from tablewright.sources.readers import (
     read_csv_with_xml,
     read_folder_union,
@@ -18,6 +19,7 @@ from tablewright.sources.writers import (
 
 __all__ = [
     "read_csv_with_xml",
+    "read_delimited",
     "read_folder_union",
     "read_id_list",
     "read_id_response_log",

@@ -12,15 +12,11 @@ from tablewright.functions.values import quoted
 from tablewright.operators.cleaning import NA_TOKENS, normalize_na
 from tablewright.operators.joins import union_by_name
 from tablewright.operators.ranking import with_row_number
+from tablewright.sources.delimited import CELL_OPTIONS, read_delimited
 
-# Doubled quotes inside quoted cells, as the usual writers produce them.
-CSV_OPTIONS = {
-    "header": "true",
-    "quote": '"',
-    "escape": '"',
-    "ignoreLeadingWhiteSpace": "false",
-    "ignoreTrailingWhiteSpace": "false",
-}
+CSV_OPTIONS = {"header": "true", **CELL_OPTIONS}
+#: Encodings in which a quote, a separator or a line feed may be part of another character.
+_WIDE = ("utf-16", "utf-32", "utf16", "utf32")
 
 
 def _paths(path: str | Sequence[str]) -> list[str]:
@@ -50,16 +46,21 @@ def read_text_table(
     encodings: Sequence[str] = ("utf-8", "ISO-8859-1"),
     na_tokens: Sequence[str] = NA_TOKENS,
     multiline: bool = True,
+    surplus: str | None = "raise",
 ) -> DataFrame:
     """Delimited text with a header, every column a string.
 
     Files that are not valid in the first encoding are read in the second: the
     first of ``encodings`` is UTF-8 then, and the second one that accepts any
-    byte, so later ones are never reached. That check reads the files once
-    more; give a single encoding to skip it. Files whose headers differ are
-    each read under their own, columns a file lacks are null. Line breaks in
-    quoted cells keep a file in one task; switch ``multiline`` off for large
-    files known to have none.
+    byte, so later ones are never reached. Files whose headers differ are
+    each read under their own, columns a file lacks are null.
+
+    The files are read once, in one scan that also learns headers and encodings,
+    and large ones are cut for many tasks although quoted cells may hold line
+    breaks (``delimited.read_delimited``, which also explains ``surplus``).
+    ``multiline`` may be switched off for files known to have no breaks in cells:
+    that saves writing the records down, but reads the files for their headers and,
+    with two encodings, for these. Then, and in wide encodings, surplus cells are dropped.
     """
 
     def load(files: Sequence[str], encoding: str) -> DataFrame:
@@ -69,6 +70,8 @@ def read_text_table(
         return union_by_name([reader.csv(members) for members in groups] or [reader.csv(list(files))])
 
     paths = _paths(path)
+    if multiline and not any(e.lower().startswith(_WIDE) for e in encodings[:2]):
+        return normalize_na(read_delimited(spark, paths, sep, encodings, surplus=surplus), na_tokens)
     if len(encodings) == 1:
         return normalize_na(load(paths, encodings[0]), na_tokens)
     good, bad = _badly_encoded_files(spark, paths)
@@ -83,16 +86,20 @@ def read_typed_csv(
     schema: StructType | str | None = None,
     na_tokens: Sequence[str] = NA_TOKENS,
     multiline: bool = True,
+    surplus: str | None = "raise",
 ) -> DataFrame:
     """Delimited text with inferred types; a given ``schema`` saves the inferring scan.
 
     Texts that read as missing are null before types are inferred, so one
-    ``NA`` doesn't turn a column of numbers into text. Line breaks in quoted
-    cells keep a file in one task; switch ``multiline`` off for large files
-    known to have none.
+    ``NA`` doesn't turn a column of numbers into text. ``multiline`` and
+    ``surplus`` as in ``read_text_table``; types are inferred from the records
+    written down, not from the files.
     """
-    reader = spark.read.options(**CSV_OPTIONS).option("sep", sep).option("multiLine", multiline)
-    text = normalize_na(reader.csv(path), na_tokens)
+    if multiline:
+        text = read_delimited(spark, [path], sep, surplus=surplus)
+    else:
+        text = spark.read.options(**CSV_OPTIONS).option("sep", sep).csv(path)
+    text = normalize_na(text, na_tokens)
     if schema is None:
         schema = inferred_types(text)
     types = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
@@ -138,29 +145,32 @@ def inferred_types(text: DataFrame) -> StructType:
 
 
 def read_csv_with_xml(
-    spark: SparkSession, path: str | Sequence[str], multiline: bool = True
+    spark: SparkSession, path: str | Sequence[str], multiline: bool = True, surplus: str | None = "raise"
 ) -> DataFrame:
     """Comma-separated rows with quoted XML cells, every column a string.
 
-    Line breaks inside cells keep a file in one task; switch ``multiline`` off
-    for large files known to have none.
+    ``multiline`` and ``surplus`` as in ``read_text_table``; without ``multiline`` all files have one header.
     """
-    return spark.read.options(**CSV_OPTIONS).option("multiLine", multiline).csv(_paths(path))
+    if multiline:
+        return read_delimited(spark, _paths(path), ",", surplus=surplus)
+    return spark.read.options(**CSV_OPTIONS).csv(_paths(path))
 
 
 def read_folder_union(
-    spark: SparkSession, folder: str, suffix: str = ".tsv", multiline: bool = True
+    spark: SparkSession, folder: str, suffix: str = ".tsv", multiline: bool = True, surplus: str | None = "raise"
 ) -> DataFrame:
     """All matching files of a folder; columns a file lacks are null.
 
-    One scan with a mixed header would put values under the wrong names, so
-    files are grouped by header and each group is one scan. One job finds the
-    headers of all files.
+    One scan reads all files and learns their headers; the cells of a record go
+    where its file's header says. Without ``multiline`` (no line breaks in
+    cells) files are grouped by header, and each group is a scan. ``surplus`` as in ``read_text_table``.
     """
+    if multiline:
+        return read_delimited(spark, [folder], ",", suffix=suffix, surplus=surplus)
     groups = _by_header(spark, [folder], suffix=suffix)
     if not groups:
         raise FileNotFoundError(f"no *{suffix} file with a header in {folder}")
-    return union_by_name([read_csv_with_xml(spark, members, multiline) for members in groups])
+    return union_by_name([read_csv_with_xml(spark, members, False) for members in groups])
 
 
 def _by_header(

@@ -1,14 +1,19 @@
 from __future__ import annotations
 
+import csv
 import json
+import random
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tablewright.plans import clean_table, flatten_folder, merge_tables, slim_table
 from tablewright import session as sessions
 from tablewright.session import clear_stages, materialize, scratch_root
 from tablewright.sources import (
+    read_delimited,
     read_folder_union,
     read_id_list,
     read_id_response_log,
@@ -18,6 +23,7 @@ from tablewright.sources import (
     write_id_list,
     write_tsv,
 )
+from tablewright.sources.delimited import BlockReader, LineEnds
 from tablewright.streaming import stream_flatten
 
 
@@ -155,3 +161,104 @@ def test_stream_resumes_without_repeats(spark, tmp_path, rows):
     assert run() == [("1", "v1"), ("2", "v2")]
     land("b.tsv", [2, 3])
     assert run() == [("1", "v1"), ("2", "v2"), ("3", "v3")]
+
+
+# ---- quoted files in pieces
+
+CELLS = ["plain", 'with "quotes"', "line\nbreak", "", "a\r\n\"b\"\n\n,c", "x" * 300, '"', "\n\n", "é", ",", " \"pad\""]
+
+
+@pytest.fixture
+def small_blocks(spark):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    for n in names:
+        spark.conf.set(n, "200")
+    yield
+    for n, v in zip(names, before):
+        spark.conf.set(n, v)
+
+
+def quoted_file(path, header, rows, sep=",", end="\n", encoding="utf-8"):
+    with open(path, "w", newline="", encoding=encoding) as f:
+        writer = csv.writer(f, delimiter=sep, lineterminator=end)
+        writer.writerow(header)
+        writer.writerows(rows)
+
+
+def test_quoted_files_are_cut_into_blocks(spark, tmp_path, small_blocks):
+    rng = random.Random(1)
+    rows = [(str(i), rng.choice(CELLS), rng.choice(CELLS), "z") for i in range(500)]
+    rows.append(("big", "two\nlines\n" * 400, '"' * 500, "z"))  # a cell longer than many blocks
+    quoted_file(tmp_path / "a.csv", ["id", "te\nxt", "more", "end"], rows)
+    got = read_delimited(spark, [str(tmp_path / "a.csv")], ",")
+    assert got.columns == ["id", "te\nxt", "more", "end"]
+    assert {tuple(r) for r in got.collect()} == {tuple(c or None for c in r) for r in rows}
+    assert got.count() == len(rows)
+    # as Spark's own reader has it, which keeps the file in one task
+    whole = spark.read.options(header=True, multiLine=True, escape='"').csv(str(tmp_path / "a.csv"))
+    normal = lambda df: sorted(tuple((c or "").replace("\r\n", "\n") for c in r) for r in df.collect())
+    assert normal(got) == normal(whole)
+    lines = spark.read.option("lineSep", "\n").text(str(tmp_path / "a.csv"))
+    assert lines.rdd.getNumPartitions() > 50
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_files_with_headers_of_their_own(spark, tmp_path, small_blocks, end):
+    one = [(str(i), "v\n" * (i % 4)) for i in range(60)]
+    two = [(f"é{i}", str(i), "") for i in range(60)]
+    quoted_file(tmp_path / "1.tsv", ["id", "text"], one, "\t", end)
+    quoted_file(tmp_path / "2.tsv", ["text", "id", "last"], two, "\t", end, "latin-1")
+    (tmp_path / "3.tsv").write_bytes(b"\xef\xbb\xbfid\ttext" + end.encode())
+    (tmp_path / "4.tsv").write_bytes(end.encode() * 3)
+    got = read_text_table(spark, str(tmp_path))
+    assert got.columns == ["id", "text", "last"]
+    want = [(a, b or None, None) for a, b in one] + [(b, a, None) for a, b, _ in two]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_cells_beyond_the_header(spark, tmp_path, rows):
+    (tmp_path / "a.csv").write_text('x,y\n1,2\n3\n4,"5\n",6,"7,8"\n\n9,10,\n')
+    path = [str(tmp_path / "a.csv")]
+    with pytest.raises(Exception, match="more cells than the header"):
+        read_delimited(spark, path, ",").count()
+    assert rows(read_delimited(spark, path, ",", surplus=None)) == [("1", "2"), ("3", None), ("4", "5\n"), ("9", "10")]
+    named = {r.x: r.rest for r in read_delimited(spark, path, ",", surplus="rest").collect()}
+    assert named == {"1": None, "3": None, "4": ["6", "7,8"], "9": [""]}
+    with pytest.raises(ValueError):
+        read_delimited(spark, path, ",", surplus="Y")
+
+
+def test_headers_with_repeated_and_missing_names(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,X,,y\n1,2,3,4\n")
+    own = spark.read.options(header=True).csv(str(tmp_path / "a.csv"))
+    assert read_delimited(spark, [str(tmp_path / "a.csv")], ",").columns == own.columns
+    (tmp_path / "none.csv").write_text("")
+    assert read_delimited(spark, [str(tmp_path / "none.csv")], ",").columns == []
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text('a",\n', max_size=6), min_size=1, max_size=12), st.lists(st.integers(0, 60), max_size=5))
+def test_blocks_agree_with_reading_in_one_go(parts, cuts):
+    """However lines are dealt to blocks, the case that holds cuts the records that one reader cuts."""
+    lines = "\n".join(parts).encode().split(b"\n")
+    ends = LineEnds(",")
+    want, inside = [], False
+    for line in lines:
+        want = want + [line] if not inside else [*want[:-1], want[-1] + b"\n" + line]
+        inside = ends.open_after(line, inside)
+    edges = sorted({0, len(lines), *(min(c, len(lines)) for c in cuts)})
+    got, inside, is_open = [], False, False
+    for a, b in zip(edges, edges[1:]):
+        reader = BlockReader(ends, a == 0)
+        pieces = [p for p in (reader.feed(x, True) for x in lines[a:b]) if p]
+        *rest, last = reader.end()
+        case = 3 if inside else 1
+        for piece in [*pieces, *rest]:
+            if piece[case] == piece[0]:
+                got.append(piece[5])
+            else:
+                got[-1] += b"\n" + piece[5]
+        inside = not last[case + 1]
+    drop = lambda records: [r for r in records if r]
+    assert drop(got) == drop(want)
