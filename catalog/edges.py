@@ -38,22 +38,71 @@ def merged_with_null_keys_and_subset(t: Tables):
     return merge_many([_NULL_KEYS.frame(t), t("customer").select("c_custkey", "c_name")])
 
 
+# Keys of which only some have a partner on the other side.
+_SHIFTED_ORDERS = derived(
+    "orders", "o_orderkey", "CASE WHEN o_custkey % 2 = 0 THEN o_custkey ELSE -o_custkey END AS o_custkey"
+)
+_SHIFTED_CUSTOMERS = derived(
+    "customer", "CASE WHEN c_custkey % 3 = 0 THEN c_custkey ELSE 1000000000 + c_custkey END AS c_custkey", "c_name", "c_nationkey"
+)
+
+
 @query(
     "SELECT o_orderkey, coalesce(o_custkey, c_custkey) AS o_custkey, c_name,"
     " coalesce(c_nationkey, n_nationkey) AS c_nationkey, n_name FROM"
-    " (SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey % 2 = 0)"
-    " FULL JOIN (SELECT c_custkey, c_name, c_nationkey FROM customer WHERE c_custkey % 3 = 0) ON o_custkey = c_custkey"
+    f" {_SHIFTED_ORDERS.sql} FULL JOIN {_SHIFTED_CUSTOMERS.sql} ON o_custkey = c_custkey"
     " FULL JOIN (SELECT n_nationkey, n_name FROM nation) ON c_nationkey = n_nationkey"
 )
 def merged_twice_with_gaps(t: Tables):
-    orders = t("orders").where("o_custkey % 2 = 0").select("o_orderkey", "o_custkey")
-    customers = t("customer").where("c_custkey % 3 = 0").select("c_custkey", "c_name", "c_nationkey")
-    nations = t("nation").select("n_nationkey", "n_name")
-    return merge_many(
-        [orders, customers, nations], keys=[("o_custkey", "c_custkey"), ("c_nationkey", "n_nationkey")]
+    tables = [_SHIFTED_ORDERS.frame(t), _SHIFTED_CUSTOMERS.frame(t), t("nation").select("n_nationkey", "n_name")]
+    return merge_many(tables, keys=[("o_custkey", "c_custkey"), ("c_nationkey", "n_nationkey")])
+
+
+@query(
+    "SELECT o_orderkey, o_custkey, c_name, c_nationkey, n_name FROM orders LEFT JOIN customer ON o_custkey = c_custkey"
+    " LEFT JOIN (SELECT n_nationkey AS c_nationkey, n_name FROM nation) USING (c_nationkey)"
+    " UNION ALL SELECT NULL, c_custkey, c_name, c_nationkey, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey"
+    " WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)"
+    " UNION ALL SELECT NULL, NULL, NULL, n_nationkey, n_name FROM nation WHERE n_nationkey NOT IN (SELECT c_nationkey FROM customer)"
+)
+def merged_with_an_empty_table(t: Tables):
+    """Tables without rows stand first and in between: what has rows comes out whole."""
+    orders = t("orders").select("o_orderkey", "o_custkey")
+    customers = t("customer").select("c_custkey", "c_name", "c_nationkey")
+    nothing = orders.where("o_orderkey < 0")
+    tables = [nothing, orders, nothing.select("o_orderkey"), customers, t("nation").select("n_nationkey", "n_name")]
+    return merge_many(tables, coalesce=True)
+
+
+def _match_sql(a: str, b: str, source: str) -> str:
+    values = f"SELECT DISTINCT CAST({{}} AS DOUBLE) AS v FROM {source}"
+    left, right = values.format(a), values.format(b)
+    return (
+        f"SELECT '{a}' AS key1, '{b}' AS key2, (SELECT count(*) FROM ({left})) AS ndv1, (SELECT count(*) FROM ({right})) AS ndv2,"
+        f" (SELECT count(*) FROM ({left}) JOIN ({right}) USING (v)) AS common"
     )
 
 
+# The same numbers as decimals of several scales, doubles and whole numbers.
+_DECIMALS = derived(
+    "lineitem", "CAST(l_discount AS DECIMAL(12,2)) AS narrow", "CAST(l_extendedprice AS DECIMAL(18,4)) AS wide",
+    "CAST(l_discount AS DOUBLE) AS discount", "CAST(l_tax AS DOUBLE) AS tax", "CAST(l_extendedprice AS DOUBLE) AS price",
+    "CAST(l_quantity AS BIGINT) AS quantity",
+)
+
+
+@query(
+    "SELECT *, 100.0 * common / nullif(ndv1, 0) AS pct_of_1, 100.0 * common / nullif(ndv2, 0) AS pct_of_2 FROM ("
+    + " UNION ALL ".join(
+        _match_sql(a, b, _DECIMALS.sql) for a in ("narrow", "wide", "quantity") for b in ("discount", "tax", "price", "narrow")
+    )
+    + ")"
+)
+def key_matches_of_decimals(t: Tables):
+    df = _DECIMALS.frame(t)
+    return key_match_percentages(df, ["narrow", "wide", "quantity"], df, ["discount", "tax", "price", "narrow"])
+
+
 _NAN_LEFT = derived(
     "orders", "o_orderkey",
     "CASE WHEN o_orderkey % 5 = 0 THEN CAST('NaN' AS DOUBLE) ELSE CAST(o_custkey AS DOUBLE) END AS cust",
@@ -186,10 +235,11 @@ def id_list_with_any_characters(t: Tables):
     return _id_arrays(t, _awkward(t))
 
 
-@query(f"SELECT 'pages' AS db, {_AWKWARD_SQL} AS id FROM pages WHERE page_id % 6 <> 4")
+@query(f"SELECT 'pages' AS db, CASE WHEN page_id % 6 = 4 THEN 'id ' || page_id ELSE {_AWKWARD_SQL} END AS id FROM pages")
 def id_list_split_between_ids(t: Tables):
     # without IDs that look like a break between two, lists are read piece by piece
-    return _id_arrays(t, _awkward(t).where("page_id % 6 <> 4"))
+    plain = F.when(F.col("page_id") % 6 == 4, F.concat(F.lit("id "), "page_id")).otherwise(F.col("id"))
+    return _id_arrays(t, _awkward(t).withColumn("id", plain))
 
 
 @query(

@@ -12,6 +12,7 @@ from catalog.registry import (
     ORDERS_GAPS,
     ORDERS_GAPS_COLUMNS,
     Tables,
+    derived,
     query,
 )
 from tablewright.operators.overlap import distinct_values
@@ -140,6 +141,31 @@ def column_equality(t: Tables):
     return _rounded(pairwise_equality(LINEITEM_COPIES.frame(t)), "ratio")
 
 
+# Lineitem with more pairs of columns than one aggregate takes: numbers and texts of few values, with gaps.
+_MANY = {
+    **{f"r{k}": f"CASE WHEN l_linenumber <> {k % 5} THEN l_orderkey % {k} END AS r{k}" for k in range(2, 22)},
+    **{f"s{k}": f"CAST((l_partkey + l_linenumber) % {k} AS VARCHAR(9)) AS s{k}" for k in range(2, 16)},
+}
+LINEITEM_MANY = derived("lineitem", *_MANY.values())
+
+
+def _many_sql() -> str:
+    pairs = ", ".join(
+        "{'col1': '%s', 'col2': '%s', 'n_equal': %s}"
+        % (a, b, f"count(*) FILTER (WHERE {a} = {b})" if a[0] == b[0] else "CAST(0 AS BIGINT)")
+        for a, b in combinations(_MANY, 2)
+    )
+    return (
+        "SELECT p.col1, p.col2, n, p.n_equal, round(CAST(p.n_equal AS DOUBLE) / n, 6) AS ratio, p.n_equal = n AS identical"
+        f" FROM (SELECT count(*) AS n, unnest([{pairs}]) AS p FROM {LINEITEM_MANY.sql})"
+    )
+
+
+@query(_many_sql())
+def column_equality_of_many_columns(t: Tables):
+    return _rounded(pairwise_equality(LINEITEM_MANY.frame(t)), "ratio")
+
+
 @query(
     f"SELECT col1, col2 FROM ({_equality_sql(LINEITEM_COPIES.sql, LINEITEM_COPIES_COLUMNS)}) WHERE identical"
 )

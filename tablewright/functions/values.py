@@ -6,6 +6,8 @@ equals the string that spells it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,6 +45,20 @@ def clean_value(name: str, dtype: T.DataType) -> Column:
     return value
 
 
+def _as_double(text: Column) -> Column:
+    """The double that a decimal's text stands for, if it stands for that decimal in return; else null.
+
+    Up to 15 digits always come back; of longer texts those that are the
+    shortest text of their double do.
+    """
+    digits = F.length(F.regexp_replace(F.regexp_replace(text, "[-.]", ""), "^0+|0+$", ""))
+    real = text.try_cast("double")
+    exact = "decimal(38,20)"
+    back = real.cast("string").try_cast(exact) == text.try_cast(exact)
+    short = F.length(F.regexp_extract(text, r"\.(.*)", 1)) <= 20
+    return F.when((digits <= 15) | (short & back), real)
+
+
 def canonical_text(name: str, dtype: T.DataType) -> Column:
     """Text that is equal exactly when two values of one family are equal."""
     value = clean_value(name, dtype)
@@ -54,7 +70,10 @@ def canonical_text(name: str, dtype: T.DataType) -> Column:
         )
     if isinstance(dtype, T.DecimalType):
         text = value.cast("string")
-        return F.when(text.contains("."), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
+        text = F.when(text.contains("."), F.regexp_replace(text, r"\.?0+$", "")).otherwise(text)
+        real = _as_double(text)
+        whole = real.isNull() | ((F.abs(real) < _LONG_LIMIT) & (real == F.floor(real)))
+        return F.when(whole, text).otherwise(real.cast("string"))
     if isinstance(dtype, T.DateType):
         return value.cast("timestamp").cast("string")
     if family_of(dtype) == NESTED:
@@ -62,6 +81,18 @@ def canonical_text(name: str, dtype: T.DataType) -> Column:
     return value.cast("string")
 
 
+def comparable(dtypes: list[T.DataType]) -> Callable[[str, T.DataType], Column]:
+    """A form in which columns of one family are equal when their values are, as narrow as their types allow."""
+    if all(isinstance(t, (*_INTEGERS, T.BooleanType)) for t in dtypes):
+        return lambda name, dtype: F.col(quoted(name)).cast("bigint")
+    if all(isinstance(t, (*_FLOATS, T.ByteType, T.ShortType, T.IntegerType)) for t in dtypes):
+        # a double holds every int
+        return lambda name, dtype: clean_value(name, dtype).cast("double")
+    if all(family_of(t) == TIME for t in dtypes):
+        return lambda name, dtype: F.unix_micros(F.col(quoted(name)).cast("timestamp"))
+    return canonical_text
+
+
 KEY = ("num", "dbl", "txt")
 
 
@@ -88,17 +119,28 @@ def value_key(name: str, dtype: T.DataType) -> tuple[Column, Column, Column]:
 def canonical_key(df: DataFrame, decimals: bool = False) -> DataFrame:
     """Bring stacked keys of different number types into one form.
 
-    Doubles without a fraction move to ``num``; so do texts of whole decimals,
-    in tables whose ``family`` says that they are numbers.
+    Doubles without a fraction move to ``num``. In tables whose ``family``
+    says that they are numbers, texts of decimals go where their value is at
+    home: whole ones to ``num``, those that a double holds as well to ``dbl``. Only decimals that
+    are no value of another type stay texts.
     """
     dbl, num, txt = F.col("dbl"), F.col("num"), F.col("txt")
-    whole = (F.abs(dbl) < _LONG_LIMIT) & (dbl == F.floor(dbl))
-    num = F.coalesce(num, F.when(whole, dbl.try_cast("bigint")))
     if decimals:
-        short = (F.col("family") == NUMBER) & ~txt.contains(".")
-        num = F.coalesce(num, F.when(short, txt.try_cast("bigint")))
-        txt = F.when(~(short & num.isNotNull()), txt)
-    return df.withColumns({"num": num, "dbl": F.when(~whole, dbl), "txt": txt})
+        number = (F.col("family") == NUMBER) & txt.isNotNull()
+        whole_text = F.when(number & ~txt.contains("."), txt.try_cast("bigint"))
+        real = F.when(number & whole_text.isNull(), _as_double(txt))
+        df = df.withColumns(
+            {
+                "num": F.coalesce(num, whole_text),
+                "dbl": F.coalesce(dbl, real),
+                "txt": F.when(whole_text.isNull() & real.isNull(), txt),
+            }
+        )
+    whole = (F.abs(dbl) < _LONG_LIMIT) & (dbl == F.floor(dbl))
+    whole = F.coalesce(whole, F.lit(False))
+    return df.withColumns(
+        {"num": F.coalesce(num, F.when(whole, dbl.try_cast("bigint"))), "dbl": F.when(~whole, dbl)}
+    )
 
 
 def has_key() -> Column:

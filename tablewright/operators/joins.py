@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.functions.values import NESTED, clean_value, family_of, quoted
-from tablewright.operators.overlap import key_match_percentages
+from tablewright.operators.overlap import column_sketches, key_match_percentages, similarity_bounds
 from tablewright.operators.profile import column_types, primary_key_candidates
 from tablewright.operators.relations import Star, find_relations, star_schema
 from tablewright.operators.cleaning import drop_identical_columns
@@ -58,23 +58,46 @@ def choose_join(
     values over all values of both. Containment alone would favour a column of
     small integers that happens to lie inside a wide one. Names matching
     ``prefer`` win before that. None if no pair shares a value.
+
+    Sketches of all columns bound how alike each pair can be; only columns of
+    pairs that may still win have their values shuffled and counted exactly.
     """
-    matches = [r for r in key_match_percentages(df1, keys1, df2, keys2).collect() if r["common"]]
+    keys1, keys2 = list(keys1), list(keys2)
+    liked = lambda k1, k2: sum(bool(prefer and re.search(prefer, k)) for k in (k1, k2))
+    hopeful = _may_win(df1, keys1, df2, keys2, liked)
+    few1, few2 = ([k for k in keys if any(k == pair[i] for pair in hopeful)] for i, keys in enumerate((keys1, keys2)))
+    matches = [r for r in key_match_percentages(df1, few1, df2, few2).collect() if r["common"]]
     if not matches:
         return None
 
     def rank(r):
-        liked = sum(bool(prefer and re.search(prefer, r[k])) for k in ("key1", "key2"))
         alike = r["common"] / (r["ndv1"] + r["ndv2"] - r["common"])
-        return (-liked, -alike, -r["common"], keys1.index(r["key1"]), keys2.index(r["key2"]))
+        return (-liked(r["key1"], r["key2"]), -alike, -r["common"], keys1.index(r["key1"]), keys2.index(r["key2"]))
 
-    keys1, keys2 = list(keys1), list(keys2)
     best = min(matches, key=rank)
     n1, n2, n = best["ndv1"], best["ndv2"], best["common"]
     how = join_type(n1, n2, n, has_rows_without(df1, best["key1"]), has_rows_without(df2, best["key2"]))
     return JoinChoice(best["key1"], best["key2"], how, n1, n2, n)
 
 
+def _may_win(df1: DataFrame, keys1: list[str], df2: DataFrame, keys2: list[str], liked) -> list[tuple[str, str]]:
+    """The pairs that can be the best one: none of their rank, or of a better one, is sure to be more alike."""
+    pairs = [(a, b) for a in keys1 for b in keys2 if a in df1.columns and b in df2.columns]
+    if len(pairs) < 2:
+        return pairs
+    own = column_sketches(df1, [k for k in keys1 if k in df1.columns])
+    other = column_sketches(df2, [k for k in keys2 if k in df2.columns])
+    bounds = {(a, b): similarity_bounds(own[a], other[b]) for a, b in pairs}
+    out: list[tuple[str, str]] = []
+    for rank in sorted({liked(*p) for p in pairs}, reverse=True):
+        level = [p for p in pairs if liked(*p) == rank and bounds[p][1] > 0]
+        least = max((bounds[p][0] for p in level), default=0.0)
+        out += [p for p in level if bounds[p][1] >= least]
+        if least > 0:  # some pair of this rank does share values
+            break
+    return out
+
+
 def merge_pair(
     df1: DataFrame,
     df2: DataFrame,
@@ -168,7 +191,9 @@ def merge_many(
 
     The second table's key must be unique, the first table's may be any
     column. ``keys`` forces them. Each step is written out before the next one
-    profiles it.
+    profiles it. Where one side has no rows, all rows of the other come out: joined
+    on the given keys or on the first columns of one name and kind, else with the columns
+    side by side. Tables with rows that share no value raise.
     """
     merged = dfs[0]
     for step, df in enumerate(dfs[1:]):
@@ -181,6 +206,10 @@ def merge_many(
             kinds = {family_of(types2[c]) for c in keys2}
             keys1 = [c for c in merged.columns if family_of(types[c]) in kinds]
         choice = choose_join(merged, keys1, df, keys2, prefer)
+        if choice is None and (df.isEmpty() or merged.isEmpty()):
+            pair = keys[step] if keys is not None else _same_named(merged, keys1, df, keys2)
+            merged = merge_pair(merged, df, *pair, "outer", coalesce=coalesce) if pair else _beside(merged, df)
+            continue
         if choice is None:
             raise ValueError(f"table {step + 2} shares no key values with the tables before it")
         merged = merge_pair(
@@ -197,6 +226,20 @@ def merge_many(
     return merged
 
 
+def _same_named(df1: DataFrame, keys1: Sequence[str], df2: DataFrame, keys2: Sequence[str]) -> tuple[str, str] | None:
+    types1, types2 = column_types(df1), column_types(df2)
+    return next(((k, k) for k in keys1 if k in keys2 and family_of(types1[k]) == family_of(types2[k])), None)
+
+
+def _beside(df1: DataFrame, df2: DataFrame) -> DataFrame:
+    """All rows of two tables without a common column; names that both have get a suffix."""
+    both = set(df1.columns) & set(df2.columns)
+    names = [[c + suffix if c in both else c for c in df.columns] for df, suffix in ((df1, "_x"), (df2, "_y"))]
+    names = distinct_names([*names[0], *names[1]])
+    n = len(df1.columns)
+    return df1.toDF(*names[:n]).unionByName(df2.toDF(*names[n:]), allowMissingColumns=True)
+
+
 def coalesced_merge(df1: DataFrame, df2: DataFrame, k1: str, k2: str, how: str = "outer", **options) -> DataFrame:
     """Join and fill the gaps of the first table from the second."""
     return merge_pair(df1, df2, k1, k2, how, coalesce=True, **options)

@@ -8,10 +8,14 @@ a hot value combine before it, and no two rows are ever paired.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,6 +100,90 @@ def shared_value_counts(sources: Sequence[Source], across: bool = False) -> Data
     return both.groupBy("i", "j").agg(F.sum("n").alias("n"))
 
 
+class Sketch(NamedTuple):
+    """The smallest hashes of a column's distinct values; all of them if it has fewer than SKETCH."""
+
+    hashes: np.ndarray
+    family: int
+
+    @property
+    def complete(self) -> bool:
+        return len(self.hashes) < SKETCH
+
+
+#: Hashes in a sketch, and the odds that a bound is wrong.
+SKETCH = 2048
+ODDS = 1e-12
+
+
+def column_sketches(df: DataFrame, columns: Sequence[str]) -> dict[str, Sketch]:
+    """A bottom-k sketch of each column, from one scan that shuffles SKETCH hashes for each task and column.
+
+    Hashes are equal for equal values of a family, also across tables. Each
+    task keeps the smallest ones it has met; the smallest of all tasks' are
+    those of the whole column. What reaches the driver is bounded by the number of columns.
+    """
+    if not columns:
+        return {}
+    types = column_types(df)
+    size, names = SKETCH, [f"h{i}" for i in range(len(columns))]
+
+    def smallest(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = [np.zeros(0, dtype=np.int64) for _ in names]
+        for batch in batches:
+            for i, name in enumerate(names):
+                new = batch.column(name).drop_null().to_numpy()
+                if len(kept[i]) == size:
+                    new = new[new < kept[i][-1]]
+                if len(new):
+                    kept[i] = np.unique(np.concatenate([kept[i], np.unique(new)[:size]]))[:size]
+        position = np.repeat(np.arange(len(names), dtype=np.int32), [len(k) for k in kept])
+        yield pa.RecordBatch.from_arrays([pa.array(position), pa.array(np.concatenate(kept))], ["position", "hash"])
+
+    hashed = df.select(*[value_hash(c, types[c]).alias(n) for c, n in zip(columns, names)])
+    of_tasks = hashed.mapInArrow(smallest, "position int, hash long")
+    # at most SKETCH rows for each task and column, and as many for each column on the driver
+    order = Window.partitionBy("position").orderBy("hash")
+    of_all = of_tasks.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= size)
+    found: dict[int, list[int]] = {}
+    for position, value in of_all.select("position", "hash").collect():
+        found.setdefault(position, []).append(value)
+    return {
+        c: Sketch(np.array(sorted(found.get(i, [])), dtype=np.int64), family_of(types[c])) for i, c in enumerate(columns)
+    }
+
+
+def similarity_bounds(a: Sketch, b: Sketch) -> tuple[float, float]:
+    """Least and most that shared values may be of all values of two columns.
+
+    Below the smaller of their largest hashes both sketches are whole, and
+    what they hold there is a random sample of all values of both columns. Where both are
+    complete it is all of them; else the bounds are those of Chernoff and Hoeffding, at odds of ODDS.
+    """
+    if a.family != b.family or not len(a.hashes) or not len(b.hashes):
+        return 0.0, 0.0
+    ends = [s.hashes[-1] for s in (a, b) if not s.complete]
+    x, y = (s.hashes[s.hashes <= min(ends)] if ends else s.hashes for s in (a, b))
+    shared = len(np.intersect1d(x, y, assume_unique=True))
+    seen = len(x) + len(y) - shared
+    share = shared / seen if seen else 0.0
+    if not ends:
+        return share, share
+    allowed = math.log(1 / ODDS) / max(seen, 1)
+
+    def off(p: float) -> float:
+        parts = [(share, p), (1 - share, 1 - p)]
+        return sum(q * math.log(q / r) if r > 0 else math.inf for q, r in parts if q > 0)
+
+    def edge(inside: float, outside: float) -> float:
+        for _ in range(60):
+            middle = (inside + outside) / 2
+            inside, outside = (middle, outside) if off(middle) <= allowed else (inside, middle)
+        return outside
+
+    return edge(share, 0.0), edge(share, 1.0)
+
+
 def value_set_equal_pairs(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Column pairs whose sets of distinct non-null values are equal.
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from functools import reduce
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import combinations
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +19,7 @@ from tablewright.functions.values import (
     NESTED,
     STRING,
     clean_value,
+    comparable,
     family_of,
     has_key,
     quoted,
@@ -215,11 +218,9 @@ def pairwise_equality(
 ) -> DataFrame:
     """Per column pair the number and ratio of rows holding equal values.
 
-    Sums of comparisons need no shuffle beyond one row per task. Pairs are
-    split into aggregates of bounded width, each reading only its own columns.
-    Columns are cleaned once in a projection, so that a comparison is two
-    column names: with thousands of pairs, planning would otherwise take
-    longer than counting.
+    Few pairs are sums of comparisons, one row per task. Many, which would not
+    fit in one aggregate, are counted batch by batch in a single scan
+    (``_equal_by_codes``). Both count every row.
     """
     spark, types = df.sparkSession, column_types(df)
     if pairs is None:
@@ -229,6 +230,32 @@ def pairwise_equality(
         return spark.createDataFrame(
             [], "col1 string, col2 string, n bigint, n_equal bigint, ratio double, identical boolean"
         )
+    counted = _equal_by_codes if len(pairs) > PAIRS_PER_PASS else _equal_by_sums
+    names = spark.createDataFrame(
+        [(-1, None, None), *((i, a, b) for i, (a, b) in enumerate(pairs))], "pair int, col1 string, col2 string"
+    )
+    # pair -1 counts the rows; one row per pair of columns
+    rows = F.max(F.when(F.col("pair") == -1, F.col("n_equal"))).over(Window.partitionBy(F.lit(0)))
+    found = names.join(counted(df, pairs, null_safe), "pair", "left").select(
+        "pair", "col1", "col2", F.coalesce(rows, F.lit(0)).cast("bigint").alias("n"),
+        F.coalesce("n_equal", F.lit(0)).cast("bigint").alias("n_equal"),
+    )
+    return found.where("pair >= 0").select(
+        "col1",
+        "col2",
+        "n",
+        "n_equal",
+        F.try_divide(F.col("n_equal").cast("double"), F.col("n")).alias("ratio"),
+        ((F.col("n") > 0) & (F.col("n_equal") == F.col("n"))).alias("identical"),
+    )
+
+
+def _equal_by_sums(df: DataFrame, pairs: Sequence[tuple[str, str]], null_safe: bool) -> DataFrame:
+    """(pair, n_equal) by one comparison a pair.
+
+    Columns are cleaned once in a projection, so that a comparison is two column names.
+    """
+    types = column_types(df)
     place = {name: i for i, name in enumerate(df.columns)}
 
     def value(name: str) -> Column:
@@ -241,28 +268,70 @@ def pairwise_equality(
             return f"{left} {'<=>' if null_safe else '='} {right}"
         return f"{left} IS NULL AND {right} IS NULL" if null_safe else "false"
 
-    parts = []
-    for start in range(0, len(pairs), PAIRS_PER_PASS):
-        chunk = pairs[start : start + PAIRS_PER_PASS]
-        used = sorted({place[name] for pair in chunk for name in pair})
-        cleaned = df.select(*[value(df.columns[i]).alias(f"v{i}") for i in used])
-        counts = cleaned.selectExpr(
-            "count(1) AS n", f"array({', '.join(f'count_if({equal(a, b)})' for a, b in chunk)}) AS equals"
-        )
-        parts.append(counts.selectExpr("n", "posexplode(equals) AS (at, n_equal)").selectExpr(f"at + {start} AS pair", "n", "n_equal"))
-    names = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "pair int, col1 string, col2 string")
-    return (
-        reduce(DataFrame.unionAll, parts)
-        .join(names, "pair")
-        .select(
-            "col1",
-            "col2",
-            "n",
-            "n_equal",
-            F.try_divide(F.col("n_equal").cast("double"), F.col("n")).alias("ratio"),
-            ((F.col("n") > 0) & (F.col("n_equal") == F.col("n"))).alias("identical"),
-        )
+    used = sorted({place[name] for pair in pairs for name in pair})
+    cleaned = df.select(*[value(df.columns[i]).alias(f"v{i}") for i in used])
+    counts = cleaned.selectExpr(
+        f"array(count(1), {', '.join(f'count_if({equal(a, b)})' for a, b in pairs)}) AS equals"
     )
+    return counts.selectExpr("posexplode(equals) AS (at, n_equal)").selectExpr("at - 1 AS pair", "n_equal")
+
+
+def _equal_by_codes(df: DataFrame, pairs: Sequence[tuple[str, str]], null_safe: bool) -> DataFrame:
+    """(pair, n_equal) from one scan, however many pairs.
+
+    Within an Arrow batch every value gets the code of its first appearance
+    among all columns of its kind (in their ``comparable`` form), so that
+    a pair is one comparison of two arrays of small numbers. A task sends one row for
+    each pair that was ever equal.
+    """
+    types = column_types(df)
+    wanted = {name for pair in pairs for name in pair}
+    kinds: dict[int, list[str]] = {}
+    for name in df.columns:
+        if name in wanted:
+            kinds.setdefault(family_of(types[name]), []).append(name)
+    used = [name for members in kinds.values() for name in members]
+    at = {name: i for i, name in enumerate(used)}
+    sizes = [len(members) for members in kinds.values()]
+    columns = []
+    for members in kinds.values():
+        like = comparable([types[m] for m in members])
+        columns += [like(m, types[m]).alias(f"v{at[m]}") for m in members]
+    c = len(used)
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, equal = 0, np.zeros((c, c), dtype=np.int64)
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
+                continue
+            rows += n
+            codes = np.empty((c, n), dtype=np.int32)
+            begin = used_codes = 0
+            for size in sizes:
+                values = pa.concat_arrays([batch.column(begin + k) for k in range(size)])
+                if pa.types.is_floating(values.type):
+                    values = pc.add(values, 0.0)  # -0.0 is 0.0
+                found = values.dictionary_encode()
+                own = pc.fill_null(found.indices, -1).to_numpy(zero_copy_only=False).reshape(size, n)
+                codes[begin : begin + size] = np.where(own < 0, -1, own + used_codes)
+                used_codes += len(found.dictionary)
+                begin += size
+            if not null_safe:  # nulls equal nothing
+                codes = np.where(codes < 0, -1 - np.arange(c, dtype=np.int32)[:, None], codes)
+            for i in range(c - 1):
+                equal[i, i + 1 :] += np.count_nonzero(codes[i + 1 :] == codes[i], axis=1)
+        if rows:
+            i, j = np.nonzero(equal)
+            code = np.concatenate([[-1], i * c + j])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(code.astype(np.int64)), pa.array(np.concatenate([[rows], equal[i, j]]))], ["code", "n"]
+            )
+
+    met = df.select(*columns).mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n_equal"))
+    places = [tuple(sorted((at[a], at[b]))) for a, b in pairs]
+    wanted_codes = [(-1, -1), *((k, i * c + j) for k, (i, j) in enumerate(places))]
+    return df.sparkSession.createDataFrame(wanted_codes, "pair int, c long").join(met, F.col("c") == F.col("code")).select("pair", "n_equal")
 
 
 def identical_classes(

@@ -6,12 +6,15 @@ from collections.abc import Sequence
 from itertools import combinations, permutations
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablewright.functions.values import (
     KEY,
+    TIME,
     canonical_text,
+    family_of,
     has_key,
     is_exactly_sortable,
     quoted,
@@ -65,53 +68,116 @@ class _Verdict(NamedTuple):
     ndv: dict[str, int]
 
 
+def _slot_value(name: str, dtype: T.DataType) -> Column:
+    """``sortable`` as a double for fractional numbers and as a bigint for all else."""
+    if family_of(dtype) == TIME:
+        return F.unix_micros(F.col(quoted(name)).cast("timestamp"))
+    return sortable(name, dtype).cast("double" if isinstance(dtype, (T.FloatType, T.DoubleType)) else "bigint")
+
+
+class _Unit(NamedTuple):
+    """A determinant and some of its targets, which share a row of the stacked table."""
+
+    determinant: str
+    wholes: list[str]  # in the order of their slots
+    reals: list[str]
+
+
+def _units(pairs: Sequence[tuple[str, str]], is_real: dict[str, bool]) -> list[_Unit]:
+    """Deal each determinant's own targets to units of one width, the one that shuffles least.
+
+    A stacked row costs its key (three values and its head) and all slots of its unit, also those
+    that stay empty, so few wide units suit many targets, and narrow ones a few targets for each.
+    """
+    targets: dict[str, tuple[list[str], list[str]]] = {}
+    for a, b in pairs:
+        targets.setdefault(a, ([], []))[is_real[b]].append(b)
+
+    def slots(width: tuple[int, int]) -> int:
+        # a determinant's units, times what a row of them takes
+        units = sum(max(1, *(-(-len(t) // w) if w else 0 for t, w in zip(own, width))) for own in targets.values())
+        return units * (sum(width) + 4)
+
+    most = [max(len(own[k]) for own in targets.values()) for k in (0, 1)]
+    widths = [sorted({min(m, 1 << e) for e in range(m.bit_length() + 1)}) if m else [0] for m in most]
+    width = min(((w, r) for w in widths[0] for r in widths[1]), key=slots)
+    units = []
+    for a, own in targets.items():
+        cut = [[t[k : k + w] for k in range(0, len(t), w)] if w else [] for t, w in zip(own, width)]
+        for k in range(max(1, *map(len, cut))):
+            units.append(_Unit(a, *(c[k] if k < len(c) else [] for c in cut)))
+    return units
+
+
 def _refute(df: DataFrame, pairs: Sequence[tuple[str, str]], slice_only: bool) -> _Verdict:
     """Drop the pairs (a, b) for which some value of a meets two values of b.
 
     All determinants share one shuffle keyed by (determinant, value). Each row
-    is stacked once per determinant and folds into its group's smallest and
+    is stacked once per determinant and carries the targets that are still
+    open for just this one (``_units``): the work follows the number of open pairs. It
+    folds into its group's smallest and
     largest b before the shuffle: a hot value is one row per task, and no list
     of values is ever built. Also tells which determinants repeat a value.
     """
     if not pairs:
         return _Verdict([], set(), {})
     types = column_types(df)
-    determinants = list(dict.fromkeys(a for a, _ in pairs))
+    is_real = {b: isinstance(types[b], (T.FloatType, T.DoubleType)) for _, b in pairs}
+    units = _units(pairs, is_real)
     targets = list(dict.fromkeys(b for _, b in pairs))
-    payload = [sortable(b, types[b]).alias(f"b{j}") for j, b in enumerate(targets)]
-    long = stack_values(df, determinants, payload, slice_only)
-    columns = range(len(targets))
+    payload = [_slot_value(b, types[b]).alias(f"b{j}") for j, b in enumerate(targets)]
+    at = {b: f"b{j}" for j, b in enumerate(targets)}
+    widths = [max(len(u[k]) for u in units) for k in (1, 2)]
+    names = [f"{kind}{k}" for kind, w in zip("wr", widths) for k in range(w)]
+    empty = {"w": "CAST(NULL AS BIGINT)", "r": "CAST(NULL AS DOUBLE)"}
+    stacked = stack_values(df, [u.determinant for u in units], payload, slice_only)
+    # the slots of a unit take its own targets, by the number of the unit
+    slots = []
+    for name in names:
+        kind, k = 1 if name[0] == "w" else 2, int(name[1:])
+        held: dict[str, list[int]] = {}
+        for i, unit in enumerate(units):
+            if k < len(unit[kind]):
+                held.setdefault(at[unit[kind][k]], []).append(i)
+        cases = " ".join(f"WHEN position IN ({', '.join(map(str, who))}) THEN {b}" for b, who in held.items())
+        slots.append(F.expr(f"CASE {cases} ELSE {empty[name[0]]} END AS {name}"))
+    long = stacked.select("position", *KEY, *slots)
     folded = [
         F.expr(text)
-        for j in columns
-        for text in (f"min(b{j}) AS lo{j}", f"max(b{j}) AS hi{j}", f"count(b{j}) AS c{j}")
+        for c in names
+        for text in (f"min({c}) AS lo_{c}", f"max({c}) AS hi_{c}", f"count({c}) AS c_{c}")
     ]
     groups = long.groupBy("position", *KEY).agg(F.expr("count(1) AS n"), *folded)
     groups = groups.withColumn("known", has_key())
     checks = [F.expr("count_if(known) AS ndv"), F.expr("bool_or(known AND n > 1) AS repeats")]
     checks += [
         F.expr(text)
-        for j in columns
+        for c in names
         for text in (
-            f"count_if(known AND lo{j} <> hi{j}) AS broken{j}",
-            f"count_if(known AND c{j} > 0) AS met{j}",
-            f"count_if(c{j} > 0 AND (NOT known OR c{j} < n)) AS torn{j}",
+            f"count_if(known AND lo_{c} <> hi_{c}) AS broken_{c}",
+            f"count_if(known AND c_{c} > 0) AS met_{c}",
+            f"count_if(c_{c} > 0 AND (NOT known OR c_{c} < n)) AS torn_{c}",
         )
     ]
     verdicts = {r["position"]: r for r in groups.groupBy("position").agg(*checks).collect()}
-    place = {name: j for j, name in enumerate(targets)}
-    order = {name: i for i, name in enumerate(determinants)}
+    slot_of = {
+        (unit.determinant, b): (i, f"{kind}{k}")
+        for i, unit in enumerate(units)
+        for kind, own in zip("wr", unit[1:])
+        for k, b in enumerate(own)
+    }
     kept = []
     for a, b in pairs:
-        row, j = verdicts.get(order[a]), place[b]
+        i, c = slot_of[a, b]
+        row = verdicts.get(i)
         if row is None:  # no value in the slice
             kept.append(Dependency(a, b, True))
-        elif row[f"broken{j}"] == 0 and (slice_only or row[f"met{j}"] > 0):
-            kept.append(Dependency(a, b, row[f"torn{j}"] == 0))
+        elif row[f"broken_{c}"] == 0 and (slice_only or row[f"met_{c}"] > 0):
+            kept.append(Dependency(a, b, row[f"torn_{c}"] == 0))
     return _Verdict(
         kept,
-        {determinants[i] for i, r in verdicts.items() if r["repeats"]},
-        {determinants[i]: r["ndv"] for i, r in verdicts.items()},
+        {units[i].determinant for i, r in verdicts.items() if r["repeats"]},
+        {units[i].determinant: r["ndv"] for i, r in verdicts.items()},
     )
 
 

@@ -2,10 +2,20 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
+from tablewright.functions.values import value_hash
+from tablewright.operators import joins, overlap
 from tablewright.operators.joins import choose_join, join_type, merge_many, merge_pair
-from tablewright.operators.overlap import key_match_percentages, shared_value_counts
+from tablewright.operators.overlap import (
+    Sketch,
+    column_sketches,
+    key_match_percentages,
+    shared_value_counts,
+    similarity_bounds,
+    value_membership,
+)
 from tablewright.operators.ranking import (
     plan_batches,
     prioritize_studies,
@@ -100,8 +110,11 @@ def test_empty_side_has_no_match(spark):
     assert choose_join(a, ["k"], b, ["k"]) is None
     row = key_match_percentages(a, ["k"], b, ["k"]).first()
     assert (row.pct_of_1, row.pct_of_2) == (None, 0.0)
-    with pytest.raises(ValueError):
-        merge_many([a, b])
+    # without rows on one side, those of the other come out
+    assert [tuple(r) for r in merge_many([a, b]).collect()] == [(1,)]
+    assert [tuple(r) for r in merge_many([b, a.withColumnRenamed("k", "z")]).collect()] == [(1, None)]
+    with pytest.raises(ValueError, match="shares no key values"):
+        merge_many([b, spark.createDataFrame([(2,)], "k int")])
 
 
 def test_identity_beats_containment(spark):
@@ -152,3 +165,82 @@ def test_mapping_table(spark, rows):
     assert rows(column_mapping(spark, ["o_a"], ["a"], ["gone"])) == [
         ("gone", None, True), ("o_a", "a", False),
     ]
+
+
+# ---- one normal form for numbers, and sketches
+
+NUMBERS = [
+    ("0.5", 0.5, True), ("0.1", 0.1, True), ("-3.00", -3.0, True), ("7", 7.0, True), ("0.00001", 1e-5, True), ("0", -0.0, True),
+    ("123456789012345678901234", 123456789012345678901234.0, False), ("100000000000000000000", 1e20, True),
+    ("0.1000000000000000055", 0.1, False), ("0.30000000000000004", 0.1 + 0.2, True), ("0.3", 0.1 + 0.2, False),
+]
+
+
+@pytest.mark.parametrize("text, real, same", NUMBERS)
+def test_decimals_meet_doubles(spark, text, real, same):
+    scale = len(text.partition(".")[2])
+    a = spark.createDataFrame([(text,)], "t string").selectExpr(f"CAST(t AS DECIMAL(38,{scale})) AS k")
+    b = spark.createDataFrame([(real,)], "k double")
+    assert key_match_percentages(a, ["k"], b, ["k"]).first().common == same
+    assert value_membership(a, "k", b, "k") == same
+    wider = a.selectExpr(f"CAST(k AS DECIMAL(38,{min(scale + 2, 14) if scale < 12 else scale})) AS k")
+    assert key_match_percentages(a, ["k"], wider, ["k"]).first().common == 1
+
+
+def test_all_ways_of_joining_agree_on_decimals(spark):
+    a = spark.sql("SELECT CAST(id / 4 AS DECIMAL(10,2)) AS k, id + 5000 AS a FROM range(40)")
+    b = spark.sql("SELECT CAST(id / 2 AS DOUBLE) AS k, id + 1000 AS b FROM range(30)")
+    assert key_match_percentages(a, ["k"], b, ["k"]).first().common == 20
+    merged = merge_many([a, b])
+    assert merged.count() == merge_pair(a, b, "k", "k", "outer").count() == 50
+
+
+def sketch(values, family=0, k=64):
+    hashes = np.unique(np.array([hash((v, "salt")) for v in values], dtype=np.int64))
+    return Sketch(hashes[:k], family)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_bounds_hold(monkeypatch, seed):
+    monkeypatch.setattr(overlap, "SKETCH", 64)
+    rng = random.Random(seed)
+    sizes = [rng.choice([0, 3, 40, 500, 5000]) for _ in range(3)]
+    left, both, right = (range(1000000 * i, 1000000 * i + n) for i, n in enumerate(sizes))
+    low, high = similarity_bounds(sketch([*left, *both]), sketch([*both, *right]))
+    total = sum(sizes)
+    assert low <= (len(both) / total if total else 0) <= high
+    if total and max(len(left), len(right)) + len(both) < 64:
+        assert low == high
+
+
+def test_sketches_are_those_of_the_whole_column(spark):
+    df = spark.range(50_000).selectExpr("id % 9000 AS many", "id % 7 AS few", "CAST(NULL AS INT) AS none", "CAST(id % 9000 AS DOUBLE) AS real")
+    got = column_sketches(df.repartition(7), df.columns)
+    hashes = sorted(r[0] for r in df.select(value_hash("many", df.schema["many"].dataType)).distinct().collect())
+    assert got["many"].hashes.tolist() == hashes[: overlap.SKETCH] and not got["many"].complete
+    assert got["real"].hashes.tolist() == got["many"].hashes.tolist()
+    assert len(got["few"].hashes) == 7 and got["few"].complete and len(got["none"].hashes) == 0
+    assert column_sketches(df, []) == {}
+
+
+def test_hopeless_columns_are_not_counted(spark, monkeypatch):
+    """Only columns of pairs that may win are shuffled, and the choice is the one that counting all makes."""
+    facts = spark.range(20_000).selectExpr(
+        "id AS fact", "id % 5000 AS ref", *[f"id * {i} + 10000000 * {i + 1} AS other{i}" for i in range(1, 9)]
+    )
+    refs = spark.range(6000).selectExpr("id AS ref_id", "id + 900000000 AS code", "id % 3 AS kind")
+    counted = []
+    count = joins.key_match_percentages
+    monkeypatch.setattr(joins, "key_match_percentages", lambda a, k1, b, k2: counted.append((k1, k2)) or count(a, k1, b, k2))
+    choice = choose_join(facts, facts.columns, refs, ["ref_id", "code"])
+    assert counted == [(["ref"], ["ref_id"])]
+    monkeypatch.setattr(joins, "_may_win", lambda df1, keys1, df2, keys2, liked: [(a, b) for a in keys1 for b in keys2])
+    assert choice == choose_join(facts, facts.columns, refs, ["ref_id", "code"])
+
+
+def test_one_shared_value_is_found(spark):
+    """A pair that is hardly alike wins if no other shares anything."""
+    a = spark.range(30_000).selectExpr("id AS x", "id + 1000000 AS y")
+    b = spark.range(30_000).selectExpr("id + 29999 AS z")
+    assert choose_join(a, ["x", "y"], b, ["z"])[:2] == ("x", "z")
+    assert choose_join(a, ["y", "x"], b, ["z"], prefer="^y$")[:2] == ("x", "z")

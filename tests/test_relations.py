@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
 import random
+from decimal import Decimal
 from itertools import permutations
 
 import pytest
@@ -10,9 +12,11 @@ from pyspark.sql import functions as F
 
 from tablewright.operators import relations as rel
 from tablewright.operators.overlap import value_set_equal_pairs
+from tablewright.operators import profile
 from tablewright.operators.profile import (
     distinct_counts,
     identical_classes,
+    pairwise_equality,
     primary_key_candidates,
     unique_columns,
 )
@@ -172,3 +176,94 @@ def test_equality_of_eighty_columns(spark):
         same = sum(n % (i % 7 + 1) == n % (j % 7 + 1) for n in range(50))
         assert found[f"w{i}", f"w{j}"].n_equal == same
         assert found[f"w{i}", f"w{j}"].identical == (same == 50)
+
+
+#: Values of each kind of column; equal ones across kinds of numbers.
+MIXED = {
+    "bigint": [1, 2, None], "int": [1, 2, 3], "double": [1.0, 2.5, float("nan"), -0.0, None], "string": ["1", "a", None],
+    "boolean": [True, False, None], "decimal(10,2)": [Decimal("1.00"), Decimal("2.50"), None],
+    "date": [datetime.date(2020, 1, 1), None], "array<int>": [[1], [2], None],
+}
+
+
+def mixed_table(spark, columns, rows, seed=4):
+    rng, kinds = random.Random(seed), list(MIXED)
+    data = [tuple(rng.choice(MIXED[kinds[i % len(kinds)]]) for i in range(columns)) for _ in range(rows)]
+    return spark.createDataFrame(data, ", ".join(f"c{i} {kinds[i % len(kinds)]}" for i in range(columns))).repartition(3)
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_many_pairs_are_counted_as_few_are(spark, monkeypatch, null_safe):
+    df = mixed_table(spark, 36, 300)
+    assert 36 * 35 // 2 > profile.PAIRS_PER_PASS
+    many = {tuple(r) for r in pairwise_equality(df, null_safe=null_safe).collect()}
+    monkeypatch.setattr(profile, "PAIRS_PER_PASS", 1000)
+    assert many == {tuple(r) for r in pairwise_equality(df, null_safe=null_safe).collect()}
+    none = pairwise_equality(df.limit(0), null_safe=null_safe).collect()
+    assert len(none) == 630 and all((r.n, r.n_equal, r.ratio, r.identical) == (0, 0, None, False) for r in none)
+
+
+def test_many_columns_are_read_in_one_scan(spark, tmp_path):
+    spark.range(2000).select(*[(F.xxhash64("id", F.lit(i // 3)) % (i % 9 + 2)).alias(f"c{i}") for i in range(138)]).write.parquet(
+        str(tmp_path / "wide")
+    )
+    equal = pairwise_equality(spark.read.parquet(str(tmp_path / "wide")))
+    plan = equal._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1
+    assert equal.count() == 138 * 137 // 2
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_units_hold_each_pair_once(seed):
+    rng = random.Random(seed)
+    names = [f"c{i}" for i in range(rng.randrange(2, 50))]
+    share = rng.choice([0.02, 0.2, 1.0])
+    pairs = [p for p in permutations(names, 2) if rng.random() < share]
+    real = {n: rng.random() < 0.3 for n in names}
+    if not pairs:
+        return
+    units = rel._units(pairs, real)
+    assert sorted((u.determinant, b) for u in units for b in [*u.wholes, *u.reals]) == sorted(pairs)
+    assert all(not real[b] for u in units for b in u.wholes) and all(real[b] for u in units for b in u.reals)
+    width = sum(max(len(u[k]) for u in units) for k in (1, 2))
+    most = max(sum(a == n for a, _ in pairs) for n in names)
+    assert width <= most and len(units) <= len(pairs) + len(names)
+
+
+def test_few_live_pairs_of_many_columns(spark):
+    """Of 60 columns few fix others; the full pass carries just those."""
+    names = [f"c{i}" for i in range(60)]
+    # blocks of three: a finer column fixes a coarser one, by hash otherwise
+    df = spark.range(4000).select(
+        *[(F.floor(F.pmod(F.xxhash64("id", F.lit(i // 3)), F.lit(96)) / 2 ** (i % 3)) + 0.5 * (i % 2)).alias(n) for i, n in enumerate(names)]
+    )
+    pairs = list(permutations(names, 2))
+    live = [p for p in pairs if int(p[0][1:]) // 3 == int(p[1][1:]) // 3 and p[0] < p[1]]
+    live += [(names[i], names[(i + 7) % 60]) for i in range(60)]
+    real = dict.fromkeys(names, True)
+    cells = sum(max(len(u.reals) for u in rel._units(live, real)) for _ in rel._units(live, real))
+    assert cells < 4 * len(live)
+    found = rel.exact_dependencies(df, live)
+    assert set(found) == {p for p in live if int(p[0][1:]) // 3 == int(p[1][1:]) // 3 and int(p[0][1:]) < int(p[1][1:])}
+
+
+def test_mixed_dependencies_against_brute_force(spark):
+    df = mixed_table(spark, 16, 40, seed=8).withColumn("id", F.monotonically_increasing_id())
+    df = df.withColumn("half", (F.col("c1") * 2.5).cast("double")).withColumn("day", F.expr("date_add(DATE'2020-01-01', c1)")).cache()
+    flat = [c for c, t in df.dtypes if not t.startswith("array")]
+    rows = [r.asDict() for r in df.collect()]
+    clean = lambda v: None if v != v else v
+
+    def holds(a, b):
+        met, any_ = {}, False
+        for r in rows:
+            x, y = clean(r[a]), clean(r[b])
+            if x is not None and y is not None:
+                any_ = True
+                if met.setdefault(x, y) != y:
+                    return False
+        return any_
+
+    pairs = list(permutations(flat, 2))
+    assert set(rel.exact_dependencies(df, pairs)) == {p for p in pairs if holds(*p)}
+    df.unpersist()
