@@ -253,14 +253,20 @@ def fit_quality_rules(statistics: DataFrame, labels: DataFrame, max_rows: int =
 
     At most ``max_rows`` labelled rows reach the driver: those that come first
     by xxhash64 of doc_id. Rows without quality or doc_id teach nothing; a
-    doc_id labelled twice counts twice.
+    doc_id labelled twice counts twice. Of documents that share a labelled doc_id
+    the one with the smallest statistics teaches, so no more than ``max_rows`` rows are
+    ever joined to labels.
     """
     labels = take(labels, "doc_id", "quality").filter("quality in (0, 1) and doc_id is not null")
     chosen = labels.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(max_rows)
     wanted = ratios()
+    named = chosen.select(F.col("doc_id").alias("labelled")).distinct()
+    known = statistics.join(named, F.col("doc_id") == F.col("labelled"), "left_semi")
+    features = F.struct(*[c.alias(k) for k, c in wanted.items()])
+    known = known.groupBy(F.col("doc_id").alias("known")).agg(F.min(features).alias("features"))
     rows = (
-        statistics.join(chosen.withColumnRenamed("doc_id", "labelled"), F.col("doc_id") == F.col("labelled"))
-        .select(F.xxhash64("doc_id").alias("place"), "doc_id", "quality", *[c.alias(k) for k, c in wanted.items()])
+        chosen.join(known, F.col("doc_id") == F.col("known"))
+        .select(F.xxhash64("doc_id").alias("place"), "doc_id", "quality", *[F.col(f"features.{k}").alias(k) for k in wanted])
         .toPandas()
         .sort_values(["place", "doc_id", *wanted], kind="stable")
     )

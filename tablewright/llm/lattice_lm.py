@@ -18,6 +18,9 @@ from tablewright.llm.common import Substrings, Words, materialize, mix, slices,
 FREQUENT = 1 << 18
 #: Cells of the forward recursion that are held at a time.
 MATRIX_CELLS = 1 << 20
+#: Bytes from which a word goes through the recursion alone, and places that are looked up at a time then.
+LONG_WORD = 256
+STRETCH = 1 << 16
 #: Fixed value: the mark of a word's start in the vocabulary.
 WORD_START = "▁".encode()
 #: Bytes of the character that begins with a byte.
@@ -93,6 +96,10 @@ class Lattice:
         cuts = np.flatnonzero(np.diff(lengths[order])) + 1
         for group in np.split(order, cuts) if len(order) else []:
             size = int(lengths[group[0]])
+            if size >= LONG_WORD:
+                for i in group.tolist():
+                    out[i] = self._forward_long(WORD_START + words[i])
+                continue
             rows = max(1, MATRIX_CELLS // (size + 1))
             for at in range(0, len(group), rows):
                 some = group[at : at + rows]
@@ -136,6 +143,57 @@ class Lattice:
         return alpha[size]
 
 
+    def _pieces_from(self, data: np.ndarray, text: Substrings, begins: np.ndarray, low: int, high: int):
+        """start, end and score of all pieces that begin at places from ``low`` to ``high``, by start."""
+        starts = low + np.flatnonzero(begins[low:high])
+        found = []
+        for length in range(1, self.longest + 1):
+            at = starts[: np.searchsorted(starts, len(data) - length, side="right")]
+            at = at[begins[at + length]]
+            keys = text.hashes(at, at + length)
+            hit = np.flatnonzero(self.maybe[(keys >> np.uint64(44)).astype(np.int64)])
+            place = np.minimum(np.searchsorted(self.keys, keys[hit]), len(self.keys) - 1)
+            same = self.keys[place] == keys[hit]
+            hit, place = hit[same], place[same]
+            found.append((at[hit], at[hit] + length, self.scores[place]))
+        start, end, score = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(start, kind="stable")
+        return start[order].tolist(), end[order].tolist(), score[order].tolist()
+
+    def _forward_long(self, word: bytes) -> float:
+        """The same recursion for one long word: its pieces are looked up for many places at once."""
+        data = np.frombuffer(word, dtype=np.uint8)
+        size, text = len(data), Substrings(data)
+        begins = np.ones(size + 1, dtype=bool)
+        begins[:size] = (data & 0xC0) != 0x80
+        wide = CHARACTER_BYTES[data]
+        spelt = np.concatenate([[0.0], np.cumsum(self.byte[data])])
+        alpha = [-math.inf] * (size + 1)
+        alpha[0] = 0.0
+
+        def reach(end: int, x: float) -> None:
+            y = alpha[end]
+            low, top = (x, y) if x < y else (y, x)
+            alpha[end] = top if low == -math.inf else top + math.log1p(math.exp(low - top))
+
+        for low in range(0, size, STRETCH):
+            high = min(low + STRETCH, size)
+            starts, ends, scores = self._pieces_from(data, text, begins, low, high)
+            k = 0
+            for i in (low + np.flatnonzero(begins[low:high])).tolist():
+                here, single = alpha[i], False
+                width = int(wide[i])
+                while k < len(starts) and starts[k] == i:
+                    if here > -math.inf:
+                        reach(ends[k], here + scores[k])
+                        single |= ends[k] - i == width
+                    k += 1
+                if here > -math.inf and not single:  # spell one character by its bytes
+                    end = min(i + width, size)
+                    reach(end, here + float(spelt[end] - spelt[i]))
+        return alpha[size]
+
+
 _END = int(mix(np.array([0x456E64], dtype=np.uint64))[0].view(np.int64))
 
 
@@ -191,7 +249,8 @@ def score_texts(docs: DataFrame, held_out: Column, vocabulary: str) -> DataFrame
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score and
     score. Null and empty texts have one token, the end. Repeated rows are
-    scored each, also if they share a doc_id, null or not. If all rows are
+    scored each, also if they share a doc_id, null or not. A word of any length
+    takes time in proportion to it. If all rows are
     held out, nothing is known and every token has the base 1 / (V + 1).
     """
     spark = docs.sparkSession

@@ -40,6 +40,82 @@ TEMPLATES = (
     ("proprietary", "<<beginOptional>>copyright <<beginOptional>>c<<endOptional>> <<var;6>><<endOptional>> all rights reserved"),
 )
 
+#: Whole texts of common licences, in their public wording. Names and years are replaceable,
+#: titles and notices that are often left out are optional.
+TEXTS = (
+    ("mit", """<<beginOptional>>MIT License<<endOptional>>
+        <<beginOptional>>Copyright <<beginOptional>>(c)<<endOptional>> <<var;12>><<endOptional>>
+        Permission is hereby granted, free of charge, to any person obtaining a copy of <<var;8>> and associated documentation files
+        <<beginOptional>>(the "Software")<<endOptional>>, to deal in <<var;2>> without restriction, including without limitation the rights to
+        use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of <<var;2>>, and to permit persons to whom
+        <<var;2>> is furnished to do so, subject to the following conditions:
+        The above copyright notice and this permission notice <<beginOptional>>(including the next paragraph)<<endOptional>> shall be
+        included in all copies or substantial portions of <<var;2>>.
+        <<var;2>> IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+        MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL <<var;12>> BE LIABLE FOR ANY CLAIM,
+        DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH
+        <<var;2>> OR THE USE OR OTHER DEALINGS IN <<var;2>>."""),
+    ("isc", """<<beginOptional>>ISC License<<endOptional>> <<beginOptional>>Copyright <<beginOptional>>(c)<<endOptional>> <<var;16>><<endOptional>>
+        Permission to use, copy, modify, <<beginOptional>>and<<endOptional>><<beginOptional>>/or<<endOptional>> distribute this software for
+        any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.
+        THE SOFTWARE IS PROVIDED "AS IS" AND <<var;12>> DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED
+        WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL <<var;12>> BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR
+        CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT,
+        NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
+    ("bsd", """<<beginOptional>>Copyright <<beginOptional>>(c)<<endOptional>> <<var;16>><<endOptional>> <<beginOptional>>All rights reserved.<<endOptional>>
+        Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+        conditions are met: <<beginOptional>><<var;1>><<endOptional>> Redistributions of source code must retain the above copyright notice,
+        this list of conditions and the following disclaimer. <<beginOptional>><<var;1>><<endOptional>> Redistributions in binary form must
+        reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other
+        materials provided with the distribution. <<beginOptional>><<beginOptional>><<var;1>><<endOptional>> Neither the name of <<var;12>> nor
+        the names of its contributors may be used to endorse or promote products derived from this software without specific prior
+        written permission.<<endOptional>>
+        THIS SOFTWARE IS PROVIDED BY <<var;12>> "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED
+        WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL <<var;12>> BE LIABLE FOR ANY
+        DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF
+        SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF
+        LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF
+        THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+    ("zlib", """<<beginOptional>>Copyright <<beginOptional>>(c)<<endOptional>> <<var;16>><<endOptional>>
+        This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any
+        damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including
+        commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
+        <<beginOptional>><<var;1>><<endOptional>> The origin of this software must not be misrepresented; you must not claim that you wrote
+        the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated
+        but is not required. <<beginOptional>><<var;1>><<endOptional>> Altered source versions must be plainly marked as such, and must not
+        be misrepresented as being the original software. <<beginOptional>><<var;1>><<endOptional>> This notice may not be removed or
+        altered from any source distribution."""),
+    ("apache-2", """<<beginOptional>>Copyright <<var;16>><<endOptional>> Licensed under the Apache License, Version 2.0 (the "License"); you may not use this
+        file except in compliance with the License. You may obtain a copy of the License at <<beginOptional>>http://www.apache.org/licenses/LICENSE-2.0<<endOptional>>
+        <<beginOptional>>https://www.apache.org/licenses/LICENSE-2.0<<endOptional>>
+        Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,
+        WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing
+        permissions and limitations under the License."""),
+    ("gpl-3", """<<beginOptional>>This program is<<endOptional>> free software: you can redistribute it and/or modify it under the terms of the GNU General
+        Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+        This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+        MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.
+        <<beginOptional>>You should have received a copy of the GNU General Public License along with this program.<<endOptional>>"""),
+    ("unlicense", """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile,
+        sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or
+        non-commercial, and by any means. <<beginOptional>>In jurisdictions that recognize copyright laws, the author or authors of this
+        software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of
+        the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of
+        relinquishment in perpetuity of all present and future rights to this software under copyright law.<<endOptional>>
+        THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+        MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM,
+        DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE
+        SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+)
+
+
+def unpunctuated(template: str) -> str:
+    """A text's words with its mark-up, which is left as it is."""
+    return re.sub(r"(<<[^>]*>>)|[^<A-Za-z0-9\u0080-\U0010ffff]+|<", lambda m: f" {m[1] or ''} ", template)
+
+
+NOTICES = (*TEMPLATES, *((label, unpunctuated(text)) for label, text in TEXTS))
+
 _SEPARATOR = bytes.maketrans(
     bytes(range(256)),
     bytes(
@@ -209,7 +285,7 @@ class Scanner:
 def scan_licenses(
     docs: DataFrame,
     phrases: Sequence[tuple[str, str]] = PHRASES,
-    templates: Sequence[tuple[str, str]] = TEMPLATES,
+    templates: Sequence[tuple[str, str]] = NOTICES,
 ) -> DataFrame:
     """Licence notices in every row.
 
@@ -219,8 +295,9 @@ def scan_licenses(
     commas, empty if none), spans (label, start, end of each match of a
     template, ends exclusive) and score: 0 without any match, else the largest
     share of a match's words that its wording fixes. A template matches
-    anywhere in a text; of several ends the longest counts. Null and empty
-    texts have no words. Rows that repeat are scanned each; doc_id may be null.
+    anywhere in a text; of several ends the longest counts. NOTICES has short notices
+    and whole texts of licences. Null and empty texts have no
+    words. Rows that repeat are scanned each; doc_id may be null.
     """
     scanner = Scanner(phrases, templates)
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import math
+import random
 import re
+import time
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -20,7 +22,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tablewright.llm import language_id, lattice_lm, licenses, pseudonyms
+from tablewright.llm import decision_list, language_id, lattice_lm, licenses, pseudonyms
 from tablewright.llm.byte_bpe import Encoder, Vocabulary, decode_documents, digest_documents, encode_documents, read_ranks
 from tablewright.llm.decision_list import (
     COUNTS, decision_column, judge_quality, learn_decision_list, text_statistics,
@@ -176,7 +178,7 @@ def test_licences_match_brute_force(awkward, no_rows):
 
 @has_tables
 def test_every_notice_line_gets_a_label():
-    scanner = licenses.Scanner(licenses.PHRASES, licenses.TEMPLATES)
+    scanner = licenses.Scanner(licenses.PHRASES, licenses.NOTICES)
     lines = {line for d in table("documents") for line in (d["text"] or "").split("\n")}
     notices = {x for x in lines if re.search(r"licen[sc]e|copyright|rights reserved|permission", x, re.I)}
     notices |= {"All rights reserved.", "This work is licensed under the GNU General Public License, version 3."}
@@ -424,3 +426,88 @@ def test_digests_of_the_tables(spark, reference):
     assert len(got) == len(want)
     for r in got:
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, want[r.doc_id])).encode()).hexdigest()
+
+
+# ---- whole licence texts, long runs and repeated ids
+
+
+def filled(template, rng, options):
+    """A template as a text: optional regions in or out, replaceable ones filled."""
+    while "<<beginOptional>>" in template:
+        template = re.sub(
+            r"<<beginOptional>>((?:(?!<<beginOptional>>|<<endOptional>>).)*)<<endOptional>>",
+            lambda m: m[1] if options and rng.random() < 0.7 else " ",
+            template, count=1, flags=re.DOTALL,
+        )
+    return re.sub(r"<<var;(\d+)>>", lambda m: " ".join(rng.choice(["Acme", "2024", "foo"]) for _ in range(rng.randint(1, int(m[1])))), template)
+
+
+@pytest.mark.parametrize("number", range(len(licenses.TEXTS)))
+def test_whole_licences_and_altered_copies(number):
+    rng = random.Random(number)
+    label, template = licenses.TEXTS[number]
+    scanner = licenses.Scanner(licenses.PHRASES, [(label, licenses.unpunctuated(template))])
+    for options in (False, True, True, True):
+        text = filled(template, rng, options)
+        n, _, found = scanner.scan(f"intro words {text} outro words".encode())
+        longest = max(found, key=lambda m: m.end - m.start)
+        assert longest.label == label and longest.exact / (longest.end - longest.start) > 0.6
+        assert n - 2 <= longest.end <= n  # a replaceable end takes what follows
+        words = lambda t: Counter(re.findall("[a-z]{9,}", t.lower()))
+        mandatory = words(filled(template, rng, False))
+        fixed = [m for m in re.finditer(r"[A-Za-z]{9,}", text) if words(text)[m[0].lower()] == mandatory[m[0].lower()]]
+        for m in rng.sample(fixed, 5):  # one mandatory word reads otherwise
+            altered = text[: m.start()] + "xylophone" + text[m.end() :]
+            spans = scanner.scan(altered.encode())[2]
+            assert all(s.end - s.start < longest.end - longest.start - 2 for s in spans)
+
+
+def test_long_words_are_scored_as_short_ones_are(monkeypatch):
+    lattice = lattice_lm.Lattice(lattice_lm.read_pieces(PIECES))
+    rng = random.Random(1)
+    words = ["".join(rng.choice("abcdeghé漢字😀xyz01") for _ in range(rng.randrange(70, 300))).encode() for _ in range(20)]
+    long = lattice.log_probabilities(words)
+    monkeypatch.setattr(lattice_lm, "LONG_WORD", 10**9)
+    assert np.allclose(long, lattice.log_probabilities(words), rtol=1e-12)
+
+
+def test_one_word_of_many_bytes_is_scored_in_seconds():
+    lattice = lattice_lm.Lattice(lattice_lm.read_pieces(PIECES))
+    begun = time.perf_counter()
+    lattice.log_probabilities([b"abcdefgh" * 25_000, "漢字".encode() * 30_000])
+    assert time.perf_counter() - begun < 10
+
+
+def test_long_mail_names_are_permuted_whole():
+    rng, kept = random.Random(4), 0
+    for _ in range(100):
+        name = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(64))
+        out = pseudonyms.pseudonymize_text(f"{name}@x.org", b"key").partition("@")[0]
+        kept += sum(a == b for a, b in zip(name, out))
+        value = rng.randrange(26**64)
+        assert pseudonyms.unpermute(pseudonyms.permute(value, 26**64, b"k", "t"), 26**64, b"k", "t") == value
+    assert kept < 100 * 64 / 26 * 1.5
+    same = pseudonyms.pseudonymize_text("..bob@x.org bob@x.org, (bob@x.org) -bob@x.org", b"key")
+    assert len(set(re.findall(r"[a-z]{3}@x.org", same))) == 1 and same.startswith("..")
+
+
+@pytest.mark.parametrize("piece", ["abcABC012xyz", "a.b-c_", "a1", "1.", "+12 ", "x@a.1."])
+def test_scans_of_long_runs_are_linear(piece):
+    text = piece * (1_000_000 // len(piece)) + "1"
+    begun = time.perf_counter()
+    pseudonyms.pseudonymize_text(text, b"key")
+    assert time.perf_counter() - begun < 60
+
+
+def test_rows_that_share_a_labelled_id_teach_once(spark, make_docs):
+    rows = [(i % 40, "word " * (5 + i % 50), "en", "a", 1) for i in range(400)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(None, 1), (3, None)], "doc_id long, quality int")
+    collected = []
+    learn = decision_list.learn_decision_list
+    try:
+        decision_list.learn_decision_list = lambda data, label: collected.append(len(label)) or learn(data, label)
+        assert decision_list.judge_quality(make_docs(rows), labels).count() == 400
+        assert decision_list.judge_quality(make_docs(rows), labels, max_rows=7).count() == 400
+    finally:
+        decision_list.learn_decision_list = learn
+    assert collected == [40, 7]
