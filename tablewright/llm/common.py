@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tablewright.session import materialize
 
 __all__ = [
-    "WORD", "Substrings", "Words", "fresh", "materialize", "slices", "table", "take", "words_of",
+    "WORD", "Substrings", "Words", "fresh", "materialize", "materialize_few", "slices", "table", "take", "words_of",
 ]
 
 #: A word, as regular expression: anything but the ASCII white space.
@@ -27,6 +27,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def materialize_few(df: DataFrame, label: str) -> DataFrame:
+    """``materialize`` in a few files for each core: for tables that are small beside the corpus, and written often."""
+    return materialize(df.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism), label)
+
+
 def take(df: DataFrame, *names: str) -> DataFrame:
     """Just the named columns. Other columns never clash, not even by another case."""
     columns = df.columns

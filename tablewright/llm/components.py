@@ -5,25 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import materialize
-
-#: Parts by which the links of a node are dealt out.
-SALTS = 64
-
-
-def _with_least(links: DataFrame, but: str | None = None) -> DataFrame:
-    """``links`` (u, v), those that ``but`` selects, with m: the least v of all the node's links.
-
-    The links of a node lie in SALTS parts. Each part sends its minimum, and
-    gets that of all parts: one small row, however many links it has.
-    """
-    dealt = links.withColumn("salt", F.pmod(F.xxhash64("v"), F.lit(SALTS)))
-    least = dealt.groupBy("u", "salt").agg(F.min("v").alias("m")).groupBy("u").agg(
-        F.min("m").alias("m"), F.collect_list("salt").alias("salts")
-    )
-    least = least.select(F.col("u").alias("x"), "m", F.explode("salts").alias("part"))
-    wanted = dealt.filter(but) if but else dealt
-    return wanted.join(least, (F.col("u") == F.col("x")) & (F.col("salt") == F.col("part"))).select("u", "v", "m")
+from tablewright.llm.common import materialize_few
 
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -31,33 +13,38 @@ def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Each round every node hooks all its neighbours onto the smallest node it
     sees, and drops what that makes redundant; the links turn into stars in
-    about log(n) rounds. Minima are taken before the shuffle, and the links of a
-    node are dealt out by salt (``_with_least``), so one with very many links is
-    a hot spot of no join. Every round is written down, which cuts lineage. Links of a node
+    about log(n) rounds. Minima are taken before the shuffle. The links of a node
+    meet its minimum in an inner join, whose large partitions adaptive execution
+    splits; below its threshold (256 MB by default) those of one node are read by one task. Every round is written down, which cuts lineage. Links of a node
     to itself and repeated links are harmless; no links give no rows.
     """
-    edges = materialize(
+    edges = materialize_few(
         links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct(),
         "links",
     )
     for _ in range(max_rounds):
         # large star: the larger neighbours of a node go to the smallest of its neighbours and itself
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.min("v").alias("m")).select(
+            F.col("u").alias("x"), F.least("u", "m").alias("m")
+        )
         large = (
-            _with_least(both, "v > u")
-            .select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
+            both.filter("v > u")
+            .join(low, F.col("u") == F.col("x"))
+            .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .distinct()
         )
-        large = materialize(large, "large-star")
+        large = materialize_few(large, "large-star")
         # small star: a node and its smaller neighbours go to the smallest of these
-        joined = _with_least(large)
+        low = large.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "x")
+        joined = large.join(low, F.col("u") == F.col("x"))
         small = (
             joined.select(F.explode(F.array("u", "v")).alias("u"), "m")
             .select("u", F.col("m").alias("v"))
             .filter("u != v")
             .distinct()
         )
-        small = materialize(small, "small-star")
+        small = materialize_few(small, "small-star")
         changed = (
             small.select("u", "v", F.lit(1).alias("side"))
             .unionByName(edges.select("u", "v", F.lit(-1).alias("side")))

@@ -117,15 +117,18 @@ def counting_sketch(hashes: DataFrame, n: int, most_bytes: int = SKETCH_BYTES) -
     return partial.groupBy("block").applyInArrow(_merge, "block long, counters array<tinyint>"), blocks
 
 
-def possible_repeats(rows: DataFrame, sketch: DataFrame, blocks: int) -> Column:
-    """``rows`` (with h1, h2) and a boolean column ``maybe``: false if no other row has its text, for certain."""
-    counters = F.broadcast(sketch.select(F.col("block").alias("sketch_block"), "counters"))
+def possible_repeats(rows: DataFrame, sketch: DataFrame, blocks: int, least: int = 2) -> DataFrame:
+    """``rows`` (with h1, h2) and a boolean column ``maybe``: false if the sketch has seen them less than ``least`` times.
 
-    cell = [F.expr(f"cast(h2 & {BLOCK - 1} as int)"), F.expr(f"cast(shiftright(h2, 12) & {BLOCK - 1} as int)")]
-    met = rows.join(counters, F.expr(f"pmod(h1, {blocks}L)") == F.col("sketch_block"))
-    met = met.withColumn("one", cell[0]).withColumn("two", cell[1])
-    held = [f"(shiftright(cast(counters[shiftright({c}, 2)] as int), ({c} & 3) * 2) & 3) = 2" for c in ("one", "two")]
-    return met.withColumn("maybe", F.expr(" and ".join(held))).drop("counters", "sketch_block", "one", "two")
+    With 2, what is false has no other row with its text; with 1, it isn't in the sketch. Both are certain.
+    """
+    counters = F.broadcast(sketch.select(F.col("block").alias("sketch_block"), "counters"))
+    met = rows.join(counters, F.expr(f"pmod(h1, {blocks}L)") == F.col("sketch_block"), "left")
+    met = met.withColumn("one", F.expr(f"cast(h2 & {BLOCK - 1} as int)"))
+    met = met.withColumn("two", F.expr(f"cast(shiftright(h2, 12) & {BLOCK - 1} as int)"))
+    held = [f"(shiftright(cast(counters[shiftright({c}, 2)] as int), ({c} & 3) * 2) & 3) >= {least}" for c in ("one", "two")]
+    maybe = F.coalesce(F.expr(" and ".join(held)), F.lit(False))
+    return met.withColumn("maybe", maybe).drop("counters", "sketch_block", "one", "two")
 
 
 def _later_copies(docs: DataFrame, flagged: DataFrame, most_bytes: int) -> DataFrame:

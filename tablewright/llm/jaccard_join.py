@@ -10,8 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import materialize, mix, slices, take, words_of
+from tablewright.llm.common import materialize, materialize_few, mix, slices, take, words_of
 from tablewright.llm.components import components
+from tablewright.llm.filter_audit import counting_sketch, possible_repeats
 
 #: Words in a shingle, and the similarity from which sets link, in hundredths.
 SHINGLE = 3
@@ -364,7 +365,7 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE)
     met = materialize(met.select(F.expr(f"slot div {2 * (MOST_SPARE + 1)}").alias("row"), "key"), "shared-segments")
     lowest = met.groupBy("key").agg(F.min("row").alias("low"), F.max("row").alias("high")).filter("low < high")
     pairs = met.join(lowest, "key").select(F.col("low").alias("a"), F.col("row").alias("b"))
-    group_of = materialize(components(pairs), "candidate-groups")
+    group_of = materialize_few(components(pairs), "candidate-groups")
 
     # the texts of the candidates, one for each distinct set; copies share all keys and so a group
     known = (
@@ -373,7 +374,7 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE)
         .groupBy("fp")
         .agg(F.min("component").alias("group"), F.max("n_shingles").alias("n"), F.min("doc_id").alias("first_doc"))
     )
-    known = materialize(known, "candidates")
+    known = materialize_few(known, "candidates")
     sizes = known.groupBy("group").agg(
         F.count("*").alias("sets"),
         F.greatest(
@@ -393,7 +394,7 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE)
         F.explode(F.when((F.col("parts") > 1) & pivot, everywhere).otherwise(F.array(part))).alias("part"),
     )
     match = lambda table: _connect_groups(table, percent)
-    found = materialize(first.groupBy("group", "part").applyInArrow(match, "a long, b long"), "links")
+    found = materialize_few(first.groupBy("group", "part").applyInArrow(match, "a long, b long"), "links")
     if not candidates.filter("parts > 1").isEmpty():
         found = found.unionByName(_between_parts(candidates, found, part, match))
     component = components(found)
@@ -429,6 +430,12 @@ def _sets_of(rows: DataFrame, known: DataFrame, size: int) -> DataFrame:
 
     # null-safe: a set may belong to nameless documents alone
     named = known.select(F.col("first_doc").alias("d")).distinct()
+    # a sketch of the wanted ids, bounded in size, keeps most other texts from being shuffled
+    hashes = lambda c: [F.xxhash64(c).alias("h1"), F.xxhash64(F.lit(1), c).alias("h2")]
+    sketch, blocks = counting_sketch(named.select(*hashes(F.col("d"))), known.count())
+    sketch = materialize_few(sketch, "wanted-ids")
+    rows = possible_repeats(rows.select("doc_id", "text", *hashes(F.col("doc_id"))), sketch, blocks, least=1)
+    rows = rows.filter("maybe").select("doc_id", "text")
     # candidates grow with the corpus: a merge join is the plan at every size
     texts = rows.join(named.hint("merge"), F.col("doc_id").eqNullSafe(F.col("d")), "left_semi").select("text")
     # documents that share a doc_id may bring a set twice, or one that isn't wanted
@@ -437,11 +444,11 @@ def _sets_of(rows: DataFrame, known: DataFrame, size: int) -> DataFrame:
 
 def _between_parts(candidates: DataFrame, found: DataFrame, part, match) -> DataFrame:
     """Links between parts of dealt groups that the links so far leave in several components."""
-    so_far = materialize(components(found), "components-so-far")
+    so_far = materialize_few(components(found), "components-so-far")
     dealt = candidates.filter("parts > 1").join(so_far, F.col("fp") == F.col("node"), "left").select(
         "group", "fp", "shingles", "parts", part.alias("part"), F.coalesce("component", "fp").alias("label")
     )
-    dealt = materialize(dealt, "dealt")
+    dealt = materialize_few(dealt, "dealt")
     split = dealt.groupBy("group").agg(F.min("label").alias("low"), F.max("label").alias("high"))
     split = split.filter("low < high").select(F.col("group").alias("g"))
     other = F.sequence(F.lit(0), F.col("parts") - 1)
