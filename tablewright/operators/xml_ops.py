@@ -469,6 +469,11 @@ def _repaired(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.where(~damaged).unionAll(bad)
 
 
+def repaired_rows(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``df`` with the malformed fragments of these columns repaired, whether or not there are any."""
+    return _repaired(df, columns)
+
+
 def repair_xml(df: DataFrame, *columns: str) -> DataFrame:
     """Make malformed fragments well-formed, keeping all that can be read.
 
