@@ -24,7 +24,8 @@ from tablewright.sources import (
     write_tsv,
     write_with_column_mapping,
 )
-from tablewright.streaming import stream_flatten
+from tablewright.sources.staging import hidden_folder
+from tablewright.streaming import read_flattened, stream_flatten
 
 
 @query(
@@ -246,3 +247,30 @@ def streamed_and_flattened(t: Tables):
     )
     run.awaitTermination()
     return t.spark.read.parquet(out)
+
+
+@query(
+    "SELECT '' || event_id AS event_id, '0' || user_id AS item, lower(event_type) AS \"item@type\", '' || user_id AS \"user\","
+    " CASE WHEN event_id % 3 = 2 THEN 't' || event_id END AS tag,"
+    " CASE event_id % 3 WHEN 1 THEN '1' WHEN 2 THEN '9' END AS \"tag@n\" FROM events"
+)
+def streamed_with_keys_found(t: Tables):
+    """Every file is a micro-batch; those without a key are read with nulls for it."""
+    path, out, state = (scratch_path(t.spark, f"stream-{what}") for what in ("in", "out", "state"))
+    frame = EVENTS_XML.frame(t).select("event_id", "InfoXml", "MoreXml")
+    for rest in (0, 1, 2, 1):  # the second lot lands twice
+        write_csv(frame.where(F.col("event_id") % 3 == rest).coalesce(1), path, "append")
+    schema = "event_id string, InfoXml string, MoreXml string"
+    stream_flatten(t.spark, path, schema, out, state, id="event_id", suffix=".csv", files_per_batch=1).awaitTermination()
+    return read_flattened(t.spark, out, state)
+
+
+@query("SELECT lang AS db, doc_id AS id FROM documents")
+def id_lists_of_a_stopped_run(t: Tables):
+    """A run that had moved one list and staged another is run again."""
+    path = scratch_path(t.spark, "stopped")
+    ids = t("documents").select(F.col("lang").alias("db"), F.col("doc_id").alias("id"))
+    write_id_list(ids.where("db = 'en'"), path)
+    ids.where("db <> 'en'").write.partitionBy("db").json(hidden_folder(path, "ids"))
+    write_id_list(ids, path)
+    return t.spark.read.schema("id bigint, db string").json(path).select("db", "id")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from tablewright.operators.ranking import pending_ids, plan_batches
 from tablewright.operators.schema_ops import column_mapping, short_names
+from tablewright.sources.staging import add_folders, hidden_folder
 
 # Doubled quotes inside quoted cells; edge spaces are part of the value.
 _CSV = {
@@ -52,10 +53,17 @@ def write_with_column_mapping(
 
 
 def write_id_list(ids: DataFrame, path: str, landed: DataFrame | None = None) -> None:
-    """JSON lines per database; databases that already have a list are left alone."""
+    """JSON lines per database; databases that already have a list are left alone.
+
+    Lists are written to a hidden folder, and each database's folder is then
+    moved into place in one step: what is there is complete. A run that was
+    stopped can be run again, and writes the lists that are missing, so every id comes once.
+    """
     if landed is not None:
         ids = pending_ids(ids, landed, ["db"])
-    ids.write.mode("append").partitionBy("db").json(path)
+    staged = hidden_folder(path, "ids")
+    ids.write.mode("overwrite").partitionBy("db").json(staged)
+    add_folders(ids.sparkSession, staged, path)
 
 
 def write_cycle_dumps(
@@ -69,7 +77,10 @@ def write_cycle_dumps(
     """One folder per fetch cycle.
 
     Rows move by (cycle, batch), so that a cycle, however large, is written by
-    as many tasks as it has batches.
+    as many tasks as it has batches. Cycles are staged and moved as ``write_id_list`` does it: those of
+    an earlier run stay as they are.
     """
     planned = plan_batches(ids, batch_size, batches_per_cycle, db, order_by)
-    planned.repartition(db, "cycle", "batch").write.partitionBy("cycle").options(**_CSV).csv(path)
+    staged = hidden_folder(path, "cycles")
+    planned.repartition(db, "cycle", "batch").write.mode("overwrite").partitionBy("cycle").options(**_CSV).csv(staged)
+    add_folders(ids.sparkSession, staged, path)

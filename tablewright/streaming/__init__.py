@@ -1,3 +1,3 @@
-from tablewright.streaming.flatten import stream_flatten
+from tablewright.streaming.flatten import flatten_known, read_flattened, stream_flatten
 
-__all__ = ["stream_flatten"]
+__all__ = ["flatten_known", "read_flattened", "stream_flatten"]

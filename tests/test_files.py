@@ -24,7 +24,8 @@ from tablewright.sources import (
     write_tsv,
 )
 from tablewright.sources.delimited import BlockReader, LineEnds
-from tablewright.streaming import stream_flatten
+from tablewright.sources.staging import add_folders, folders_in, hidden_folder, read_note, write_note
+from tablewright.streaming import flatten, read_flattened, stream_flatten
 
 
 def test_scratch_folder_is_the_one_the_session_names(spark):
@@ -262,3 +263,91 @@ def test_blocks_agree_with_reading_in_one_go(parts, cuts):
         inside = not last[case + 1]
     drop = lambda records: [r for r in records if r]
     assert drop(got) == drop(want)
+
+
+# ---- streams without state, and writes that can be repeated
+
+
+@pytest.fixture
+def landing(spark, tmp_path):
+    """Functions that land a file of records, run the stream, and read what it wrote."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+
+    def land(name, records):
+        quoted_file(folder / name, ["id", "aXml"], records)
+
+    def run(keys=None, **options):
+        stream_flatten(spark, str(folder), "id string, aXml string", out, state, keys, **options).awaitTermination()
+        return read_flattened(spark, out, state) if keys is None else spark.read.parquet(out)
+
+    return land, run, tmp_path
+
+
+def test_keys_are_found_while_streaming(landing):
+    land, run, _ = landing
+    land("a.tsv", [("1", "<N>V1</N>")])
+    land("b.tsv", [("2", "<N>V2</N>")])
+    assert run(files_per_batch=1).columns == ["id", "n"]
+    land("c.tsv", [("3", '<N>V3</N><Late a="X">y</Late>'), ("1", "<N>again</N>")])
+    land("d.tsv", [("4", "<Late>z")])  # truncated, and without the first key
+    got = run(files_per_batch=1)
+    assert got.columns == ["id", "n", "late", "late@a"]
+    want = [("1", "v1", None, None), ("2", "v2", None, None), ("3", "v3", "y", "x"), ("4", None, "z", None)]
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_a_batch_that_failed_halfway_is_run_again(landing, monkeypatch):
+    land, run, where = landing
+    land("a.tsv", [(str(i), f"<N>{i}</N>") for i in range(20)])
+    assert run(["n"]).count() == 20
+    land("b.tsv", [(str(i), f"<N>{i}</N>") for i in range(10, 40)])
+    move = flatten.add_files
+
+    def die(*args):
+        move(*args)
+        raise RuntimeError("killed behind the move")
+
+    monkeypatch.setattr(flatten, "add_files", die)
+    with pytest.raises(Exception, match="killed"):
+        run(["n"])
+    monkeypatch.setattr(flatten, "add_files", move)
+    assert sorted(int(r.id) for r in run(["n"]).collect()) == list(range(40))
+    assert not (where / "out" / "_staging" / "batch-000000001").exists()
+
+
+def test_streams_keep_no_state(landing):
+    land, run, where = landing
+    for k in range(6):
+        land(f"{k}.tsv", [(str(i), f"<N>{i}</N>") for i in range(5 * k, 5 * k + 10)] + [("", "<N>x</N>")])
+    assert sorted(int(r.id or -1) for r in run(["n"], files_per_batch=1).collect()) == [-1, *range(35)]
+    assert not (where / "state" / "state").exists()
+    assert len(list((where / "out").glob("batch-*.parquet"))) >= 6
+
+
+def test_lists_of_a_stopped_run_come_once(spark, tmp_path):
+    path = str(tmp_path / "ids")
+    ids = spark.range(100).selectExpr("concat('d', id % 4) AS db", "id")
+    write_id_list(ids.where("db IN ('d0', 'd1')"), path)
+    # a run that died while it wrote, and one that died between two moves
+    ids.where("db = 'd2'").write.partitionBy("db").json(hidden_folder(path, "ids"))
+    write_id_list(ids, path)
+    write_id_list(ids, path)
+    back = spark.read.json(path)
+    assert sorted((r.db, r.id) for r in back.collect()) == sorted((r.db, r.id) for r in ids.collect())
+    assert folders_in(spark, path) == ["db=d0", "db=d1", "db=d2", "db=d3"]
+    write_cycle_dumps(ids, str(tmp_path / "cycles"), 5, 2, ["id"])
+    write_cycle_dumps(ids, str(tmp_path / "cycles"), 5, 2, ["id"])
+    assert spark.read.options(header=True).csv(str(tmp_path / "cycles")).count() == 100
+    assert folders_in(spark, str(tmp_path / "none")) == [] and add_folders(spark, str(tmp_path / "none"), path) == []
+
+
+def test_notes_survive_a_cut_short_move(spark, tmp_path):
+    path = str(tmp_path / "note")
+    assert read_note(spark, path) is None
+    write_note(spark, path, "one é")
+    write_note(spark, path, "two")
+    assert read_note(spark, path) == "two"
+    (tmp_path / "note").rename(tmp_path / "note.new")
+    assert read_note(spark, path) == "two"
