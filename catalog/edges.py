@@ -10,7 +10,12 @@ from tablewright.operators.overlap import key_match_percentages
 from tablewright.operators.ranking import plan_batches
 from tablewright.operators.relations import star_schema
 from tablewright.operators.schema_ops import drop_columns
-from tablewright.operators.xml_ops import malformed_fragments, nested_xml_columns, xml_fragment_to_long
+from tablewright.operators.xml_ops import (
+    flatten_xml_columns,
+    malformed_fragments,
+    nested_xml_columns,
+    xml_fragment_to_long,
+)
 from tablewright.plans.flows import clean_table, flatten_folder, merge_tables
 from tablewright.session import scratch_path
 from tablewright.sources import read_id_list, read_text_table, read_typed_csv, write_csv, write_tsv
@@ -330,6 +335,29 @@ def streamed_with_breaks_and_repair(t: Tables):
     return t.spark.read.parquet(out)
 
 
+# Fragments cut off within an end tag, a start tag, the value of an attribute, or not at all.
+_TRUNCATED = derived(
+    "events", "event_id",
+    "'<Item>v' || CAST(user_id AS VARCHAR(20)) || CASE event_id % 4 WHEN 0 THEN '</Item' WHEN 1 THEN '</Item><Tag n=\"1\"'"
+    " WHEN 2 THEN '</Item><Tag n=\"1' ELSE '</Item>' END AS InfoXml",
+)
+
+
+@query("SELECT event_id, 'v' || user_id AS item FROM events")
+def truncated_xml_flattened(t: Tables):
+    return flatten_xml_columns(_TRUNCATED.frame(t))
+
+
+@query(
+    "SELECT event_id, 'v' || user_id AS Item, 'v' || user_id AS item_2, event_type AS s_kind, '1' AS s_kind_2 FROM events"
+)
+def nested_xml_with_clashing_names(t: Tables):
+    """Elements named like a plain column but for its case, and like each other once they are flat."""
+    info = "concat('<ITEM>v', user_id, '</ITEM><S><Kind>', event_type, '</Kind></S><s_kind>1</s_kind>')"
+    frame = t("events").selectExpr("event_id", "concat('v', user_id) AS Item", f"{info} AS InfoXml")
+    return nested_xml_columns(frame, "InfoXml")
+
+
 _NESTED = derived(
     "events", "event_id",
     "CASE WHEN event_id % 5 = 0 THEN NULL ELSE '<S a=\"1\"><T>x' || CAST(user_id AS VARCHAR(20)) || '</T><U><V>'"

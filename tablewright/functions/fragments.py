@@ -19,6 +19,10 @@ _TAG = re.compile(r"<\s*([^\s/>]+)")
 _ATTRIBUTE = re.compile(r"([A-Za-z_][\w.:-]*)\s*=")
 
 
+# Fixed value: a tag that the end of the text cuts off, also within the value of an attribute.
+_UNFINISHED = re.compile(r"""<(?:[A-Za-z_/!?][^<>]*)?\Z|<[A-Za-z_][^<>]*=\s*(?:"[^"<]*|'[^'<]*)\Z""")
+
+
 class _Balancer(HTMLParser):
     """Writes what a lenient tokenizer reads back as balanced XML.
 
@@ -61,9 +65,13 @@ class _Balancer(HTMLParser):
 
 
 def balance_fragment(fragment: str) -> str:
-    """Well-formed form of a fragment: open elements closed, stray ends dropped."""
+    """Well-formed form of a fragment: open elements closed, stray ends and a tag cut off by the end dropped."""
     parser = _Balancer()
-    parser.feed(_CONTROL.sub("", fragment))
+    text = _CONTROL.sub("", fragment)
+    last = text.rfind("<")
+    if last >= 0 and _UNFINISHED.match(text, last):
+        text = text[:last]
+    parser.feed(text)
     parser.close()
     return "".join(parser.out) + "".join(f"</{name}>" for _, name in reversed(parser.open))
 

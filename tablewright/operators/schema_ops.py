@@ -49,6 +49,11 @@ def distinct_names(names: Iterable[str], fold: bool = False) -> list[str]:
     return result
 
 
+def ignores_case(df: DataFrame) -> bool:
+    """Whether names that differ by case alone are one name to the session."""
+    return df.sparkSession.conf.get("spark.sql.caseSensitive") != "true"
+
+
 def short_names(names: Sequence[str], threshold: float = 0.20) -> list[str]:
     """Names without leading underscores and without a leading part common to many."""
     bare = [name.lstrip("_") for name in names]
@@ -90,6 +95,7 @@ def flatten_nested(df: DataFrame, sep: str = "_", arrays: str = "json") -> DataF
     Struct fields become ``parent<sep>child`` columns and maps become JSON.
     ``arrays`` says what becomes of lists: ``explode`` (sibling lists advance
     together, one row per position), ``first`` (the first element) or ``json``.
+    Names that clash get a number, also those that differ by case alone unless the session tells them apart.
     """
     if arrays not in ("explode", "first", "json"):
         raise ValueError(f"unknown array handling {arrays!r}")
@@ -101,13 +107,16 @@ def flatten_nested(df: DataFrame, sep: str = "_", arrays: str = "json") -> DataF
         if lists and arrays == "explode":
             df = _explode_together(df, lists)
             continue
-        cells = []
-        for f in fields:
-            value = F.col(quoted(f.name))
+        # by place: names may be one to the session
+        placed, cells = df.toDF(*[f"c{i}" for i in range(len(fields))]), []
+        for i, f in enumerate(fields):
+            value = F.col(f"c{i}")
             if isinstance(f.dataType, T.StructType):
+                parts = [T.StructField(f"p{k}", part.dataType) for k, part in enumerate(f.dataType)]
+                value = value.cast(T.StructType(parts)) if parts else value
                 cells += [
-                    (f"{f.name}{sep}{child}", value.getField(child))
-                    for child in f.dataType.fieldNames()
+                    (f"{f.name}{sep}{child}", value.getField(f"p{k}"))
+                    for k, child in enumerate(f.dataType.fieldNames())
                 ]
             elif isinstance(f.dataType, T.ArrayType) and arrays == "first":
                 cells.append((f.name, F.get(value, 0)))
@@ -115,8 +124,8 @@ def flatten_nested(df: DataFrame, sep: str = "_", arrays: str = "json") -> DataF
                 cells.append((f.name, F.to_json(value)))
             else:
                 cells.append((f.name, value))
-        names = distinct_names(name for name, _ in cells)
-        df = df.select(*[value.alias(name) for name, (_, value) in zip(names, cells, strict=True)])
+        names = distinct_names((name for name, _ in cells), fold=ignores_case(df))
+        df = placed.select(*[value.alias(name) for name, (_, value) in zip(names, cells, strict=True)])
 
 
 def _explode_together(df: DataFrame, lists: Sequence[str]) -> DataFrame:

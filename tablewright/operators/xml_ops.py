@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tablewright.functions.fragments import balance_fragment
 from tablewright.functions.text import strip_whitespace
 from tablewright.functions.values import quoted
-from tablewright.operators.schema_ops import distinct_names, flatten_nested, split_xml_columns
+from tablewright.operators.schema_ops import distinct_names, flatten_nested, ignores_case, split_xml_columns
 
 # A private-use character put in front of every text and attribute value. The
 # parser would otherwise turn 012 into 12, and would drop the blank text nodes
@@ -220,8 +220,7 @@ def flatten_xml_columns(
     for key, sources in found.items():
         if key not in plain:
             cells.append((key, F.coalesce(*[value_of(i, key) for i in reversed(sources)])))
-    exact = df.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
-    names = distinct_names((name for name, _ in cells), fold=not exact)
+    names = distinct_names((name for name, _ in cells), fold=ignores_case(df))
     return parsed.select(*[v.alias(n) for n, (_, v) in zip(names, cells, strict=True)])
 
 
@@ -509,19 +508,22 @@ def nested_xml_columns(
     others = [c for c in df.columns if c != column]
     if not schema.fields:
         return df.select(*[quoted(c) for c in others])
-    parsed = F.from_xml(wrapped, schema, options)
-    names = distinct_names([*others, *[f.name for f in schema]])[len(others) :]
+    # fields by place, as their names may be one to the session
+    placed = T.StructType([T.StructField(f"p{k}", f.dataType) for k, f in enumerate(schema)])
+    parsed = F.from_xml(wrapped, schema, options).cast(placed)
+    fold = ignores_case(df)
+    names = distinct_names([*others, *[f.name for f in schema]], fold)[len(others) :]
     flat = flatten_nested(
         df.select(*[F.col(quoted(c)) for c in others], parsed.alias("__x")).select(
             *[F.col(quoted(c)) for c in others],
-            *[F.col("__x").getField(f.name).alias(n) for f, n in zip(schema, names)],
+            *[F.col("__x").getField(f"p{k}").alias(n) for k, n in enumerate(names)],
         ),
         sep,
         arrays,
     )
     found = flat.columns[len(others) :]
     short = [n.replace(f"{sep}@", "@").replace(f"{sep}#", "").lower() for n in found]
-    return flat.toDF(*distinct_names([*others, *short]))
+    return flat.toDF(*distinct_names([*others, *short], fold))
 
 
 def malformed_fragments(df: DataFrame, id: str, column: str) -> DataFrame:

@@ -4,7 +4,13 @@ import pytest
 
 from tablewright.functions.fragments import balance_fragment
 from tablewright.operators.schema_ops import flatten_nested
-from tablewright.operators.xml_ops import find_shapes, flatten_xml_columns, repair_xml, xml_fragment_to_long
+from tablewright.operators.xml_ops import (
+    find_shapes,
+    flatten_xml_columns,
+    nested_xml_columns,
+    repair_xml,
+    xml_fragment_to_long,
+)
 
 FRAGMENTS = [
     ('<Id type="x">012</Id><Name> bob </Name>', {"id": ["012"], "id@type": ["x"], "name": ["bob"]}),
@@ -111,6 +117,16 @@ def test_names_that_differ_by_case(spark):
         ("<a><b>1</a>", "<a><b>1</b></a>"),
         ("</x><a q=3>5 < 6</a>", '<a q="3">5 &lt; 6</a>'),
         ("<a>\x01&amp;", "<a>&amp;</a>"),
+        ("<Id>2</Id", "<Id>2</Id>"),
+        ("<Id>2</", "<Id>2</Id>"),
+        ("<Id>2<", "<Id>2</Id>"),
+        ('<A>1</A><B x="2"', "<A>1</A>"),
+        ('<A>1</A><B x="2', "<A>1</A>"),
+        ('<A>1</A><B x="2>3', "<A>1</A>"),
+        ("<A>1</A><B", "<A>1</A>"),
+        ("<A>1<!-- so", "<A>1</A>"),
+        ("<A>1 < 2", "<A>1 &lt; 2</A>"),
+        ("<", ""),
     ],
 )
 def test_balance(broken, whole):
@@ -134,3 +150,26 @@ def test_only_broken_rows_need_python(spark, capsys):
     df = spark.createDataFrame([(1, "<Id>7</Id>")], "i int, aXml string")
     flatten_xml_columns(df).explain()
     assert "Python" not in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("exact", ["true", "false"])
+def test_nested_names_that_clash(spark, rows, exact):
+    before = spark.conf.get("spark.sql.caseSensitive")
+    spark.conf.set("spark.sql.caseSensitive", exact)
+    try:
+        df = spark.createDataFrame([(1, "<Id>2</Id><S><T>3</T></S><s_t>4</s_t>")], "id int, aXml string")
+        flat = nested_xml_columns(df, "aXml")
+        assert flat.columns == ["id", "id_2", "s_t", "s_t_2"]
+        assert sorted(rows(flat)[0][1:]) == ["2", "3", "4"] and rows(flat)[0][:2] == (1, "2")
+        both = spark.sql("SELECT 1 AS i, named_struct('X', 2, 'x', 3) AS a")
+        flat = flatten_nested(both)
+        assert flat.columns == (["i", "a_X", "a_x"] if exact == "true" else ["i", "a_X", "a_x_2"])
+        assert rows(flat) == [(1, 2, 3)]
+    finally:
+        spark.conf.set("spark.sql.caseSensitive", before)
+
+
+def test_truncated_ends_leave_no_text_behind(spark, rows):
+    df = spark.createDataFrame([(1, "<Id>2</Id"), (2, '<Id>3</Id><B x="2"'), (3, "<Id>4</Id>")], "i int, aXml string")
+    assert flatten_xml_columns(df).columns == ["i", "id"]
+    assert rows(flatten_xml_columns(df)) == [(1, "2"), (2, "3"), (3, "4")]
