@@ -19,6 +19,7 @@ from tablewright.functions.fragments import balance_fragment
 from tablewright.functions.text import strip_whitespace
 from tablewright.functions.values import quoted
 from tablewright.operators.schema_ops import distinct_names, flatten_nested, ignores_case, split_xml_columns
+from tablewright.session import materialize
 
 # A private-use character put in front of every text and attribute value. The
 # parser would otherwise turn 012 into 12, and would drop the blank text nodes
@@ -175,8 +176,9 @@ def flatten_xml_columns(
     them as an array (plain columns it overrides then become arrays too).
     Malformed fragments are repaired unless ``repair`` is off.
 
-    One scan finds the shapes of the fragments; the table itself is then a
-    plain projection. Give ``partitions`` to spread rows first when they come
+    One scan finds the shapes of the fragments, and writes down the rows with
+    malformed ones, which are repaired apart. The table itself is then a plain
+    projection that parses every fragment once and leaves those rows out. Give ``partitions`` to spread rows first when they come
     from fewer files than there are cores (files with line breaks in cells
     cannot be split).
     """
@@ -187,17 +189,10 @@ def flatten_xml_columns(
         return df
     if partitions is not None:
         df = df.repartition(partitions)
-    shapes, broken = find_shapes(df, xml)
-    if repair and broken:
-        damaged = [is_malformed(F.col(quoted(c))) for c in broken]
-        bad_rows = _repaired(df.where(reduce(Column.__or__, damaged)), broken)
+    shapes, broken, bad_rows = _survey(df, xml, stage=repair)
+    if bad_rows is not None:
         for shape, more in zip(shapes, find_shapes(bad_rows, xml)[0], strict=True):
             shape.add(more)
-        df = _repaired(df, broken)
-    parsed = df.select(
-        *[quoted(c) for c in plain],
-        *[shape.parse(F.col(quoted(c))).alias(f"__p{i}") for i, (c, shape) in enumerate(zip(xml, shapes, strict=True))],
-    )
 
     def value_of(i: int, key: str) -> Column:
         values = shapes[i].values(F.col(f"__p{i}"), key)
@@ -221,7 +216,31 @@ def flatten_xml_columns(
         if key not in plain:
             cells.append((key, F.coalesce(*[value_of(i, key) for i in reversed(sources)])))
     names = distinct_names((name for name, _ in cells), fold=ignores_case(df))
-    return parsed.select(*[v.alias(n) for n, (_, v) in zip(names, cells, strict=True)])
+    out = [v.alias(n) for n, (_, v) in zip(names, cells, strict=True)]
+    if bad_rows is None:
+        return _parsed_rows(df, plain, xml, shapes).select(*out)
+    # what the one parse finds malformed gives no row here; a filter would be parsed for by itself
+    read = _parsed_rows(df, plain, xml, shapes, [xml.index(c) for c in broken])
+    row = F.struct(*out)
+    fine = read.select(F.explode(F.when(F.col("__bad"), F.slice(F.array(row), 1, 0)).otherwise(F.array(row))).alias("__row"))
+    fine = fine.select(*[F.col("__row").getField(n).alias(n) for n in names])
+    return fine.unionAll(_parsed_rows(bad_rows, plain, xml, shapes).select(*out))
+
+
+def _parsed_rows(
+    df: DataFrame, plain: list[str], xml: list[str], shapes: list[Shape], watch: list[int] | None = None
+) -> DataFrame:
+    """The plain columns and ``__p0``, ``__p1`` …: what the fragments hold. ``__bad``: whether one of ``watch`` is malformed."""
+    cells = []
+    for i, (c, shape) in enumerate(zip(xml, shapes, strict=True)):
+        fragment = F.col(quoted(c))
+        cells.append((shape.parse_checked if watch is not None and i in watch else shape.parse)(fragment).alias(f"__p{i}"))
+    read = df.select(*[quoted(c) for c in plain], *cells)
+    if watch is None:
+        return read
+    bad = reduce(Column.__or__, [F.coalesce(F.col(f"__p{i}._corrupt_record").isNotNull(), F.lit(False)) for i in watch])
+    values = [F.col(f"__p{i}.r").alias(f"__p{i}") if i in watch else F.col(f"__p{i}") for i in range(len(xml))]
+    return read.select(*[quoted(c) for c in plain], *values, bad.alias("__bad"))
 
 
 class Shape:
@@ -266,9 +285,7 @@ class Shape:
     def _tags(self) -> list[str]:
         return sorted(t for t, part in self.parts.items() if part["text"] or part["attr"])
 
-    def parse(self, fragment: Column) -> Column:
-        if not self._is_simple():
-            return fragment_pairs(fragment)
+    def _schema(self) -> T.StructType:
         tags = []
         for tag in self._tags():
             part = self.parts[tag]
@@ -277,10 +294,23 @@ class Shape:
             if part["text"]:
                 fields += [T.StructField(c, T.ArrayType(T.StringType())) for c in sorted(part["child"])]
             tags.append(T.StructField(tag, T.ArrayType(T.StructType(fields))))
-        if not tags:
-            return F.lit(None).cast("string")
-        schema = T.StructType([T.StructField("r", T.StructType(tags))])
-        return F.from_xml(_marked(fragment), schema, _OPTIONS)["r"]
+        return T.StructType([T.StructField("r", T.StructType(tags))] if tags else [])
+
+    def parse(self, fragment: Column) -> Column:
+        if not self._is_simple():
+            return fragment_pairs(fragment)
+        schema = self._schema()
+        return F.from_xml(_marked(fragment), schema, _OPTIONS)["r"] if schema.fields else F.lit(None).cast("string")
+
+    def parse_checked(self, fragment: Column) -> Column:
+        """``r``, as ``parse`` has it, and ``_corrupt_record``, set if the fragment is malformed; from one parse."""
+        if not self._is_simple():
+            return _once(_parsed(fragment), lambda p: F.struct(_pairs(p).alias("r"), p["_corrupt_record"].alias("_corrupt_record")))
+        schema = self._schema()
+        known = F.from_xml(_marked(fragment), T.StructType([*schema, T.StructField("_corrupt_record", T.StringType())]), _OPTIONS)
+        if schema.fields:
+            return known
+        return F.struct(F.lit(None).cast("string").alias("r"), known["_corrupt_record"].alias("_corrupt_record"))
 
     def values(self, parsed: Column, key: str) -> Column:
         """All values of a key, in document order."""
@@ -343,17 +373,67 @@ def find_shapes(df: DataFrame, xml: list[str]) -> tuple[list[Shape], list[str]]:
     detail; those combine before the shuffle. What reaches the driver grows
     with the number of element names, not with the rows.
     """
+    return _survey(df, xml, stage=False)[:2]
+
+
+def _survey(df: DataFrame, xml: list[str], stage: bool) -> tuple[list[Shape], list[str], DataFrame | None]:
+    """``find_shapes``, and with ``stage`` the rows with malformed fragments, repaired; None if there are none.
+
+    One scan that parses each fragment once: it gives the distinct skeletons, and
+    with them the rows that need repair, which are written down.
+    """
+    fragments = {c: f"__f{i}" for i, c in enumerate(xml)}
+    checks = [F.coalesce(_checked(c)["_corrupt_record"].isNotNull(), F.lit(False)).alias(f"__b{i}") for i, c in enumerate(xml)]
+    # a row goes along as a whole if a fragment is malformed; grouping can't take maps
+    wanted, stage = stage, stage and not any(_has_map(f.dataType) for f in df.schema)
+    kept = [F.struct(*[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(df.columns)]).alias("__row")] if stage else []
+    checked = df.select(*[F.col(quoted(c)).alias(f) for c, f in fragments.items()], *checks, *kept)
+    none = F.lit(None).cast("string")
+    row_type = T.StructType([T.StructField(f"c{i}", f.dataType) for i, f in enumerate(df.schema)])
+    no_row = F.lit(None).cast(row_type if stage else "int")
     cells = [
-        F.struct(
-            F.lit(i).alias("source"),
-            F.coalesce(_checked(c)["_corrupt_record"].isNotNull(), F.lit(False)).alias("bad"),
-            F.col(quoted(c)).alias("fragment"),
+        F.when(
+            F.col(fragments[c]).isNotNull(),
+            F.struct(
+                F.lit(i).alias("source"),
+                F.col(f"__b{i}").alias("bad"),
+                F.when(~F.col(f"__b{i}"), _skeleton(F.col(fragments[c]))).alias("s"),
+                no_row.alias("row"),
+            ),
         )
         for i, c in enumerate(xml)
     ]
-    rows = df.select(F.explode(F.array(*cells)).alias("c")).select("c.*").where("fragment IS NOT NULL")
-    skeletons = rows.select("source", "bad", F.when(~F.col("bad"), _skeleton(F.col("fragment"))).alias("s"))
-    parsed = skeletons.distinct().select(
+    if stage:
+        bad = reduce(Column.__or__, [F.col(f"__b{i}") for i in range(len(xml))])
+        cells.append(F.when(bad, F.struct(F.lit(-1).alias("source"), bad.alias("bad"), none.alias("s"), F.col("__row").alias("row"))))
+    rows = checked.select(F.explode(F.array_compact(F.array(*cells))).alias("c")).select("c.*")
+    found = rows.groupBy("source", "bad", "s", "row").agg(F.count(F.lit(1)).alias("n"))
+    if stage:
+        found = materialize(found, "fragment-shapes")
+    skeletons = found.where("source >= 0").select("source", "bad", "s")
+    shapes, broken = _shapes_of(df, xml, skeletons)
+    if not wanted or not broken:
+        return shapes, broken, None
+    if not stage:
+        damaged = reduce(Column.__or__, [is_malformed(F.col(quoted(c))) for c in broken])
+        return shapes, broken, _repaired(df.where(damaged), broken)
+    again = found.where("source = -1").select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), "n")).alias("__copy"))
+    bad_rows = again.select(*[F.col("row").getField(f"c{i}").alias(c) for i, c in enumerate(df.columns)])
+    fixed = {c: repaired_value(F.col(quoted(c))) for c in broken}
+    bad_rows = bad_rows.select(*[fixed[c].alias(c) if c in fixed else F.col(quoted(c)) for c in df.columns])
+    return shapes, broken, materialize(bad_rows, "repaired-rows")
+
+
+def _has_map(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return _has_map(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return any(_has_map(f.dataType) for f in dtype)
+    return isinstance(dtype, (T.MapType, T.VariantType))
+
+
+def _shapes_of(df: DataFrame, xml: list[str], skeletons: DataFrame) -> tuple[list[Shape], list[str]]:
+    parsed = skeletons.select(
         "source", "bad", F.from_xml(F.concat(F.lit("<q><r>"), "s", F.lit("</r></q>")), _SCHEMA, _OPTIONS).alias("p")
     )
     none = F.array().cast("array<struct<tag:string,kind:string,name:string>>")
