@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from tablewright.session import materialize
 
 __all__ = [
-    "WORD", "Substrings", "Words", "fresh", "materialize", "materialize_few", "slices", "table", "take", "words_of",
+    "WORD", "Substrings", "Words", "fresh", "materialize", "materialize_few", "release", "slices", "table", "take", "words_of",
 ]
 
 #: A word, as regular expression: anything but the ASCII white space.
@@ -32,6 +33,16 @@ def materialize_few(df: DataFrame, label: str) -> DataFrame:
     return materialize(df.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism), label)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of frames that nobody refers to any more.
+
+    It does so once the driver has collected its garbage, which with much
+    memory there is hours later; meanwhile they take disk on all machines.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def take(df: DataFrame, *names: str) -> DataFrame:
     """Just the named columns. Other columns never clash, not even by another case."""
     columns = df.columns

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import materialize, materialize_few, mix, slices, take, words_of
+from tablewright.llm.common import materialize, materialize_few, mix, release, slices, take, words_of
 from tablewright.llm.components import components
 from tablewright.llm.filter_audit import counting_sketch, possible_repeats
 
@@ -363,9 +363,13 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE)
     by_frequency = Window.partitionBy("slot").orderBy(F.desc("n"), F.desc("key"))
     met = met.withColumn("rank", F.row_number().over(by_frequency)).filter(f"rank > coalesce(slot % {MOST_SPARE + 1}, 0)")
     met = materialize(met.select(F.expr(f"slot div {2 * (MOST_SPARE + 1)}").alias("row"), "key"), "shared-segments")
+    del keys, counted
+    release(docs.sparkSession)
     lowest = met.groupBy("key").agg(F.min("row").alias("low"), F.max("row").alias("high")).filter("low < high")
     pairs = met.join(lowest, "key").select(F.col("low").alias("a"), F.col("row").alias("b"))
     group_of = materialize_few(components(pairs), "candidate-groups")
+    del met, lowest, pairs
+    release(docs.sparkSession)
 
     # the texts of the candidates, one for each distinct set; copies share all keys and so a group
     known = (
@@ -386,6 +390,7 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE)
         _sets_of(rows, known, size).join(known.select("fp", "group", "sets", "parts"), "fp"),
         "candidate-sets",
     )
+    release(docs.sparkSession)
     part = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
     pivot = F.pmod(F.xxhash64("fp", F.lit("pivot")), F.col("sets")) < PIVOTS
     everywhere = F.sequence(F.lit(0), F.col("parts") - 1)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import math
 import random
@@ -13,18 +14,22 @@ from pathlib import Path
 import corpus_pipeline
 import numpy as np
 import oracle
+import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
+import tiktoken
 from conftest import AWKWARD, FOLDER, SCHEMA, near_copies
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tablewright.llm import embedding_dedup, jaccard_join
+from tablewright.llm.common import materialize
 from tablewright.llm.components import components
 from tablewright.llm.embedding_dedup import multi_sequence, near_duplicates
 from tablewright.llm.jaccard_join import jaccard_groups
 from tablewright.llm.mixing import mix_sources, repeat_rows, water_fill
-from tablewright.llm.queries import ORACLES, QUERIES
+from tablewright.llm.pseudonyms import pseudonymize_text
+from tablewright.llm.queries import KEY, ORACLES, QUERIES, RANKS
 from tablewright.llm.sharding import shard_by_bytes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -409,3 +414,37 @@ def test_pipeline_keeps_clean_documents(spark):
     assert set(taken) <= stay and max(taken.values()) <= 2
     # the mix leaves out part of the sources of small weight, and nothing else is lost
     assert len(taken) >= 0.55 * len(stay)
+
+
+@has_tables
+def test_pipeline_stage_by_stage(spark):
+    """Every stage on what its predecessor kept, against brute force of its decisions and texts."""
+    ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in open(RANKS, "rb") if line.strip())}
+    library = tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    before = {}
+    for name in ("language", "near_copies", "private", "mixture"):
+        rows = [r.asDict() for r in docs.collect()]
+        before[name] = rows
+        docs = materialize(stages[name](spark, docs, FOLDER), f"test-{name}")
+        assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    before["tokens"] = [r.asDict() for r in docs.collect()]
+    whole = {r["doc_id"]: r for r in before["language"]}
+    # labelled prose stays
+    kept = {r["doc_id"]: r for r in before["near_copies"]}
+    clean = {i for i, r in whole.items() if r["lang"] and len((r["text"] or "").split()) >= 20}
+    assert len(clean - set(kept)) <= 0.01 * len(clean) and all(kept[i] == whole[i] for i in kept)
+    groups = expected_groups([(i, r["text"]) for i, r in kept.items()], 80, 5)
+    assert {r["doc_id"] for r in before["private"]} == {i for i, _, c in groups if i == c}
+    for r in before["mixture"]:
+        old = kept[r["doc_id"]]
+        assert r["text"] == pseudonymize_text(old["text"], KEY.encode()) and {**r, "text": old["text"]} == old
+    private = spark.createDataFrame([tuple(r.values()) for r in before["mixture"]], SCHEMA)
+    epochs = {r.doc_id: r.epochs for r in mix_sources(private).collect() if r.epochs}
+    assert Counter(r["doc_id"] for r in before["tokens"]) == epochs
+    texts = {r["doc_id"]: r["text"] for r in before["tokens"]}
+    got = stages["tokens"](spark, docs, FOLDER).collect()
+    assert Counter(r.doc_id for r in got) == epochs
+    wanted = {i: library.encode_ordinary(t) for i, t in texts.items()}
+    assert all(list(r.ids) == wanted[r.doc_id] for r in got)
