@@ -226,8 +226,8 @@ def test_units_hold_each_pair_once(seed):
     assert sorted((u.determinant, b) for u in units for b in [*u.wholes, *u.reals]) == sorted(pairs)
     assert all(not real[b] for u in units for b in u.wholes) and all(real[b] for u in units for b in u.reals)
     width = sum(max(len(u[k]) for u in units) for k in (1, 2))
-    most = max(sum(a == n for a, _ in pairs) for n in names)
-    assert width <= most and len(units) <= len(pairs) + len(names)
+    most = sum(max(sum(a == n and real[b] is kind for a, b in pairs) for n in names) for kind in (False, True))
+    assert width <= most and len(units) <= len(pairs)
 
 
 def test_few_live_pairs_of_many_columns(spark):
