@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import WORD, materialize, take
+from tablewright.llm.common import WORD, materialize, materialize_few, take
 
 #: Counters for each text, counters of a block, and the most bytes all counters may take (four to a byte).
 COUNTERS_PER_TEXT = 8
@@ -131,6 +131,20 @@ def possible_repeats(rows: DataFrame, sketch: DataFrame, blocks: int, least: int
     return met.withColumn("maybe", maybe).drop("counters", "sketch_block", "one", "two")
 
 
+def without(rows: DataFrame, key: Column, gone: DataFrame) -> DataFrame:
+    """``rows`` whose ``key`` (not null) isn't among those of ``gone``, a written frame of one column.
+
+    A sketch of ``gone`` says for most rows that they stay; only those that may
+    go are shuffled, and met with ``gone`` itself. ``rows`` must have no columns h1, h2 and maybe.
+    """
+    (name,) = gone.columns
+    hashes = lambda c: [F.xxhash64(c).alias("h1"), F.xxhash64(F.lit(1), c).alias("h2")]
+    sketch, blocks = counting_sketch(gone.select(*hashes(F.col(name))), gone.count())
+    judged = possible_repeats(rows.select("*", *hashes(key)), materialize_few(sketch, "gone-ids"), blocks, least=1)
+    maybe = judged.filter("maybe").join(gone, key == F.col(name), "left_anti")
+    return judged.filter("not maybe").select(*rows.columns).unionAll(maybe.select(*rows.columns))
+
+
 def _later_copies(docs: DataFrame, flagged: DataFrame, most_bytes: int) -> DataFrame:
     """``flagged`` with ``copy``: whether a smaller doc_id has the same text."""
     sketch, blocks = counting_sketch(flagged, flagged.count(), most_bytes)

@@ -18,7 +18,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tablewright.llm import filter_audit, line_dedup
-from tablewright.llm.filter_audit import audit_filters, counting_sketch, mask_counts, possible_repeats
+from tablewright.llm.filter_audit import audit_filters, counting_sketch, mask_counts, possible_repeats, without
 from tablewright.llm.line_dedup import DROP, HOLDER, OPEN, kept_lines, line_bitmaps
 from tablewright.llm.queries import ORACLES, QUERIES
 from tablewright.llm.spelling import count_words, letter_runs, near_words, slipped, spelling_forms
@@ -312,3 +312,11 @@ def test_sketch_clears_only_unique_texts(spark):
     counts = Counter(values)
     assert all(counts[t] == 1 for t in cleared)
     assert len(cleared) > 0.85 * sum(n == 1 for n in counts.values())
+
+
+def test_rows_are_dropped_by_key(spark):
+    rows = spark.range(5000).select((F.col("id") % 4000).alias("k"), F.col("id").alias("v"))
+    gone = spark.range(0, 4000, 7).select(F.col("id").alias("g"))
+    got = sorted(tuple(r) for r in without(rows, F.col("k"), gone).collect())
+    assert got == sorted((i % 4000, i) for i in range(5000) if i % 4000 % 7)
+    assert without(rows, F.col("k"), gone.limit(0)).count() == 5000 and without(rows.limit(0), F.col("k"), gone).count() == 0
