@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tablewright.llm.byte_bpe import encode_documents
 from tablewright.llm.common import materialize, table, take
+from tablewright.llm.filter_audit import without
 from tablewright.llm.jaccard_join import jaccard_groups
 from tablewright.llm.language_id import in_a_language, learn_levels, learn_whole_profiles
 from tablewright.llm.mixing import repeat_rows
@@ -62,8 +63,9 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         groups = materialize(jaccard_groups(rows, percent=80, size=5), "near-copies")
         groups = groups.select(F.col("doc_id.number").alias("doc_id"), F.col("component_id.number").alias("component_id"))
         own = F.col("number")
-    stay = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("stays"))
-    kept = plain.join(stay, own == F.col("stays"), "left_semi")
+    # few rows go, so most texts needn't be shuffled to tell that they stay
+    gone = groups.filter("doc_id != component_id").select(F.col("doc_id").alias("gone"))
+    kept = without(plain, own, gone)
     return kept.select(*[f"c{i}" for i in range(len(docs.columns))]).toDF(*docs.columns)
 
 
