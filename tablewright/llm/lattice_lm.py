@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -21,12 +22,16 @@ MATRIX_CELLS = 1 << 20
 #: Bytes from which a word goes through the recursion alone, and places that are looked up at a time then.
 LONG_WORD = 256
 STRETCH = 1 << 16
+#: Bytes of words and counts that a task holds.
+HELD_BYTES = 64 << 20
 #: Fixed value: the mark of a word's start in the vocabulary.
 WORD_START = "▁".encode()
 #: Bytes of the character that begins with a byte.
 CHARACTER_BYTES = np.repeat([1, 2, 3, 4], [0xC0, 0x20, 0x10, 0x10])
-#: Words whose probability a task remembers.
-REMEMBERED = 300_000
+#: Rounds of expectation and maximization in which the pieces' probabilities are learned.
+ROUNDS = 2
+#: Pieces that the vocabulary's own probabilities count for, beside those of the training words.
+PRIOR = 1000.0
 _LN10 = math.log(10)
 
 
@@ -67,20 +72,11 @@ class Lattice:
         keys = Substrings(data).hashes(starts, ends)
         order = np.argsort(keys)
         self.keys, self.scores = keys[order], np.array(list(kept.values()))[order]
+        names = list(kept)
+        self.names = [names[i].decode() for i in order] + [f"<0x{b:02X}>" for b in range(256)]
         # most strings are no piece: a bit for each of 2**20 hash values says so at once
         self.maybe = np.zeros(1 << 20, dtype=bool)
         self.maybe[(self.keys >> np.uint64(44)).astype(np.int64)] = True
-        self.known: dict[int, float] = {}
-
-    def of_words(self, words: Words, keys: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """The same for words with these hashes, at these places; each is worked out once."""
-        keys = keys.tolist()
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        missing = [(k, i) for k, i in zip(keys, at.tolist()) if k not in self.known]
-        found = self.log_probabilities([words.word(i) for _, i in missing])
-        self.known.update(zip([k for k, _ in missing], found.tolist()))
-        return np.fromiter(map(self.known.__getitem__, keys), np.float64, len(keys))
 
     def log_probabilities(self, words: list[bytes]) -> np.ndarray:
         """Natural log of the sum, over all segmentations of a word, of the product of their pieces.
@@ -91,29 +87,45 @@ class Lattice:
         character that is no piece is spelt by its bytes.
         """
         out = np.zeros(len(words))
+        for some, size in self._of_one_length(words, MATRIX_CELLS):
+            if size >= LONG_WORD:
+                out[some[0]] = self._forward_long(WORD_START + words[some[0]])
+            else:
+                out[some] = self._forward(b"".join(WORD_START + words[i] for i in some.tolist()), len(some), size)
+        return out
+
+    def expected_counts(self, words: list[bytes]) -> np.ndarray:
+        """How often each piece of ``names`` is expected in these words, over all their segmentations by probability."""
+        counts = np.zeros(len(self.names))
+        for some, size in self._of_one_length(words, MATRIX_CELLS // 4):
+            if size >= LONG_WORD:
+                self._expect_long(WORD_START + words[some[0]], counts)
+            else:
+                self._expect(b"".join(WORD_START + words[i] for i in some.tolist()), len(some), size, counts)
+        return counts
+
+    @staticmethod
+    def _of_one_length(words: list[bytes], cells: int) -> Iterator[tuple[np.ndarray, int]]:
+        """Places of words that take as many bytes, and how many with the mark; so many that ``cells`` hold them, or a long one."""
         lengths = np.fromiter(map(len, words), np.int64, len(words)) + len(WORD_START)
         order = np.argsort(lengths, kind="stable")
         cuts = np.flatnonzero(np.diff(lengths[order])) + 1
         for group in np.split(order, cuts) if len(order) else []:
             size = int(lengths[group[0]])
-            if size >= LONG_WORD:
-                for i in group.tolist():
-                    out[i] = self._forward_long(WORD_START + words[i])
-                continue
-            rows = max(1, MATRIX_CELLS // (size + 1))
+            rows = 1 if size >= LONG_WORD else max(1, cells // (size + 1))
             for at in range(0, len(group), rows):
-                some = group[at : at + rows]
-                out[some] = self._forward(b"".join(WORD_START + words[i] for i in some.tolist()), len(some), size)
-        return out
+                yield group[at : at + rows], size
 
-    def _forward(self, joined: bytes, n: int, size: int) -> np.ndarray:
+    def _forward(self, joined: bytes, n: int, size: int, alpha: np.ndarray | None = None, edges: list | None = None) -> np.ndarray:
+        """Natural logs of the words' sums; ``alpha`` takes what reaches each place, ``edges`` the pieces it comes by."""
         data = np.frombuffer(joined, dtype=np.uint8)
         text = Substrings(data)
         base = np.arange(n, dtype=np.int64) * size
         grid = data.reshape(n, size)
         begins = (grid & 0xC0) != 0x80  # a character begins here
         wide = CHARACTER_BYTES[grid]
-        alpha = np.full((size + 1, n), -np.inf)
+        alpha = np.empty((size + 1, n)) if alpha is None else alpha
+        alpha[:] = -np.inf
         alpha[0] = 0.0
         for i in range(size):
             reached = np.flatnonzero(alpha[i] > -np.inf)
@@ -133,6 +145,8 @@ class Lattice:
                 single[hit] |= wide[reached[hit], i] == j - i
                 to = reached[hit]
                 alpha[j, to] = np.logaddexp(alpha[j, to], here[hit] + self.scores[place])
+                if edges is not None:
+                    edges.append((i, j, to, place, self.scores[place]))
             left = np.flatnonzero(~single)
             if len(left):  # spell one character by its bytes
                 row = reached[left]
@@ -140,11 +154,32 @@ class Lattice:
                 run = np.concatenate([np.zeros((len(left), 1)), np.cumsum(self.byte[grid[row, i:]], axis=1)], axis=1)
                 cost = here[left] + run[np.arange(len(left)), end - i]
                 alpha[end, row] = np.logaddexp(alpha[end, row], cost)
+                if edges is not None:
+                    edges.append((i, end, row, None, cost - here[left]))
         return alpha[size]
 
+    def _expect(self, joined: bytes, n: int, size: int, counts: np.ndarray) -> None:
+        """Add what is expected in words of one length: forward recursion, then the same backward over its pieces."""
+        grid = np.frombuffer(joined, dtype=np.uint8).reshape(n, size)
+        alpha, edges = np.empty((size + 1, n)), []
+        total = self._forward(joined, n, size, alpha, edges)
+        beta = np.full((size + 1, n), -np.inf)
+        beta[size] = 0.0
+        for i, j, row, place, score in reversed(edges):
+            on = score + beta[j, row]
+            beta[i, row] = np.logaddexp(beta[i, row], on)
+            share = np.exp(alpha[i, row] + on - total[row])
+            if place is not None:
+                counts += np.bincount(place, weights=share, minlength=len(counts)) if len(place) > 4096 else 0.0
+                if len(place) <= 4096:
+                    np.add.at(counts, place, share)
+                continue
+            for k in range(int((j - i).max())):
+                inside = i + k < j
+                np.add.at(counts, len(self.keys) + grid[row[inside], i + k].astype(np.int64), share[inside])
 
     def _pieces_from(self, data: np.ndarray, text: Substrings, begins: np.ndarray, low: int, high: int):
-        """start, end and score of all pieces that begin at places from ``low`` to ``high``, by start."""
+        """start, end, score and place in ``names`` of all pieces that begin at places from ``low`` to ``high``, by start."""
         starts = low + np.flatnonzero(begins[low:high])
         found = []
         for length in range(1, self.longest + 1):
@@ -155,12 +190,12 @@ class Lattice:
             place = np.minimum(np.searchsorted(self.keys, keys[hit]), len(self.keys) - 1)
             same = self.keys[place] == keys[hit]
             hit, place = hit[same], place[same]
-            found.append((at[hit], at[hit] + length, self.scores[place]))
-        start, end, score = (np.concatenate(x) for x in zip(*found))
+            found.append((at[hit], at[hit] + length, place))
+        start, end, place = (np.concatenate(x) for x in zip(*found))
         order = np.argsort(start, kind="stable")
-        return start[order].tolist(), end[order].tolist(), score[order].tolist()
+        return start[order].tolist(), end[order].tolist(), self.scores[place[order]].tolist(), place[order].tolist()
 
-    def _forward_long(self, word: bytes) -> float:
+    def _forward_long(self, word: bytes, alpha: list | None = None, edges: list | None = None) -> float:
         """The same recursion for one long word: its pieces are looked up for many places at once."""
         data = np.frombuffer(word, dtype=np.uint8)
         size, text = len(data), Substrings(data)
@@ -168,7 +203,8 @@ class Lattice:
         begins[:size] = (data & 0xC0) != 0x80
         wide = CHARACTER_BYTES[data]
         spelt = np.concatenate([[0.0], np.cumsum(self.byte[data])])
-        alpha = [-math.inf] * (size + 1)
+        alpha = [] if alpha is None else alpha
+        alpha[:] = [-math.inf] * (size + 1)
         alpha[0] = 0.0
 
         def reach(end: int, x: float) -> None:
@@ -178,7 +214,7 @@ class Lattice:
 
         for low in range(0, size, STRETCH):
             high = min(low + STRETCH, size)
-            starts, ends, scores = self._pieces_from(data, text, begins, low, high)
+            starts, ends, scores, places = self._pieces_from(data, text, begins, low, high)
             k = 0
             for i in (low + np.flatnonzero(begins[low:high])).tolist():
                 here, single = alpha[i], False
@@ -186,66 +222,175 @@ class Lattice:
                 while k < len(starts) and starts[k] == i:
                     if here > -math.inf:
                         reach(ends[k], here + scores[k])
+                        if edges is not None:
+                            edges.append((i, ends[k], scores[k], places[k]))
                         single |= ends[k] - i == width
                     k += 1
                 if here > -math.inf and not single:  # spell one character by its bytes
                     end = min(i + width, size)
-                    reach(end, here + float(spelt[end] - spelt[i]))
+                    cost = float(spelt[end] - spelt[i])
+                    reach(end, here + cost)
+                    if edges is not None:
+                        edges.append((i, end, cost, -1))
         return alpha[size]
 
+    def _expect_long(self, word: bytes, counts: np.ndarray) -> None:
+        """``_expect`` for one long word."""
+        alpha: list[float] = []
+        edges: list[tuple[int, int, float, int]] = []
+        total = self._forward_long(word, alpha, edges)
+        beta = [-math.inf] * (len(word) + 1)
+        beta[-1] = 0.0
+        for i, j, score, place in reversed(edges):
+            on = score + beta[j]
+            if on == -math.inf:
+                continue
+            low, top = sorted((on, beta[i]))
+            beta[i] = top if low == -math.inf else top + math.log1p(math.exp(low - top))
+            share = math.exp(alpha[i] + on - total)
+            for p in (place,) if place >= 0 else (len(self.keys) + b for b in word[i:j]):
+                counts[p] += share
+
 
 _END = int(mix(np.array([0x456E64], dtype=np.uint64))[0].view(np.int64))
 
 
-def count_tokens(texts: DataFrame) -> DataFrame:
-    """token (a 64-bit hash of the word) and n over all rows of ``texts``, one end for each row.
+def count_words(rows: DataFrame) -> DataFrame:
+    """token (a 64-bit hash), word and n of all words: how often each stands in rows that aren't held out.
 
+    Words of held-out rows alone have 0. One end, without a word, for each row that isn't held out.
     Tasks add up what they read, then all tasks' counts meet by token.
     """
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        size = rows = 0
+        held: list[Counted] = []
+        size = ends = 0
         for batch in batches:
-            rows += batch.num_rows
-            for _, _, data, offsets in slices(batch.column("text"), size=1 << 22):
-                found = np.unique(words_of(data, offsets).hashes.view(np.int64), return_counts=True)
-                held.append(found)
-                size += len(found[0])
-                if size > 2_000_000:
+            out = batch.column("held_out").fill_null(True).to_numpy(zero_copy_only=False)
+            ends += int((~out).sum())
+            for at, to, data, offsets in slices(batch.column("text"), size=1 << 22):
+                words = words_of(data, offsets)
+                token, first, which = np.unique(words.hashes.view(np.int64), return_index=True, return_inverse=True)
+                taught = np.bincount(which, weights=~out[at:to][words.doc], minlength=len(token)).astype(np.int64)
+                held.append(Counted(token, _spelt(words, first), taught))
+                size += held[-1].size
+                if size > HELD_BYTES:
                     held = [_added(held)]
-                    if len(held[0][0]) > 1_000_000:  # bounds the memory
-                        yield _counts(held.pop())
-                    size = sum(len(h[0]) for h in held)
+                    if held[0].size > HELD_BYTES // 2:  # bounds the memory
+                        yield _batch(held.pop())
+                    size = sum(h.size for h in held)
         if held:
-            yield _counts(_added(held))
-        yield _counts((np.array([_END]), np.array([rows])))
+            yield _batch(_added(held))
+        yield _batch(Counted(np.array([_END]), pa.nulls(1, pa.large_binary()), np.array([ends])))
 
-    return texts.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counted = rows.select("text", "held_out").mapInArrow(count, "token long, word binary, n long")
+    return counted.groupBy("token", "word").agg(F.sum("n").alias("n"))
 
 
-def _added(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    token, at = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-    return token, np.bincount(at, weights=np.concatenate([h[1] for h in held])).astype(np.int64)
+class Counted(NamedTuple):
+    """Distinct tokens in order, their words and their counts."""
 
+    token: np.ndarray
+    word: pa.LargeBinaryArray
+    n: np.ndarray
 
-def _counts(found: tuple[np.ndarray, np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1].astype(np.int64))], ["token", "n"])
+    @property
+    def size(self) -> int:
+        return self.token.nbytes + self.word.nbytes + self.n.nbytes
 
 
-def score_texts(docs: DataFrame, held_out: Column, vocabulary: str) -> DataFrame:
+def _spelt(words: Words, at: np.ndarray) -> pa.LargeBinaryArray:
+    """The words at these places."""
+    n = len(words.start)
+    bounds = np.empty(2 * n + 1, dtype=np.int64)  # words, and what is between them
+    bounds[0 : 2 * n : 2], bounds[1 : 2 * n : 2] = words.start, words.end
+    bounds[2 * n] = words.end[-1] if n else 0
+    every = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), 2 * n, [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(words.data))]
+    )
+    return every.take(pa.array(2 * at))
+
+
+def _added(held: list[Counted]) -> Counted:
+    token, first, which = np.unique(np.concatenate([h.token for h in held]), return_index=True, return_inverse=True)
+    n = np.bincount(which, weights=np.concatenate([h.n for h in held]), minlength=len(token)).astype(np.int64)
+    return Counted(token, pa.concat_arrays([h.word for h in held]).take(pa.array(first)), n)
+
+
+def _batch(found: Counted) -> pa.RecordBatch:
+    columns = [pa.array(found.token), found.word.cast(pa.binary()), pa.array(found.n)]
+    return pa.RecordBatch.from_arrays(columns, ["token", "word", "n"])
+
+
+def learn_pieces(words: DataFrame, pieces: dict[str, float], rounds: int = ROUNDS) -> dict[str, float]:
+    """Natural log probabilities of the same pieces, as all distinct ``word`` of a table teach them.
+
+    Expectation and maximization: each round adds up over all words how often
+    a piece is expected in them. It learns from words, not from their repeats,
+    since it has to spell the ones that were never seen. The probabilities
+    given count like PRIOR pieces, so none falls to zero. What reaches the driver is one
+    number for each piece.
+    """
+    for _ in range(rounds):
+        shared = words.sparkSession.sparkContext.broadcast(pieces)
+
+        def expect(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            lattice = _lattice(shared.value)
+            counts = np.zeros(len(lattice.names))
+            for batch in batches:
+                counts += lattice.expected_counts(batch.column("word").to_pylist())
+            some = np.flatnonzero(counts)
+            names = pa.array([lattice.names[i] for i in some.tolist()], pa.string())
+            yield pa.RecordBatch.from_arrays([names, pa.array(counts[some])], ["piece", "n"])
+
+        found = words.select("word").mapInArrow(expect, "piece string, n double").groupBy("piece").agg(F.sum("n").alias("n"))
+        counts = dict(found.toPandas().itertuples(index=False))
+        # in order of the pieces, so that sums agree
+        known = {p: counts.get(p, 0.0) + PRIOR * math.exp(s) for p, s in pieces.items()}
+        bottom = math.log(math.fsum(known.values()))
+        pieces = {p: math.log(n) - bottom for p, n in known.items()}
+    return pieces
+
+
+def score_words(counts: DataFrame, pieces: dict[str, float], new: float, n_words: int) -> DataFrame:
+    """token, n and own: the natural log probability of a word, worked out once for each.
+
+    Its share of ``n_words`` has the weight 1 - ``new``, and its probability by pieces the weight ``new``.
+    """
+    shared = counts.sparkSession.sparkContext.broadcast(pieces)
+
+    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice = _lattice(shared.value)
+        for batch in batches:
+            own = lattice.log_probabilities(batch.column("word").to_pylist())
+            if new < 1:
+                n = batch.column("n").to_numpy()
+                with np.errstate(divide="ignore"):
+                    own = np.logaddexp(own + math.log(new), np.log((1 - new) * n / n_words))
+            yield pa.RecordBatch.from_arrays([batch.column("token"), batch.column("n"), pa.array(own)], ["token", "n", "own"])
+
+    return counts.mapInArrow(score, "token long, n long, own double")
+
+
+def score_texts(docs: DataFrame, held_out: Column, vocabulary: str, learn: bool = False) -> DataFrame:
     """Base and lattice log10 probabilities of every row.
 
     The base is add-one smoothed word counts of the rows that aren't held out.
     The model's score is the marginal probability of the text over all ways to
-    write it as pieces of ``vocabulary`` (a sentencepiece file; its scores are
-    taken as they are). Pieces don't cross words, so the probability of a text
-    is the product of those of its words and of its end, which the training
-    rows teach: one end to so many words.
+    write it as pieces of ``vocabulary`` (a sentencepiece file). Pieces don't
+    cross words, so the probability of a text is the product of those of its
+    words and of its end, which the training rows teach: one end to so many words.
+
+    The pieces' probabilities are those of the file, or with ``learn`` the ones
+    that the distinct words of the training rows teach (``learn_pieces``). Each
+    word of these rows then is a way of its own through the lattice, by its
+    share of them; pieces have what new words make of all (Witten and Bell:
+    distinct words to all words and distinct ones).
 
-    Counts of all words are gathered from the whole corpus. Those of frequent
-    words (at least 1 in 2**18 of all tokens, so no more than 2**18 words) are
-    sent to all tasks; the other words of a document are looked up by a join.
+    Counts of all words are gathered from the whole corpus, and each word is
+    scored once. Those of frequent words (at least 1 in 2**18 of all tokens,
+    so no more than 2**18 words) are sent to all tasks; the other words of a
+    document are looked up by a join.
 
     Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score and
     score. Null and empty texts have one token, the end. Repeated rows are
@@ -255,16 +400,22 @@ def score_texts(docs: DataFrame, held_out: Column, vocabulary: str) -> DataFrame
     """
     spark = docs.sparkSession
     rows = take(docs, "doc_id", "text").withColumn("held_out", held_out)
-    counts = materialize(count_tokens(rows.filter(~F.col("held_out"))), "token-counts")
-    total = counts.agg(
+    words = materialize(count_words(rows), "token-counts")
+    is_end = F.col("token") == _END
+    total = words.agg(
         F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.when(F.col("n") > 0, 1)), F.lit(0)),
-        F.coalesce(F.sum(F.when(F.col("token") == _END, F.col("n"))), F.lit(0)),
+        F.coalesce(F.sum(F.when(is_end, F.col("n"))), F.lit(0)),
     ).first()
     n_train, n_distinct, n_ends = int(total[0]), int(total[1]), int(total[2])
+    words = words.filter(~is_end)
+    pieces, new = read_pieces(vocabulary), 1.0
+    if learn and n_train > n_ends:
+        taught, seen = n_distinct - (n_ends > 0), n_train - n_ends
+        pieces, new = learn_pieces(words.filter("n > 0"), pieces), taught / (taught + seen)
+    counts = materialize(score_words(words, pieces, new, n_train - n_ends), "word-scores")
     least = max(1, -(-n_train // FREQUENT))
-    frequent = counts.filter((F.col("n") >= least) & (F.col("token") != _END)).toPandas().sort_values("token")
-    lookup = spark.sparkContext.broadcast((frequent["token"].to_numpy(np.int64), frequent["n"].to_numpy(np.int64)))
-    model = spark.sparkContext.broadcast(read_pieces(vocabulary))
+    frequent = counts.filter(F.col("n") >= least).toPandas().sort_values("token")
+    lookup = spark.sparkContext.broadcast(tuple(frequent[c].to_numpy() for c in ("token", "n", "own")))
     bottom = n_train + n_distinct + 1
     end_base = math.log10((n_ends + 1) / bottom)
     # a text goes on or ends after each word
@@ -273,21 +424,16 @@ def score_texts(docs: DataFrame, held_out: Column, vocabulary: str) -> DataFrame
     base_of = lambda c: np.log10((c + 1) / bottom)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, known = lookup.value
-        lattice = _lattice(model.value)
+        tokens, known, logs = lookup.value
         for batch in batches:
             for at, to, data, offsets in slices(batch.column("text"), size=1 << 22):
                 words = words_of(data, offsets)
                 n_docs, doc = to - at, words.doc
-                distinct, first, which = np.unique(words.hashes, return_index=True, return_inverse=True)
-                logs = lattice.of_words(words, distinct, first)
-                own = np.bincount(doc, weights=logs[which], minlength=n_docs) if len(which) else np.zeros(n_docs)
-                own = (own + words.counts * log_on + log_end) / _LN10
-                signed = distinct.view(np.int64)
-                place = np.minimum(np.searchsorted(tokens, signed), max(len(tokens) - 1, 0))
-                hit = tokens[place] == signed if len(tokens) else np.zeros(len(signed), bool)
-                base = base_of(np.where(hit, known[place], 0)) if len(tokens) else np.zeros(len(signed))
-                base[~hit] = 0.0
+                distinct, which = np.unique(words.hashes.view(np.int64), return_inverse=True)
+                place = np.minimum(np.searchsorted(tokens, distinct), max(len(tokens) - 1, 0))
+                hit = tokens[place] == distinct if len(tokens) else np.zeros(len(distinct), bool)
+                base, own = np.zeros(len(distinct)), np.zeros(len(distinct))
+                base[hit], own[hit] = base_of(known[place[hit]]), logs[place[hit]]
                 in_frequent = hit[which]
                 weight = lambda w: np.bincount(doc, weights=w, minlength=n_docs)
                 # the rest, as lists of distinct tokens and how often they stand in the text
@@ -302,9 +448,9 @@ def score_texts(docs: DataFrame, held_out: Column, vocabulary: str) -> DataFrame
                         batch.column("held_out").slice(at, n_docs),
                         pa.array(words.counts.astype(np.int64) + 1),
                         pa.array(weight(in_frequent).astype(np.int64)),
-                        pa.array(weight(base[which]) if len(which) else np.zeros(n_docs)),
-                        pa.array(own),
-                        pa.ListArray.from_arrays(ends, pa.array(signed[pair[:, 1]])),
+                        pa.array(weight(base[which])),
+                        pa.array(weight(own[which]) + words.counts * log_on + log_end),
+                        pa.ListArray.from_arrays(ends, pa.array(distinct[pair[:, 1]])),
                         pa.ListArray.from_arrays(ends, pa.array(times.astype(np.int32))),
                     ],
                     ["doc_id", "held_out", "n_tokens", "hits", "base", "own", "tokens", "times"],
@@ -323,12 +469,13 @@ def score_texts(docs: DataFrame, held_out: Column, vocabulary: str) -> DataFrame
     )
     unknown = math.log10(1 / bottom)
     found = (
-        rare.join(counts, "token")
+        rare.join(counts.withColumnRenamed("own", "log"), "token")
         .groupBy("row")
         .agg(
-            F.sum("times").alias("known"),
+            F.sum(F.when(F.col("n") > 0, F.col("times"))).alias("known"),
             # what the found words have above unknown ones
             F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("above"),
+            F.sum(F.col("times") * F.col("log")).alias("more"),
         )
     )
     none = F.coalesce(F.aggregate("times", F.lit(0), lambda a, x: a + x), F.lit(0))
@@ -340,7 +487,7 @@ def score_texts(docs: DataFrame, held_out: Column, vocabulary: str) -> DataFrame
         (F.col("hits") + F.coalesce("known", F.lit(0)) + ends_known).cast("long").alias("n_known"),
         F.lit(n_train).cast("long").alias("train_tokens"),
         (F.col("base") + none * F.lit(unknown) + F.coalesce("above", F.lit(0.0)) + F.lit(end_base)).alias("base_score"),
-        F.col("own").alias("score"),
+        ((F.col("own") + F.coalesce("more", F.lit(0.0))) / F.lit(_LN10)).alias("score"),
     )
 
 

@@ -62,7 +62,7 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op4_lattice_score(spark: SparkSession, folder: str) -> DataFrame:
-    return score_texts(table(spark, folder, "documents"), remainder(7, 2), PIECES)
+    return score_texts(table(spark, folder, "documents"), remainder(7, 2), PIECES, learn=True)
 
 
 @query

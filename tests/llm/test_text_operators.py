@@ -159,6 +159,44 @@ def test_scores_match_brute_force(awkward, no_rows, make_docs, monkeypatch, freq
     assert [(r.n_known, r.train_tokens, r.base_score) for r in only_held_out] == [(0, 0, 0.0)]
 
 
+def test_expected_counts_match_all_segmentations(monkeypatch):
+    pieces = {"▁": -1.5, "▁a": -1.0, "a": -2.0, "ab": -1.7, "b": -2.2, "é": -3.0} | {f"<0x{b:02X}>": -6.0 for b in range(256)}
+
+    def ways(text):
+        if not text:
+            return [(0.0, [])]
+        out = [(pieces[p] + s, [p, *rest]) for n in range(1, len(text) + 1) if (p := text[:n]) in pieces for s, rest in ways(text[n:])]
+        spelt = [] if text[0] in pieces else [f"<0x{b:02X}>" for b in text[0].encode()]
+        return out + ([(sum(map(pieces.get, spelt)) + s, [*spelt, *rest]) for s, rest in ways(text[1:])] if spelt else [])
+
+    words = ["ab", "aabab", "é漢a", "", "bb", "xab"]
+    want = Counter()
+    for word in words:
+        found = ways("▁" + word)
+        total = math.log(sum(math.exp(s) for s, _ in found))
+        for s, path in found:
+            want.update(dict.fromkeys(path, 0.0))
+            for p in path:
+                want[p] += math.exp(s - total)
+    lattice = lattice_lm.Lattice(pieces)
+    for long in (256, 1):  # with 1, each word goes through the recursion alone
+        monkeypatch.setattr(lattice_lm, "LONG_WORD", long)
+        got = lattice.expected_counts([w.encode() for w in words])
+        assert np.allclose(got, [want[n] for n in lattice.names], rtol=0, atol=1e-9)
+
+
+def test_held_out_texts_are_as_likely_as_their_words(make_docs):
+    rng = random.Random(4)
+    parts = ["tho", "rem", "éch", "und", "ly", "ain", "ost", "wha", "ñi", "br"]
+    word = lambda: "".join(rng.choice(parts) for _ in range(rng.randint(1, 3)))
+    frequent = [word() for _ in range(60)]
+    texts = [" ".join(rng.choice(frequent) if rng.random() < 0.95 else word() for _ in range(80)) for _ in range(300)]
+    docs = make_docs([(i, t, None, None, len(t)) for i, t in enumerate(texts)])
+    held = [r for r in lattice_lm.score_texts(docs, remainder(7, 2), PIECES, learn=True).collect() if r.held_out]
+    assert len(held) > 20 and all(math.isfinite(r.score) for r in held)
+    assert sum(r.score for r in held) > 1.05 * sum(r.base_score for r in held)
+
+
 # ---- licences
 
 
