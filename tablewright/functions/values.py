@@ -6,7 +6,7 @@ equals the string that spells it.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -143,6 +143,29 @@ def canonical_key(df: DataFrame, decimals: bool = False) -> DataFrame:
     )
 
 
+def decimal_keys(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Move stacked decimals, of which a row has one at most, to the key where their value is at home.
+
+    That is where ``canonical_key`` puts their ``canonical_text``. Each step is a
+    projection of its own: in one they would outgrow the code that Spark compiles.
+    """
+    texts = [F.col(quoted(n)).cast("string") for n in names]
+    df = df.withColumn("__text", F.coalesce(*texts))
+    trimmed = F.rtrim(F.rtrim(F.col("__text"), F.lit("0")), F.lit("."))
+    df = df.withColumn("__text", F.when(F.contains("__text", F.lit(".")), trimmed).otherwise(F.col("__text")))
+    text, real, whole = F.col("__text"), F.col("__real"), F.col("__whole")
+    df = df.withColumn("__real", _as_double(text))
+    small = F.coalesce(F.abs(real) < _LONG_LIMIT, F.lit(True))
+    df = df.withColumn("__whole", F.when(~text.contains(".") & small, text.try_cast("bigint")))
+    return df.withColumns(
+        {
+            "num": F.coalesce("num", whole),
+            "dbl": F.coalesce("dbl", F.when(whole.isNull(), real)),
+            "txt": F.coalesce("txt", F.when(whole.isNull() & real.isNull(), text)),
+        }
+    ).drop("__text", "__real", "__whole", *names)
+
+
 def has_key() -> Column:
     return F.col("num").isNotNull() | F.col("dbl").isNotNull() | F.col("txt").isNotNull()
 

@@ -3,7 +3,8 @@
 Every distinct value is grouped once, together with a bit mask of the columns
 it occurs in. Counting the masks answers all pair questions (shared values,
 equal sets, containment) from a single shuffle of (family, value): repeats of
-a hot value combine before it, and no two rows are ever paired.
+a hot value combine before it, and no two rows are ever paired. In tables with
+decimals, equal ones of a type are grouped before that as well.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,11 +24,14 @@ from tablewright.functions.values import (
     KEY,
     canonical_key,
     canonical_text,
+    decimal_keys,
     family_of,
     has_key,
+    quoted,
     value_hash,
+    value_key,
 )
-from tablewright.operators.profile import column_types, stack_values
+from tablewright.operators.profile import column_types, stack_rows, stack_values
 
 _BITS = 62  # columns per mask word; the sign bit stays clear
 
@@ -41,30 +45,49 @@ def _mask_words(total: int) -> int:
 def value_masks(sources: Sequence[Source]) -> DataFrame:
     """``(family, num, dbl, txt, m0, m1, …)``: each distinct value and the columns holding it."""
     words = _mask_words(sum(len(columns) for _, columns in sources))
+    masks = [f"m{w}" for w in range(words)]
+    either = [F.bit_or(m).alias(m) for m in masks]
     parts, offset = [], 0
     for df, columns in sources:
         types = column_types(df)
         families = F.array(*[F.lit(family_of(types[name])) for name in columns])
-        stacked = stack_values(df, columns).withColumn(
-            "family", F.element_at(families, F.col("position") + 1)
-        )
-        decimal = any(isinstance(types[name], T.DecimalType) for name in columns)
-        parts.append(
-            canonical_key(stacked, decimal)
-            .where(has_key())
-            .withColumn("position", F.col("position") + offset)
-        )
+        family = F.element_at(families, F.col("position") + 1).alias("family")
+        bits = []
+        for w in range(words):
+            place = f"position + {offset - w * _BITS}"
+            bits.append(F.expr(f"CASE WHEN {place} BETWEEN 0 AND {_BITS - 1} THEN shiftleft(1L, {place}) ELSE 0L END AS m{w}"))
+        decimals = list(dict.fromkeys(types[c] for c in columns if isinstance(types[c], T.DecimalType)))
+        if decimals:
+            stacked, own = _stacked_as_they_are(df, columns, decimals)
+            # decimals take long to bring into form, so that is done once for each value
+            filled = reduce(Column.__or__, [F.col(c).isNotNull() for c in (*KEY, *own)])
+            found = stacked.where(filled).select(family, *KEY, *own, *bits).groupBy("family", *KEY, *own).agg(*either)
+            # not filtered again: the filter would repeat all these steps below them
+            parts.append(canonical_key(decimal_keys(found, own)))
+        else:
+            parts.append(canonical_key(stack_values(df, columns)).where(has_key()).select(family, *KEY, *bits))
+        parts[-1] = parts[-1].select("family", *KEY, *masks)
         offset += len(columns)
-    bits = []
-    for w in range(words):
-        place = f"position - {w * _BITS}"
-        bits.append(f"CASE WHEN {place} BETWEEN 0 AND {_BITS - 1} THEN shiftleft(1L, {place}) ELSE 0L END AS m{w}")
-    return (
-        reduce(DataFrame.union, parts)
-        .selectExpr("family", *KEY, *bits)
-        .groupBy("family", *KEY)
-        .agg(*[F.bit_or(f"m{w}").alias(f"m{w}") for w in range(words)])
-    )
+    return reduce(DataFrame.union, parts).groupBy("family", *KEY).agg(*either)
+
+
+def _stacked_as_they_are(
+    df: DataFrame, columns: Sequence[str], decimals: Sequence[T.DecimalType]
+) -> tuple[DataFrame, list[str]]:
+    """``stack_values`` with decimals in columns of their own, one for each of these types; and the names of these."""
+    types = column_types(df)
+    own = [f"dec{k}" for k in range(len(decimals))]
+    none = ("bigint", "double", "string")
+    cells = []
+    for i, name in enumerate(columns):
+        value = F.col(quoted(name))
+        if types[name] in decimals:
+            key = [F.lit(None).cast(t) for t in none]
+        else:
+            key = value_key(name, types[name])
+        cells.append((F.lit(i), *key, *[value if types[name] == d else F.lit(None).cast(d) for d in decimals]))
+    stacked = df.select(stack_rows(cells, ["position", *KEY, *own]))
+    return stacked.withColumn("dbl", F.when(~F.isnan("dbl"), F.col("dbl"))), own
 
 
 def shared_value_counts(sources: Sequence[Source], across: bool = False) -> DataFrame:
