@@ -17,7 +17,7 @@ from tablewright.operators.xml_ops import (
     xml_fragment_to_long,
 )
 from tablewright.plans.flows import clean_table, flatten_folder, merge_tables
-from tablewright.session import scratch_path
+from tablewright.session import scratch_path, spread
 from tablewright.sources import read_id_list, read_text_table, read_typed_csv, write_csv, write_tsv
 from tablewright.streaming import stream_flatten
 
@@ -325,7 +325,7 @@ _BROKEN_LINES = derived(
 )
 def streamed_with_breaks_and_repair(t: Tables):
     path, out = scratch_path(t.spark, "stream-in"), scratch_path(t.spark, "stream-out")
-    write_csv(_BROKEN_LINES.frame(t), path)
+    write_csv(spread(_BROKEN_LINES.frame(t)), path)
     state = scratch_path(t.spark, "stream-state")
     keys = ["item", "item@type"]
     run = stream_flatten(

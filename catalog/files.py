@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog.registry import CUSTOMER_TOKENS, EVENTS_XML, NA_LIST, Tables, query
 from tablewright.operators.ranking import plan_batches
 from tablewright.plans.flows import flatten_folder
-from tablewright.session import scratch_path
+from tablewright.session import scratch_path, spread
 from tablewright.sources import (
     read_csv_with_xml,
     read_delimited,
@@ -220,8 +220,8 @@ _FLAT = (
 def folder_flattened(t: Tables):
     path = scratch_path(t.spark, "dumps")
     frame = EVENTS_XML.frame(t).withColumn("Thing", F.lit("x"))
-    write_csv(frame.withColumn("kind", F.lit("first")), path, "append")
-    write_csv(frame, path, "append")  # the same records under another header
+    write_csv(spread(frame.withColumn("kind", F.lit("first"))), path, "append")
+    write_csv(spread(frame), path, "append")  # the same records under another header
     out = scratch_path(t.spark, "flat")
     return flatten_folder(t.spark, path, out, ".csv", drop=["Thing"])
 
@@ -232,8 +232,8 @@ def folder_flattened(t: Tables):
 def streamed_and_flattened(t: Tables):
     path = scratch_path(t.spark, "stream-in")
     frame = EVENTS_XML.frame(t).select("event_id", "InfoXml")
-    write_csv(frame, path)
-    write_csv(frame, path, "append")  # landed twice
+    write_csv(spread(frame), path)
+    write_csv(spread(frame), path, "append")  # landed twice
     out = scratch_path(t.spark, "stream-out")
     run = stream_flatten(
         t.spark,
@@ -255,13 +255,15 @@ def streamed_and_flattened(t: Tables):
     " CASE event_id % 3 WHEN 1 THEN '1' WHEN 2 THEN '9' END AS \"tag@n\" FROM events"
 )
 def streamed_with_keys_found(t: Tables):
-    """Every file is a micro-batch; those without a key are read with nulls for it."""
+    """Every lot of files is a micro-batch; those without a key are read with nulls for it."""
     path, out, state = (scratch_path(t.spark, f"stream-{what}") for what in ("in", "out", "state"))
+    files = t.spark.sparkContext.defaultParallelism  # a file with line breaks in cells is read by one task
     frame = EVENTS_XML.frame(t).select("event_id", "InfoXml", "MoreXml")
     for rest in (0, 1, 2, 1):  # the second lot lands twice
-        write_csv(frame.where(F.col("event_id") % 3 == rest).coalesce(1), path, "append")
+        write_csv(frame.where(F.col("event_id") % 3 == rest).repartition(files), path, "append")
     schema = "event_id string, InfoXml string, MoreXml string"
-    stream_flatten(t.spark, path, schema, out, state, id="event_id", suffix=".csv", files_per_batch=1).awaitTermination()
+    run = stream_flatten(t.spark, path, schema, out, state, id="event_id", suffix=".csv", files_per_batch=files)
+    run.awaitTermination()
     return read_flattened(t.spark, out, state)
 
 

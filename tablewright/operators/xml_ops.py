@@ -19,7 +19,7 @@ from tablewright.functions.fragments import balance_fragment
 from tablewright.functions.text import strip_whitespace
 from tablewright.functions.values import quoted
 from tablewright.operators.schema_ops import distinct_names, flatten_nested, ignores_case, split_xml_columns
-from tablewright.session import materialize
+from tablewright.session import materialize, spread
 
 # A private-use character put in front of every text and attribute value. The
 # parser would otherwise turn 012 into 12, and would drop the blank text nodes
@@ -51,11 +51,8 @@ def _parsed(fragment: Column) -> Column:
 
 
 def is_malformed(fragment: Column) -> Column:
-    return _damaged(_parsed(fragment))
-
-
-def _damaged(parsed: Column) -> Column:
-    return F.coalesce(parsed["_corrupt_record"].isNotNull(), F.lit(False))
+    """Whether the parser rejects a fragment; it builds nothing of what it reads."""
+    return F.coalesce(_checked(fragment)["_corrupt_record"].isNotNull(), F.lit(False))
 
 
 def _plain(text: Column) -> Column:
@@ -143,8 +140,10 @@ def xml_fragment_to_long(df: DataFrame, id: str, column: str, repair: bool = Tru
     """``(id, key, pos, value)``; ``pos`` counts the repeats of a key from 0.
 
     Malformed fragments are repaired unless ``repair`` is off; then they give nothing.
+    The fragments are written to a stage first, dealt to all cores.
     """
-    rows = df.select(quoted(id), quoted(column))
+    # spread by a stage, since the filters that split the rows would be pushed below a shuffle
+    rows = materialize(spread(df.select(quoted(id), quoted(column))), "fragments")
     if repair:
         rows = _repaired(rows, [column])
     rows = rows.withColumn("__pairs", fragment_pairs(F.col(quoted(column))))
@@ -383,7 +382,7 @@ def _survey(df: DataFrame, xml: list[str], stage: bool) -> tuple[list[Shape], li
     with them the rows that need repair, which are written down.
     """
     fragments = {c: f"__f{i}" for i, c in enumerate(xml)}
-    checks = [F.coalesce(_checked(c)["_corrupt_record"].isNotNull(), F.lit(False)).alias(f"__b{i}") for i, c in enumerate(xml)]
+    checks = [is_malformed(F.col(quoted(c))).alias(f"__b{i}") for i, c in enumerate(xml)]
     # a row goes along as a whole if a fragment is malformed; grouping can't take maps
     wanted, stage = stage, stage and not any(_has_map(f.dataType) for f in df.schema)
     kept = [F.struct(*[F.col(quoted(c)).alias(f"c{i}") for i, c in enumerate(df.columns)]).alias("__row")] if stage else []
@@ -455,8 +454,8 @@ def _shapes_of(df: DataFrame, xml: list[str], skeletons: DataFrame) -> tuple[lis
     return shapes, [xml[i] for i in sorted(broken)]
 
 
-def _checked(column: str) -> Column:
-    wrapped = F.concat(F.lit("<q><r>"), F.col(quoted(column)), F.lit("</r></q>"))
+def _checked(fragment: Column) -> Column:
+    wrapped = F.concat(F.lit("<q><r>"), fragment, F.lit("</r></q>"))
     return F.from_xml(wrapped, "_corrupt_record STRING", _OPTIONS)
 
 

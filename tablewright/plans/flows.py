@@ -19,7 +19,7 @@ from tablewright.operators.ranking import preview
 from tablewright.operators.relations import Relations, Star, find_relations, star_schema
 from tablewright.operators.schema_ops import drop_columns
 from tablewright.operators.xml_ops import flatten_xml_columns
-from tablewright.session import materialize
+from tablewright.session import materialize, spread
 from tablewright.sources.readers import read_folder_union, read_typed_csv
 from tablewright.sources.writers import write_csv, write_tsv, write_with_column_mapping
 
@@ -108,9 +108,11 @@ def flatten_folder(
 
     ``drop`` names plain columns of the dump; what the XML holds is never dropped.
     """
-    dump = drop_columns(read_folder_union(spark, folder, suffix), drop)
+    # the files are read once, and with ``out`` the fragments are flattened once
+    dump = materialize(spread(drop_columns(read_folder_union(spark, folder, suffix), drop)), "dump")
     table = flatten_xml_columns(dump, partitions=partitions)
     if out is not None:
+        table = materialize(table, "flat")
         write_tsv(table, out)
     return table
 

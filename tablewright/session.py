@@ -68,6 +68,16 @@ def clear_stages(spark: SparkSession) -> int:
     return n
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows, dealt evenly to as many tasks as there are cores, or more if there is much to deal.
+
+    For rows that take long each: files that compress well, or can't be split, come in few tasks.
+    """
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        return df.hint("rebalance")
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

@@ -14,7 +14,7 @@ from tablewright.functions.values import quoted
 from tablewright.operators.cleaning import standardize_text
 from tablewright.operators.schema_ops import split_xml_columns
 from tablewright.operators.xml_ops import first_value, flatten_xml_columns, fragment_pairs, repaired_rows, repaired_value
-from tablewright.session import materialize
+from tablewright.session import materialize, spread
 from tablewright.sources.readers import CSV_OPTIONS
 from tablewright.sources.staging import add_files, hidden_folder, read_note, write_note
 
@@ -59,7 +59,7 @@ def stream_flatten(
 
     def land(batch: DataFrame, number: int) -> None:
         own = f"batch-{number:09d}-"
-        batch = materialize(batch, "stream-batch")
+        batch = materialize(spread(batch), "stream-batch")
         if keys is None:
             flat = flatten_xml_columns(batch)
         else:

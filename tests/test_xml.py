@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewright.functions.fragments import balance_fragment
+from tablewright.operators import xml_ops
 from tablewright.operators.schema_ops import flatten_nested
 from tablewright.operators.xml_ops import (
     find_shapes,
@@ -205,3 +206,17 @@ def test_good_rows_are_parsed_once(spark, tmp_path):
     assert plan.count(f"{tmp_path}/t") == 1
     optimized = flat._jdf.queryExecution().optimizedPlan().toString()
     assert optimized.count("from_xml") + optimized.count("xmltostructs") <= 4  # two columns of good rows, two of bad ones
+
+
+def test_fragments_of_one_task_are_dealt_to_all(spark):
+    frame = spark.range(0, 20_000, 1, 1).selectExpr("id", "concat('<Item>', array_join(transform(sequence(1, 20), i -> sha2(concat(id, ' ', i), 256)), ''), '</Item>') AS InfoXml")
+    long = xml_fragment_to_long(frame, "id", "InfoXml", repair=False)
+    assert long.rdd.getNumPartitions() > 1
+    assert long.count() == 20_000
+
+
+@pytest.mark.parametrize("fragment", ["<a>", "<a/></b>", "x", "", "<a>1</a><a", "<a b=1/>", "&", "<!-- c --><a/>", "<![CDATA[<]]>", "<a>é</a>"])
+def test_the_check_agrees_with_the_parse(spark, fragment):
+    row = spark.createDataFrame([(fragment,)], "f string")
+    checked, corrupt = row.select(xml_ops.is_malformed(F.col("f")), xml_ops._parsed(F.col("f"))["_corrupt_record"]).first()
+    assert checked == (corrupt is not None)
