@@ -19,6 +19,7 @@ from tablewright.sources import (
     read_id_response_log,
     read_text_table,
     read_xml_batches,
+    write_csv,
     write_cycle_dumps,
     write_id_list,
     write_tsv,
@@ -351,3 +352,33 @@ def test_notes_survive_a_cut_short_move(spark, tmp_path):
     assert read_note(spark, path) == "two"
     (tmp_path / "note").rename(tmp_path / "note.new")
     assert read_note(spark, path) == "two"
+
+
+def _events(spark, path, n=20_000):
+    """One file of records with line breaks in cells, which one task reads."""
+    text = "array_join(transform(sequence(1, 20), i -> sha2(concat(id, ' ', i), 256)), '\n')"
+    frame = spark.range(n).selectExpr("CAST(id AS STRING) AS id", f"concat('<Info>', {text}, '</Info>') AS aXml")
+    write_csv(frame.coalesce(1), path)
+
+
+def test_the_one_file_of_a_batch_is_dealt_to_all(spark, tmp_path, monkeypatch):
+    _events(spark, f"{tmp_path}/in")
+    staged = {}
+
+    def noted(df, label="stage"):
+        out = materialize(df, label)
+        staged[label] = len(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(flatten, "materialize", noted)
+    out, state = f"{tmp_path}/out", f"{tmp_path}/state"
+    stream_flatten(spark, f"{tmp_path}/in", "id string, aXml string", out, state, ["info"], suffix=".csv").awaitTermination()
+    assert staged["stream-batch"] > 1
+    assert spark.read.parquet(out).where("info IS NOT NULL").count() == 20_000
+
+
+def test_a_folder_is_flattened_once(spark, tmp_path):
+    _events(spark, f"{tmp_path}/in", 100)
+    flat = flatten_folder(spark, f"{tmp_path}/in", f"{tmp_path}/flat", ".csv")
+    assert "from_xml" not in flat._jdf.queryExecution().optimizedPlan().toString()  # what was written is read
+    assert flat.where("info IS NOT NULL").count() == 100
