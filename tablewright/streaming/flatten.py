@@ -69,7 +69,7 @@ def stream_flatten(
         fresh = flat.dropDuplicates([id])
         landed = landed_ids(batch.sparkSession, out, fresh.schema[id], own)
         if landed is not None:
-            fresh = fresh.join(landed, F.col(quoted(id)).eqNullSafe(F.col("__landed")), "left_anti")
+            fresh = not_landed(fresh, landed, id)
         staged = hidden_folder(out, own)
         fresh.write.mode("overwrite").parquet(staged)
         add_files(batch.sparkSession, staged, out, own)
@@ -95,6 +95,12 @@ def landed_ids(spark: SparkSession, out: str, id: StructField, but: str) -> Data
     return files.where(other).select(F.col(quoted(id.name)).alias("__landed"))
 
 
+def not_landed(fresh: DataFrame, landed: DataFrame, id: str) -> DataFrame:
+    """The rows of ``fresh`` whose id is not among ``landed``."""
+    # the ids' compressed files look small enough to be sent through the driver to every task, so the way is given
+    return fresh.join(landed.hint("merge"), F.col(quoted(id)).eqNullSafe(F.col("__landed")), "left_anti")
+
+
 def _notes(checkpoint: str) -> str:
     return f"{checkpoint.rstrip('/')}/columns.json"
 

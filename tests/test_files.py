@@ -382,3 +382,12 @@ def test_a_folder_is_flattened_once(spark, tmp_path):
     flat = flatten_folder(spark, f"{tmp_path}/in", f"{tmp_path}/flat", ".csv")
     assert "from_xml" not in flat._jdf.queryExecution().optimizedPlan().toString()  # what was written is read
     assert flat.where("info IS NOT NULL").count() == 100
+
+
+def test_landed_ids_are_not_sent_to_every_task(spark, tmp_path, rows):
+    spark.range(1000).selectExpr("cast(id AS string) AS id", "'x' AS v").write.parquet(f"{tmp_path}/out")
+    fresh = spark.createDataFrame([("5",), ("1000",), (None,)], "id string")
+    landed = flatten.landed_ids(spark, f"{tmp_path}/out", fresh.schema["id"], "batch-")
+    left = flatten.not_landed(fresh, landed, "id")
+    assert "Broadcast" not in left._jdf.queryExecution().executedPlan().toString()
+    assert rows(left) == [("1000",), (None,)]
