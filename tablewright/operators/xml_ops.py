@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions.fragments import balance_fragment
-from tablewright.functions.text import strip_whitespace
+from tablewright.functions.text import WHITESPACE, strip_whitespace
 from tablewright.functions.values import quoted
 from tablewright.operators.schema_ops import distinct_names, flatten_nested, ignores_case, split_xml_columns
 from tablewright.session import materialize, spread
@@ -37,6 +37,25 @@ _CHAIN = (
     rf'(?:\{{"#":)?({_JSON_TEXT})(?:,"@(?:[^"\\]|\\.)*+":{_JSON_TEXT})*+\}}*$'
 )
 
+# An element of the common kind: three levels at most, plain names, double quotes, no entities,
+# comments or sections. What it matches is well-formed and reads as it stands.
+_NAME = r"(?!(?i:xml))[A-Za-z_][A-Za-z0-9_.-]*+"
+
+
+def _common_element(levels: int, group: int = 1) -> str:
+    attributes = rf'(?:\s++({_NAME})="[^"<>&\t\n]*+"(?![^>]*\s(?i:\{group + 1})=))*+'
+    content = "[^<>&]*+" if levels == 1 else f"(?:[^<>&]++|{_common_element(levels - 1, group + 2)})*+"
+    return rf"<({_NAME}){attributes}\s*+(?:/>|>{content}</\{group}\s*+>)"
+
+
+_ELEMENT = _common_element(3)
+# Characters that the parser rejects or changes, and values that end in an equals sign, which ``_marked`` cuts.
+_UNCOMMON = r'[\x00-\x08\x0b-\x1f\ue000\ufffe\uffff]|=\s*"[\s/>]'
+#: Longer fragments are left to the parser: a regular expression takes some stack for each repeat.
+_MOST = 2000
+# A common element that holds one text, directly or down a chain of single children.
+_ONE_TEXT = r"^(?:<(?!/)[^<>]+(?<!/)>)+([^<>]*)(?:</[^<>]+>)+$"
+
 # JSON of an element of a skeleton that has attributes but no children.
 _LEAF = r'^\{(?:"[@#][^"]*":(?:"[^"]*"|null),?)*\}$'
 
@@ -110,8 +129,40 @@ def fragment_pairs(fragment: Column) -> Column:
     one text (directly or down a chain of single children), and each attribute
     as ``name@attribute``. Repeats follow document order. Malformed fragments
     give null.
+
+    Fragments made up of common elements are read by regular expressions,
+    which takes a fraction of the time; the parser reads all others, and those with names that differ by case alone.
     """
-    return _pairs(_parsed(fragment))
+    may_be = (F.length(fragment) <= _MOST) & ~fragment.rlike(_UNCOMMON)
+    elements = F.when(may_be, F.regexp_extract_all(fragment, F.lit(_ELEMENT), F.lit(0)))
+
+    def read(found: Column) -> Column:
+        tags = F.transform(found, lambda e: F.regexp_extract(e, r"^<([^\s/>]+)", 1))
+        # of names that differ by case alone the parser doesn't keep the order
+        spellings = _once(tags, lambda t: F.size(F.array_distinct(t)) - F.size(F.array_distinct(F.transform(t, F.lower))))
+        common = (F.array_join(found, "") == fragment) & (fragment != "") & ((F.size(found) < 2) | (spellings == 0))
+        return F.when(common, F.flatten(F.transform(found, _common_pairs))).otherwise(_pairs(_parsed(fragment)))
+
+    return _once(elements, read)
+
+
+def _common_pairs(element: Column) -> Column:
+    """``_element_pairs`` of a common element, from its text."""
+
+    def of_tag(tag: Column) -> Column:
+        text = strip_whitespace(F.regexp_extract(element, _ONE_TEXT, 1))
+        none = F.array().cast("array<struct<key:string,value:string>>")
+        own = F.when(text != "", F.array(F.struct(tag.alias("key"), text.alias("value")))).otherwise(none)
+        head = F.regexp_extract(element, "^[^>]*", 0)
+        written = F.regexp_extract_all(head, F.lit(r'\s([^\s=]+="[^"]*")'), F.lit(1))
+
+        def attribute(pair: Column) -> Column:
+            name, value = F.substring_index(pair, "=", 1), F.regexp_extract(pair, r'="([^"]*)', 1)
+            return F.struct(F.concat(tag, F.lit("@"), F.lower(name)).alias("key"), strip_whitespace(value).alias("value"))
+
+        return F.when(F.contains(head, F.lit("=")), F.concat(own, F.transform(written, attribute))).otherwise(own)
+
+    return _once(F.lower(F.regexp_extract(element, r"^<([^\s/>]+)", 1)), of_tag)
 
 
 def _pairs(parsed: Column) -> Column:
@@ -345,18 +396,13 @@ def _skeleton(fragment: Column) -> Column:
     Blank text becomes the mark instead. More than two equal elements in a row
     become two. Fragments with comments or CDATA are left as they are.
     """
-    tokens = F.regexp_extract_all(
-        fragment, F.lit(r"""(<(?:[^<>"']|"[^"]*"|'[^']*')*+>|[^<]+)"""), F.lit(1)
-    )
-    bare = F.transform(
-        tokens,
-        lambda t: F.when(t.startswith("<"), F.regexp_replace(t, r"""("[^"]*"|'[^']*')""", '""'))
-        .when(strip_whitespace(t) == "", F.lit(_MARK))
-        .otherwise(F.lit("x")),
-    )
-    short = F.regexp_replace(
-        F.array_join(bare, ""), r"((<([^\s<>/]+)[^<>]*(?:/>|>[^<>]*</\3>))\2)\2+", "$1"
-    )
+    # one pass empties quoted values and puts "" behind each text, by which the next ones find the texts;
+    # a text is matched as a whole, so that quotes and ends of tags within it count for nothing
+    bare = F.regexp_replace(F.concat(F.lit(">"), fragment), r"""(?=[>"'])(?:(>[^<]+)|"[^"]*"|'[^']*')""", '$1""')
+    bare = F.regexp_replace(bare, rf'>[{WHITESPACE}]+""(?=<|\z)', ">" + _MARK)
+    bare = F.regexp_replace(bare, r'>[^<]+""(?=<|\z)', ">x")
+    short = F.regexp_replace(bare, r"((<([^\s<>/]++)[^<>]*+>(?:(?<=/>)|[^<>]*+</\3>))\2)\2++", "$1")
+    short = F.substring(short, 2, 2**31 - 1)
     return F.when(fragment.contains("<!"), _marked_only(fragment)).otherwise(short)
 
 

@@ -220,3 +220,49 @@ def test_the_check_agrees_with_the_parse(spark, fragment):
     row = spark.createDataFrame([(fragment,)], "f string")
     checked, corrupt = row.select(xml_ops.is_malformed(F.col("f")), xml_ops._parsed(F.col("f"))["_corrupt_record"]).first()
     assert checked == (corrupt is not None)
+
+
+# Fragments that regular expressions can read, and those that they must leave to the parser.
+COMMON = [
+    '<Id type="x">012</Id><Name> bob </Name>', '<A b="1"/><A b="2"/>', "<S><T>x</T><U>y</U></S>", "<S> <T>x</T></S>",
+    '<S q="1"><T z="2">x</T></S>', '<S><T a="1"><U b="2">0042</U></T></S>', "<S>pre<T>x</T></S>", "<a>x\ny</a >", "<a></a>",
+    '<a b=" x"/>', '<a b="c=d"/>', '<a b="x/y"/>', "<a>it's \"q\"</a>", "<a><b/></a>", '<a><b c="1"/></a>', "<a>1</a><a/><a>2</a>",
+    '<a b="1" B2="2"/>', "<r>1</r><q>2</q>", "<a>\u00a0x\u3000</a>", '<a b=""/>', "<a>é \U0001f600</a>", "<a.b-c_d>1</a.b-c_d>",
+]
+OTHER = [
+    "<tag>1</tag><Tag>2</Tag>", '<a B="1" b="2"/>', '<a b="1" b="2"/>', '<a b="1 b=" c="x"/>', '<a b="= "/>', "<a b='1'>2</a>",
+    '<a b="&amp;"/>', '<a b="x\ty"/>', "<a>\r\nx</a>", '<a xmlns="u">1</a>', '<a xml:lang="e">1</a>', "<p:a>1</p:a>", "<é>1</é>",
+    "<a>1</b>", "<a>", "<a/>x", " <a>1</a>", "<a><b><c><d>5</d></c></b></a>", "<a>\x01</a>", "<a>\ue000x</a>", "<1a>x</1a>",
+    "<a><![CDATA[1]]></a>", "<a>1<!-- c --></a>", "", "text", None, "<a>" + "<b/>" * 5000 + "</a>",
+]
+
+
+def test_common_fragments_are_read_as_the_parser_reads_them(spark):
+    df = spark.createDataFrame([(f,) for f in COMMON + OTHER], "f string")
+    fragment = F.col("f")
+    for r in df.select("f", xml_ops.fragment_pairs(fragment).alias("a"), xml_ops._pairs(xml_ops._parsed(fragment)).alias("b")).collect():
+        a, b = (None if p is None else sorted(p, key=lambda q: q.key) for p in (r.a, r.b))
+        assert a == b, r.f
+
+
+def test_common_fragments_need_no_parser(spark, monkeypatch):
+    none = F.lit(None).cast("array<struct<key:string,value:string>>")
+    monkeypatch.setattr(xml_ops, "_pairs", lambda parsed: none)
+    read = xml_ops.fragment_pairs(F.col("f")).isNotNull()
+    assert spark.createDataFrame([(f,) for f in COMMON], "f string").where(read).count() == len(COMMON)
+    assert spark.createDataFrame([(f,) for f in OTHER], "f string").where(read).count() == 0
+
+
+@pytest.mark.parametrize(
+    ("fragment", "skeleton"),
+    [
+        ("x<a/>", "x<a/>"),
+        (" <a b='1'>it's</a>y's", '\ue000<a b="">x</a>x'),
+        ("<a b=\"1>2\" c='x'>q > r</a>", '<a b="" c="">x</a>'),
+        ("<a/><a/><a/><b><c>1</c><c>2</c><c>3</c></b>", "<a/><a/><b><c>x</c><c>x</c></b>"),
+        ('<a>\u00a0</a><b></b><c x=\'"\'/>', '<a>\ue000</a><b></b><c x=""/>'),
+        ('<a>"x"</a><b>"</b>\n<c>$1\\</c>', "<a>x</a><b>x</b>\ue000<c>x</c>"),
+    ],
+)
+def test_skeleton(spark, fragment, skeleton):
+    assert spark.createDataFrame([(fragment,)], "f string").select(xml_ops._skeleton(F.col("f"))).first()[0] == skeleton
