@@ -24,7 +24,7 @@ from tablewright.sources import (
     write_id_list,
     write_tsv,
 )
-from tablewright.sources.delimited import BlockReader, LineEnds
+from tablewright.sources.delimited import BlockReader, LineEnds, _cut
 from tablewright.sources.staging import add_folders, folders_in, hidden_folder, read_note, write_note
 from tablewright.streaming import flatten, read_flattened, stream_flatten
 
@@ -410,7 +410,7 @@ def test_lines_of_many_blocks_in_one_task():
     kinds = [pa.string(), pa.int64(), pa.binary(), pa.bool_()]
     batch = pa.RecordBatch.from_arrays([pa.array(f, k) for f, k in zip(fields, kinds)], ["file", "block", "value", "ok"])
     for cuts in ([batch], [batch.slice(i, 1) for i in range(5)]):
-        pieces = [r for b in delimited._cut(",")(iter(cuts)) for r in b.to_pylist()]
+        pieces = [r for b in _cut(",")(iter(cuts)) for r in b.to_pylist()]
         texts = [(r["file"], r["block"], r["text"]) for r in pieces if r["seq"] >= 0]
         assert texts == [("f", 0, b"a,b"), ("f", 0, b'1,"x'), ("f", 9, b'y"'), ("g", 0, b"a"), ("g", 0, b"\xff")]
         ends = [(r["file"], r["block"], r["valid"], r["first"]) for r in pieces if r["seq"] < 0]
